@@ -1,4 +1,4 @@
-"""Composition-weighted statistics as plain column expressions.
+"""Composition-weighted statistics as Spark SQL expressions.
 
 A composition is a set of weights ``w_i`` (percent) over an ordered list of
 components (the *universe*), each with a property value ``p_i``. Six
@@ -19,190 +19,176 @@ statistics are defined:
 Weight cleaning: NULL and NaN weights count as 0. A NULL property makes
 ``mean``/``std`` NULL only where its weight is non-zero.
 
+The builders return SQL expression *text* (used through ``F.expr``): the
+optimiser sees ordinary built-in expressions, and building a plan with
+hundreds of terms costs one JVM call per output column instead of one per
+term.
+
 ``wide_*`` unroll the definition over one column per component with the
-property values folded in as literals, so the computation stays inside
-whole-stage code generation (no Python, no lambdas). ``items_*`` are the same
-definition over an array of ``struct<component, w, p...>`` holding only the
-components present in one entity; the universe is passed as a literal list.
+property values folded in as literals: compiled code, no lambdas, no Python.
+``items_*`` are the same definition over an array of ``struct<c, w, p0..>``
+holding only the components present in one entity (at most the universe).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 # Output order of the six statistics, as in the reference's result struct.
 STAT_NAMES = ("max", "min", "std", "mean", "mode1", "mode2")
 
-def _null() -> Column:
-    return F.lit(None).cast("double")
+NULL = "CAST(NULL AS DOUBLE)"
 
 
-def _is_missing(v) -> bool:
+def is_missing(v) -> bool:
     return v is None or (isinstance(v, float) and math.isnan(v))
 
 
-def clean_weight(c: Column) -> Column:
-    """NULL and NaN weights count as 0."""
-    return F.coalesce(F.nanvl(c.cast("double"), F.lit(None).cast("double")), F.lit(0.0))
+def q(name: str) -> str:
+    """Quote an identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
 
+def dlit(v) -> str:
+    """A double literal (NULL for missing values)."""
+    if is_missing(v):
+        return NULL
+    r = repr(float(v))
+    if "e" in r or "inf" in r:
+        return f"CAST('{r}' AS DOUBLE)"
+    return f"{r}D"
 
-def _lit(v) -> Column:
-    return F.lit(None).cast("double") if _is_missing(v) else F.lit(float(v))
+
+def clean_weight(col_sql: str) -> str:
+    """NULL and NaN weights count as 0."""
+    return f"coalesce(nanvl(CAST({col_sql} AS DOUBLE), {NULL}), 0.0D)"
 
 
-def balanced_sum(cols: Sequence[Column]) -> Column:
-    """a + b + ... as a balanced tree (shallow generated code for long lists)."""
-    cols = list(cols)
-    while len(cols) > 1:
-        nxt = [cols[i] + cols[i + 1] for i in range(0, len(cols) - 1, 2)]
-        if len(cols) % 2:
-            nxt.append(cols[-1])
-        cols = nxt
-    return cols[0]
+def balanced_sum(terms: Sequence[str]) -> str:
+    """(a + b) + (c + d) ...: a shallow tree keeps generated code small."""
+    terms = list(terms)
+    if not terms:
+        return "0.0D"
+    while len(terms) > 1:
+        nxt = [f"({terms[i]} + {terms[i + 1]})" for i in range(0, len(terms) - 1, 2)]
+        if len(terms) % 2:
+            nxt.append(terms[-1])
+        terms = nxt
+    return terms[0]
 
 
-def _first_match(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    """CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... END: first match, NULL values kept."""
-    expr = None
-    for cond, val in pairs:
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
+def lit_array(values: Sequence) -> str:
+    return "array(" + ", ".join(dlit(v) for v in values) + ")"
 
 
 # --------------------------------------------------------------------------
-# Wide form: one weight column per component, properties as literals.
+# Wide form: cleaned weight columns ws[i] (SQL names), literal properties.
 # --------------------------------------------------------------------------
 
-def wide_total(ws: Sequence[Column]) -> Column:
-    return balanced_sum(ws)
+def wide_weight_array(ws: Sequence[str]) -> str:
+    return "array(" + ", ".join(ws) + ")"
 
 
-def wide_mean(ws: Sequence[Column], props: Sequence) -> Column:
-    terms = [F.when(w != 0, _null()).otherwise(F.lit(0.0)) if _is_missing(p)
-             else w / 100.0 * F.lit(float(p)) for w, p in zip(ws, props)]
-    return balanced_sum(terms)
+def wide_positions(arr: str, n: int) -> dict[str, str]:
+    """1-based positions of the first top weight and of the first weight equal
+    to the second entry of the weights sorted descending."""
+    out = {"__pos1": f"CAST(array_position({arr}, array_max({arr})) AS INT)"}
+    out["__pos2"] = (f"CAST(array_position({arr}, element_at(sort_array({arr}, false), 2)) AS INT)"
+                     if n > 1 else "CAST(NULL AS INT)")
+    return out
+
 
+def _term(w: str, p, body: str) -> str:
+    return f"CASE WHEN {w} <> 0.0D THEN {NULL} ELSE 0.0D END" if is_missing(p) else body
 
-def wide_std(ws: Sequence[Column], props: Sequence, mean: Column) -> Column:
-    terms = [F.when(w != 0, _null()).otherwise(F.lit(0.0)) if _is_missing(p)
-             else w / 100.0 * F.abs(F.lit(float(p)) - mean) for w, p in zip(ws, props)]
-    return balanced_sum(terms)
 
+def wide_mean(ws: Sequence[str], props: Sequence) -> str:
+    return balanced_sum([_term(w, p, f"{w} / 100.0D * {dlit(p)}") for w, p in zip(ws, props)])
 
-def lit_array(values: Sequence) -> Column:
-    """A constant array<double> (folded by Catalyst into one literal)."""
-    return F.array(*[_lit(v) for v in values])
 
+def wide_std(ws: Sequence[str], props: Sequence, mean: str) -> str:
+    return balanced_sum([_term(w, p, f"{w} / 100.0D * abs({dlit(p)} - {mean})") for w, p in zip(ws, props)])
 
-def wide_min_max(ws: Sequence[Column], props: Sequence) -> tuple[Column, Column]:
-    """min / max of the property over present components, without lambdas.
 
-    Components are listed in ascending property order (a plan-time sort of the
-    literal values); the minimum is the property of the first present one in
-    that order and the maximum that of the first present one in reverse order.
-    Both are ``array_position`` over one boolean array: compiled code, no
-    per-property branching.
-    """
-    idx = sorted((i for i, p in enumerate(props) if not _is_missing(p)), key=lambda i: (props[i], i))
+def wide_extreme_positions(ws: Sequence[str], props: Sequence) -> tuple[str, str, list[float]] | None:
+    """For min/max without lambdas: components listed in ascending property order
+    (a plan-time sort of the literal values); the minimum is the property of the
+    first present one in that order, the maximum that of the first present one
+    in reverse order. Returns (k_lo, k_hi, sorted values) or None."""
+    idx = sorted((i for i, p in enumerate(props) if not is_missing(p)), key=lambda i: (props[i], i))
     if not idx:
-        return _null(), _null()
-    flags = F.array(*[ws[i] > 0 for i in idx])
-    vals = [float(props[i]) for i in idx]
-    k_lo = F.array_position(flags, True)
-    k_hi = F.array_position(F.reverse(flags), True)
-    lo = F.when(k_lo > 0, F.element_at(lit_array(vals), k_lo.cast("int")))
-    hi = F.when(k_hi > 0, F.element_at(lit_array(vals[::-1]), k_hi.cast("int")))
-    return lo, hi
+        return None
+    flags = "array(" + ", ".join(f"{ws[i]} > 0.0D" for i in idx) + ")"
+    return (f"CAST(array_position({flags}, true) AS INT)",
+            f"CAST(array_position(reverse({flags}), true) AS INT)",
+            [float(props[i]) for i in idx])
 
 
-def wide_top_positions(ws: Sequence[Column]) -> dict[str, Column]:
-    """1-based positions of the first top weight and of the first weight equal to
-    the second entry of the weights sorted descending (NULL with one component)."""
-    arr = F.array(*ws)
-    top = F.array_max(arr)
-    out = {"__pos1": F.array_position(arr, top).cast("int")}
-    if len(ws) > 1:
-        second = F.element_at(F.sort_array(arr, asc=False), 2)
-        out["__pos2"] = F.array_position(arr, second).cast("int")
-    else:
-        out["__pos2"] = F.lit(None).cast("int")
-    return out
+def wide_min_max(k_lo: str, k_hi: str, vals: list[float]) -> tuple[str, str]:
+    lo = f"CASE WHEN {k_lo} > 0 THEN element_at({lit_array(vals)}, {k_lo}) END"
+    hi = f"CASE WHEN {k_hi} > 0 THEN element_at({lit_array(vals[::-1])}, {k_hi}) END"
+    return lo, hi
 
 
-def wide_mode(props: Sequence, pos: Column) -> Column:
+def wide_mode(props: Sequence, pos: str) -> str:
     """Property at a 1-based component position."""
-    return F.element_at(lit_array(props), pos)
+    return f"element_at({lit_array(props)}, {pos})"
 
 
 # --------------------------------------------------------------------------
-# Item form: array<struct<component, w, props...>> of present components.
+# Item form: items = array<struct<c int, w double, p0 double, ...>>.
 # --------------------------------------------------------------------------
 
-def items_min_max(items: Column, prop: str) -> tuple[Column, Column]:
-    vals = F.transform(F.filter(items, lambda x: x["w"] > 0), lambda x: x[prop])
-    return F.array_min(vals), F.array_max(vals)
+def items_top(items: str, n_universe: int) -> dict[str, str]:
+    n_absent = f"({n_universe} - size({items}))"
+    return {"__n_absent": n_absent,
+            "__top": f"greatest(array_max(transform({items}, x -> x.w)), "
+                     f"CASE WHEN {n_absent} > 0 THEN 0.0D END)"}
+
 
+def items_second(items: str, top: str, n_absent: str, n_universe: int) -> str:
+    if n_universe < 2:
+        return NULL
+    n_top = f"(size(filter({items}, x -> x.w = {top})) + CASE WHEN {top} = 0.0D THEN {n_absent} ELSE 0 END)"
+    below = (f"greatest(array_max(filter(transform({items}, x -> x.w), v -> v < {top})), "
+             f"CASE WHEN {n_absent} > 0 AND {top} > 0.0D THEN 0.0D END)")
+    return f"CASE WHEN {n_top} >= 2 THEN {top} ELSE {below} END"
 
-def items_weighted_sum(items: Column, prop: str, term) -> Column:
-    """sum over items of ``term(w, p)``; NULL if a non-zero weight meets a NULL property."""
-    has_null = F.exists(items, lambda x: (x["w"] != 0) & x[prop].isNull())
-    total = F.aggregate(items, F.lit(0.0),
-                        lambda acc, x: acc + F.coalesce(term(x["w"], x[prop]), F.lit(0.0)))
-    return F.when(has_null, _null()).otherwise(total)
 
+def items_first_with(items: str, target: str, universe: Sequence[int]) -> str:
+    """First component (universe order) whose weight equals ``target``; absent
+    components weigh 0."""
+    uni = "array(" + ", ".join(str(int(c)) for c in universe) + ")"
+    present = f"try_element_at(filter({items}, x -> x.w = {target}), 1).c"
+    first_absent = f"array_min(array_except({uni}, transform({items}, x -> x.c)))"
+    return f"least({present}, CASE WHEN {target} = 0.0D THEN {first_absent} END)"
 
-def items_mean(items: Column, prop: str) -> Column:
-    return items_weighted_sum(items, prop, lambda w, p: w / 100.0 * p)
 
+def items_weighted_sum(items: str, field: str, term: str) -> str:
+    """sum of ``term`` (over x.w, x.<field>); NULL if a non-zero weight meets a NULL property."""
+    return (f"CASE WHEN exists({items}, x -> x.w <> 0.0D AND x.{field} IS NULL) THEN {NULL} "
+            f"ELSE aggregate({items}, 0.0D, (acc, x) -> acc + coalesce({term}, 0.0D)) END")
 
-def items_std(items: Column, prop: str, mean: Column) -> Column:
-    return items_weighted_sum(items, prop, lambda w, p: w / 100.0 * F.abs(p - mean))
 
+def items_mean(items: str, field: str) -> str:
+    return items_weighted_sum(items, field, f"x.w / 100.0D * x.{field}")
 
-def items_total(items: Column) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x["w"])
 
+def items_std(items: str, field: str, mean: str) -> str:
+    return items_weighted_sum(items, field, f"x.w / 100.0D * abs(x.{field} - {mean})")
 
-def items_top_weights(items: Column, n_universe: int) -> tuple[Column, Column]:
-    """(largest weight, second entry of all weights sorted descending).
 
-    Components of the universe missing from ``items`` weigh 0. The second is
-    NULL when the universe has a single component.
-    """
-    ws = F.transform(items, lambda x: x["w"])
-    n_absent = F.lit(n_universe) - F.size(items)
-    top = F.greatest(F.array_max(ws), F.when(n_absent > 0, F.lit(0.0)))
-    return top, n_absent
+def items_min_max(items: str, field: str) -> tuple[str, str]:
+    vals = f"transform(filter({items}, x -> x.w > 0.0D), x -> x.{field})"
+    return f"array_min({vals})", f"array_max({vals})"
 
 
-def items_second_weight(items: Column, top: Column, n_absent: Column, n_universe: int) -> Column:
-    if n_universe < 2:
-        return _null()
-    ws = F.transform(items, lambda x: x["w"])
-    n_top = F.size(F.filter(ws, lambda w: w == top)) + F.when(top == 0, n_absent).otherwise(0)
-    below = F.greatest(F.array_max(F.filter(ws, lambda w: w < top)),
-                       F.when((n_absent > 0) & (top > 0), F.lit(0.0)))
-    return F.when(n_top >= 2, top).otherwise(below)
-
-
-def items_first_with(items: Column, target: Column, universe: Sequence[int]) -> Column:
-    """First component (in universe order) whose weight equals ``target``."""
-    present = F.try_element_at(F.filter(items, lambda x: x["w"] == target),
-                               F.lit(1))["component"].cast("int")
-    first_absent = F.array_min(F.array_except(
-        F.array(*[F.lit(int(c)) for c in universe]),
-        F.transform(items, lambda x: x["component"].cast("int"))))
-    return F.least(present, F.when(target == 0, first_absent))
-
-
-def lookup_literal(component: Column, values: Mapping[int, object]) -> Column:
-    """Property of ``component`` from a bounded literal map (used once per entity)."""
-    keys = sorted(values)
-    return _first_match([(component == F.lit(int(k)), _lit(values[k])) for k in keys]) \
-        if len(keys) <= 64 else F.try_element_at(
-            F.map_from_arrays(F.array(*[F.lit(int(k)) for k in keys]),
-                              F.array(*[_lit(values[k]) for k in keys])), component)
+def items_total(items: str) -> str:
+    return f"aggregate({items}, 0.0D, (acc, x) -> acc + x.w)"
+
+
+def lookup_in_universe(component: str, universe: Sequence[int], values: Sequence) -> str:
+    """Property of a universe component (NULL component -> NULL)."""
+    uni = "array(" + ", ".join(str(int(c)) for c in universe) + ")"
+    return f"element_at({lit_array(values)}, CAST(array_position({uni}, {component}) AS INT))"

@@ -67,6 +67,10 @@ def _finish(df: DataFrame, out_cols: list[str], as_float: bool) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in out_cols})
 
 
+def _exprs(cols: Mapping[str, str]) -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in cols.items()}
+
+
 def composition_stats_wide(df: DataFrame, component_cols, props: DataFrame, property_cols: Sequence[str],
                            *, normalize: bool = False, as_float: bool = False,
                            names: Mapping[str, str] | None = None) -> DataFrame:
@@ -74,6 +78,7 @@ def composition_stats_wide(df: DataFrame, component_cols, props: DataFrame, prop
 
     ``component_cols`` maps component id -> weight column (or lists columns
     named by their component id). Properties absent from ``props`` are NULL.
+    Map-only: the plan is Scan -> Project, inside one compiled stage.
     """
     _, values = property_values(props, property_cols)
     return wide_stats_from_values(df, component_cols, values, property_cols, normalize=normalize,
@@ -86,38 +91,42 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
     """Wide form with the property values already in hand (``{prop: {component: value}}``)."""
     pairs = _component_columns(component_cols)
     names = dict(names or {})
-    wcols = [f"__w{i}" for i in range(len(pairs))]
-    stage = df.withColumns({w: C.clean_weight(F.col(c)) for w, (_, c) in zip(wcols, pairs)})
-    ws = [F.col(w) for w in wcols]
-    first = C.wide_top_positions(ws)
+    ws = [f"__w{i}" for i in range(len(pairs))]
+    # Stage 1: cleaned weights, each computed once.
+    stage = df.withColumns(_exprs({w: C.clean_weight(C.q(c)) for w, (_, c) in zip(ws, pairs)}))
+    # Stage 2: positions of the top two weights, extreme positions, means.
+    arr = C.wide_weight_array(ws)
+    first = C.wide_positions(arr, len(ws))
     if normalize:
-        first["__total"] = C.wide_total(ws)
-    stage = stage.withColumns(first)
-    out, means = {}, {}
-    for p in property_cols:
-        pv = [values[p].get(k) for k, _ in pairs]
-        mean = C.wide_mean(ws, pv)
-        if normalize:
-            mean = mean * 100.0 / F.col("__total")
-        means[f"__mean_{p}"] = mean
-    stage = stage.withColumns(means)
-    out_cols = []
-    for p in property_cols:
-        pv = [values[p].get(k) for k, _ in pairs]
+        first["__total"] = C.balanced_sum(ws)
+    pvals, extremes = {}, {}
+    for i, p in enumerate(property_cols):
+        pvals[p] = [values[p].get(k) for k, _ in pairs]
+        mean = C.wide_mean(ws, pvals[p])
+        first[f"__mean{i}"] = f"({mean}) * 100.0D / __total" if normalize else mean
+        ext = C.wide_extreme_positions(ws, pvals[p])
+        extremes[p] = ext
+        if ext is not None:
+            first[f"__klo{i}"], first[f"__khi{i}"] = ext[0], ext[1]
+    stage = stage.withColumns(_exprs(first))
+    # Stage 3: the six statistics per property.
+    out, out_cols = {}, []
+    for i, p in enumerate(property_cols):
         prefix = names.get(p, p)
-        std = C.wide_std(ws, pv, F.col(f"__mean_{p}"))
+        std = C.wide_std(ws, pvals[p], f"__mean{i}")
         if normalize:
-            std = std * 100.0 / F.col("__total")
-        lo, hi = C.wide_min_max(ws, pv)
-        stats = {"max": hi, "min": lo, "std": std, "mean": F.col(f"__mean_{p}"),
-                 "mode1": C.wide_mode(pv, F.col("__pos1")),
-                 "mode2": C.wide_mode(pv, F.col("__pos2"))}
+            std = f"({std}) * 100.0D / __total"
+        if extremes[p] is None:
+            lo = hi = C.NULL
+        else:
+            lo, hi = C.wide_min_max(f"__klo{i}", f"__khi{i}", extremes[p][2])
+        stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",
+                 "mode1": C.wide_mode(pvals[p], "__pos1"), "mode2": C.wide_mode(pvals[p], "__pos2")}
         for s in C.STAT_NAMES:
-            out[f"{prefix}_{s}"] = stats[s].cast("double")
+            out[f"{prefix}_{s}"] = f"CAST({stats[s]} AS DOUBLE)"
             out_cols.append(f"{prefix}_{s}")
-    stage = stage.withColumns(out)
-    private = wcols + list(first) + list(means)
-    return _finish(stage.drop(*private), out_cols, as_float)
+    stage = stage.withColumns(_exprs(out))
+    return _finish(stage.drop(*ws, *first), out_cols, as_float)
 
 
 def property_lookup(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
@@ -135,56 +144,59 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
                            as_float: bool = False, names: Mapping[str, str] | None = None) -> DataFrame:
     """A9/A10, long form: one output row per entity with ``<prop>_<stat>`` columns.
 
-    Components missing from ``props`` are ignored. Entities present only
-    with zero weights get the all-zero result; entities with no rows at all
-    are absent (there is nothing to key them by).
+    Plan: partial + final aggregate on (entity, component) -- duplicates
+    summed, hot entities collapsed map-side -- then a broadcast join to the
+    size-checked property table, then an aggregate on entity that gathers at
+    most |universe| items per entity, then array expressions.
+    Components missing from ``props`` are ignored. Entities given only with
+    zero weights get the all-zero result; entities with no rows are absent.
     """
     universe, values = property_values(props, property_cols, component_col)
     names = dict(names or {})
+    fields = [f"p{i}" for i in range(len(property_cols))]
     pre = (mix_long
            .select(F.col(entity_col).alias(entity_col),
-                   F.col(component_col).cast("int").alias("component"),
-                   C.clean_weight(F.col(weight_col)).alias("w"))
-           .groupBy(entity_col, "component").agg(F.sum("w").alias("w")))
-    small = props.select(F.col(component_col).cast("int").alias("component"),
-                         *[F.col(p).cast("double").alias(p) for p in property_cols])
+                   F.col(component_col).cast("int").alias("c"),
+                   F.expr(C.clean_weight(C.q(weight_col))).alias("w"))
+           .groupBy(entity_col, "c").agg(F.sum("w").alias("w")))
+    small = props.select(F.col(component_col).cast("int").alias("c"),
+                         *[F.col(p).cast("double").alias(f) for p, f in zip(property_cols, fields)])
     # Bounded by the check in property_values: at most MAX_COMPONENTS rows.
-    joined = pre.join(F.broadcast(small), "component")
+    joined = pre.join(F.broadcast(small), "c")
     # After the pre-aggregation each entity has at most len(universe) rows.
     items = (joined.groupBy(entity_col)
-             .agg(F.sort_array(F.collect_list(F.struct("component", "w", *property_cols)))
-                  .alias("__items")))
-    it = F.col("__items")
-    top, n_absent = C.items_top_weights(it, len(universe))
-    stage = items.withColumns({"__top": top, "__n_absent": n_absent})
-    stage = stage.withColumn("__second", C.items_second_weight(
-        it, F.col("__top"), F.col("__n_absent"), len(universe)))
-    first = {"__top_c": C.items_first_with(it, F.col("__top"), universe),
-             "__second_c": C.items_first_with(it, F.col("__second"), universe)}
+             .agg(F.sort_array(F.collect_list(F.struct("c", "w", *fields))).alias("__items")))
+    n = len(universe)
+    stage = items.withColumns(_exprs(C.items_top("__items", n)))
+    stage = stage.withColumn("__second", F.expr(C.items_second("__items", "__top", "__n_absent", n)))
+    first = {"__top_c": C.items_first_with("__items", "__top", universe),
+             "__second_c": C.items_first_with("__items", "__second", universe)}
     if normalize:
-        first["__total"] = C.items_total(it)
-    stage = stage.withColumns(first)
-    means = {}
-    for p in property_cols:
-        mean = C.items_mean(it, p)
-        means[f"__mean_{p}"] = mean * 100.0 / F.col("__total") if normalize else mean
-    stage = stage.withColumns(means)
+        first["__total"] = C.items_total("__items")
+    for i, f in enumerate(fields):
+        mean = C.items_mean("__items", f)
+        first[f"__mean{i}"] = f"({mean}) * 100.0D / __total" if normalize else mean
+    # __total must exist before the means that use it.
+    if normalize:
+        stage = stage.withColumn("__total", F.expr(first.pop("__total")))
+    stage = stage.withColumns(_exprs(first))
     out, out_cols = {}, []
-    for p in property_cols:
+    for i, (p, f) in enumerate(zip(property_cols, fields)):
         prefix = names.get(p, p)
-        std = C.items_std(it, p, F.col(f"__mean_{p}"))
+        std = C.items_std("__items", f, f"__mean{i}")
         if normalize:
-            std = std * 100.0 / F.col("__total")
-        lo, hi = C.items_min_max(it, p)
-        stats = {"max": hi, "min": lo, "std": std, "mean": F.col(f"__mean_{p}"),
-                 "mode1": C.lookup_literal(F.col("__top_c"), values[p]),
-                 "mode2": C.lookup_literal(F.col("__second_c"), values[p])}
+            std = f"({std}) * 100.0D / __total"
+        lo, hi = C.items_min_max("__items", f)
+        vals = [values[p].get(c) for c in universe]
+        stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",
+                 "mode1": C.lookup_in_universe("__top_c", universe, vals),
+                 "mode2": C.lookup_in_universe("__second_c", universe, vals)}
         for s in C.STAT_NAMES:
-            out[f"{prefix}_{s}"] = stats[s].cast("double")
+            out[f"{prefix}_{s}"] = f"CAST({stats[s]} AS DOUBLE)"
             out_cols.append(f"{prefix}_{s}")
-    stage = stage.withColumns(out)
-    return _finish(stage.drop("__items", "__top", "__n_absent", "__second", *first, *means),
-                   out_cols, as_float)
+    stage = stage.withColumns(_exprs(out))
+    private = ["__items", "__top", "__n_absent", "__second", "__total", *first]
+    return _finish(stage.drop(*private), out_cols, as_float)
 
 
 def long_to_wide(mix_long: DataFrame, universe: Sequence[int], *, entity_col: str = "entity_id",
