@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mixlens.functions.composition import balanced_sum
 
 # NBO/T coefficients by element (atomic number -> coefficient).
 # Numerator: Li + Na + K + Rb + Cs + 2 Mg + 2 Ca + 2 Sr + 2 Ba - Al - B
@@ -17,7 +16,13 @@ NBO_T_DENOMINATOR = {14: 1, 13: 1, 5: 1}
 
 
 def linear_combination(coefs: Mapping[str, float]) -> Column:
-    return balanced_sum([F.col(c).cast("double") * F.lit(float(k)) for c, k in coefs.items()])
+    terms = [F.col(c).cast("double") * F.lit(float(k)) for c, k in coefs.items()]
+    if not terms:
+        return F.lit(0.0)
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total
 
 
 def linear_ratio(num: Mapping[str, float], den: Mapping[str, float],

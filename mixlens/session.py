@@ -24,6 +24,10 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Fall back from whole-stage code generation when a fused method would be
+    # too large for the JVM's JIT (8000 bytes); such a method would otherwise
+    # run interpreted. Matters for the unrolled composition projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
