@@ -67,6 +67,13 @@ def _finish(df: DataFrame, out_cols: list[str], as_float: bool) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in out_cols})
 
 
+def pack_stats(df: DataFrame, prop: str, struct_col: str | None = None) -> DataFrame:
+    """Gather one property's six statistics into a struct column (the reference's
+    result shape); ``select('*', f'{struct_col}.*')`` expands it again (P3)."""
+    cols = [f"{prop}_{s}" for s in C.STAT_NAMES]
+    return df.withColumn(struct_col or prop, F.struct(*cols)).drop(*cols)
+
+
 def _exprs(cols: Mapping[str, str]) -> dict[str, Column]:
     return {k: F.expr(v) for k, v in cols.items()}
 

@@ -23,3 +23,18 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str = "table") -> list[Row]
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows (bounded check)."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                max_rows: int = 1_000_000) -> DataFrame:
+    """Join a per-key lookup table: broadcast when its size is proven small.
+
+    The check reads at most ``max_rows + 1`` rows of ``small``. Beyond the
+    bound the join is left to Spark (sort-merge, with AQE splitting skewed
+    partitions); a lookup table that large has many keys, so no single key
+    can hold a large share of it.
+    """
+    from pyspark.sql import functions as F
+    if has_at_most(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

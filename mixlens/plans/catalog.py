@@ -18,13 +18,14 @@ from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline,
 from mixlens.ml.transformers import CompositionStats
 from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
-                                           pack_components, property_lookup)
+                                           pack_components, pack_stats, property_lookup)
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
 from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_long, part_property, property_table
 from mixlens.session import scratch_path
-from mixlens.sinks import write_parquet, write_split, write_text
+from mixlens.operators.joins import lookup_join
+from mixlens.sinks import append_metrics, write_parquet, write_split, write_text
 from mixlens.sources.elements import element_table
 from mixlens.sources.files import read_lines, read_table, read_typed_csv, schema_from_json
 from mixlens.streaming.composition import run_stats_stream
@@ -119,8 +120,12 @@ def q_streaming_composition_stats(spark, sf):
 def q_feature_select(spark, sf):
     wide = _wide_mix(spark, sf)
     out = composition_stats_wide(wide, WEIGHT_COLS, property_table(spark, sf), STATS_PROPS)
+    # The statistics as one struct per property, expanded back by name.
+    packed = pack_stats(out, "s_filled", "s_filled_stats")
+    expanded = packed.select("*", "s_filled_stats.*").drop("s_filled_stats")
+    # P5: features chosen by name from a declared list, never by position.
     spec = ["1", "2", "3", "4", "5", *_stats_cols(["s_filled"])]
-    return _round_all(out.select("entity_id", *spec), ["entity_id"])
+    return _round_all(expanded.select("entity_id", *spec), ["entity_id"])
 
 
 def q_property_lookup(spark, sf):
@@ -275,10 +280,15 @@ def q_vector_assemble(spark, sf):
 
 def q_regression_metrics(spark, sf):
     lines = _lines(spark, sf)
+    # Per-flag mean as the prediction: a few rows, broadcast after a size check
+    # (a plain shuffle join on a 3-valued key would put a third of the lines
+    # in each of three tasks).
     means = lines.groupBy("l_returnflag").agg(F.avg(RF_LABEL).alias("prediction"))
-    scored = lines.join(means, "l_returnflag")
+    scored = lookup_join(lines, means, "l_returnflag")
     m = regression_metrics(scored, RF_LABEL, "prediction")
-    return m.select("n", rnd4("rmse").alias("rmse"), rnd4("mae").alias("mae"))
+    path = scratch_path(spark, "metrics")
+    append_metrics(m.select("n", rnd4("rmse").alias("rmse"), rnd4("mae").alias("mae")), path)
+    return spark.read.parquet(path)
 
 
 def q_rf_regression(spark, sf):
