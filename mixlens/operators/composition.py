@@ -32,15 +32,33 @@ MAX_COMPONENTS = 4096
 def property_values(props: DataFrame, property_cols: Sequence[str], component_col: str = "component",
                     max_components: int = MAX_COMPONENTS) -> tuple[list[int], dict[str, dict[int, float]]]:
     """Read a (bounded) property table: ordered universe and per-property values."""
+    rows = _property_rows(props, property_cols, component_col, max_components)
+    universe = [r["c"] for r in rows]
+    values = {p: {r["c"]: r[p] for r in rows} for p in property_cols}
+    return universe, values
+
+
+def _property_rows(props: DataFrame, property_cols: Sequence[str], component_col: str,
+                   max_components: int = MAX_COMPONENTS):
     rows = bounded_rows(props.select(F.col(component_col).cast("int").alias("c"),
                                      *[F.col(p).cast("double").alias(p) for p in property_cols]),
                         max_components, "property table")
     rows = sorted(rows, key=lambda r: r["c"])
-    universe = [r["c"] for r in rows]
-    if len(set(universe)) != len(universe):
+    comps = [r["c"] for r in rows]
+    if len(set(comps)) != len(comps):
         raise ValueError("property table has duplicate components")
-    values = {p: {r["c"]: r[p] for r in rows} for p in property_cols}
-    return universe, values
+    return rows
+
+
+def _local_properties(props: DataFrame, property_cols: Sequence[str], component_col: str,
+                      names: Sequence[str]) -> tuple[list, DataFrame]:
+    """The bounded property table read once, and the same rows as a local relation
+    (so the broadcast side does not recompute whatever produced ``props``)."""
+    rows = _property_rows(props, property_cols, component_col)
+    spark = props.sparkSession
+    schema = ", ".join([f"{names[0]} int"] + [f"`{n}` double" for n in names[1:]])
+    local = spark.createDataFrame([tuple(r) for r in rows], schema)
+    return rows, local
 
 
 def _component_columns(component_cols) -> list[tuple[int, str]]:
@@ -139,9 +157,7 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
 def property_lookup(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
                     component_col: str = "component", max_components: int = MAX_COMPONENTS) -> DataFrame:
     """Attach component properties by a broadcast equi-join (size checked first)."""
-    bounded_rows(props.select(component_col), max_components, "property table")
-    small = props.select(F.col(component_col).cast("int").alias(component_col),
-                         *[F.col(p).cast("double").alias(p) for p in property_cols])
+    _, small = _local_properties(props, property_cols, component_col, [component_col, *property_cols])
     return mix_long.join(F.broadcast(small), component_col)
 
 
@@ -158,17 +174,17 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     Components missing from ``props`` are ignored. Entities given only with
     zero weights get the all-zero result; entities with no rows are absent.
     """
-    universe, values = property_values(props, property_cols, component_col)
     names = dict(names or {})
     fields = [f"p{i}" for i in range(len(property_cols))]
+    rows, small = _local_properties(props, property_cols, component_col, ["c", *fields])
+    universe = [r["c"] for r in rows]
+    values = {p: {r["c"]: r[p] for r in rows} for p in property_cols}
     pre = (mix_long
            .select(F.col(entity_col).alias(entity_col),
                    F.col(component_col).cast("int").alias("c"),
                    F.expr(C.clean_weight(C.q(weight_col))).alias("w"))
            .groupBy(entity_col, "c").agg(F.sum("w").alias("w")))
-    small = props.select(F.col(component_col).cast("int").alias("c"),
-                         *[F.col(p).cast("double").alias(f) for p, f in zip(property_cols, fields)])
-    # Bounded by the check in property_values: at most MAX_COMPONENTS rows.
+    # ``small`` is a local relation of at most MAX_COMPONENTS rows (checked).
     joined = pre.join(F.broadcast(small), "c")
     # After the pre-aggregation each entity has at most len(universe) rows.
     items = (joined.groupBy(entity_col)
