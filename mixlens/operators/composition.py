@@ -123,16 +123,13 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
     arr = C.wide_weight_array(ws)
     first = C.wide_positions(arr, len(ws))
     if normalize:
-        first["__total"] = C.balanced_sum(ws)
-    pvals, extremes = {}, {}
+        # Its own projection: the means below refer to it.
+        stage = stage.withColumn("__total", F.expr(C.balanced_sum(ws)))
+    pvals = {}
     for i, p in enumerate(property_cols):
         pvals[p] = [values[p].get(k) for k, _ in pairs]
         mean = C.wide_mean(ws, pvals[p])
         first[f"__mean{i}"] = f"({mean}) * 100.0D / __total" if normalize else mean
-        ext = C.wide_extreme_positions(ws, pvals[p])
-        extremes[p] = ext
-        if ext is not None:
-            first[f"__klo{i}"], first[f"__khi{i}"] = ext[0], ext[1]
     stage = stage.withColumns(_exprs(first))
     # Stage 3: the six statistics per property.
     out, out_cols = {}, []
@@ -141,17 +138,14 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
         std = C.wide_std(ws, pvals[p], f"__mean{i}")
         if normalize:
             std = f"({std}) * 100.0D / __total"
-        if extremes[p] is None:
-            lo = hi = C.NULL
-        else:
-            lo, hi = C.wide_min_max(f"__klo{i}", f"__khi{i}", extremes[p][2])
+        lo, hi = C.wide_min_max(ws, pvals[p])
         stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",
                  "mode1": C.wide_mode(pvals[p], "__pos1"), "mode2": C.wide_mode(pvals[p], "__pos2")}
         for s in C.STAT_NAMES:
             out[f"{prefix}_{s}"] = f"CAST({stats[s]} AS DOUBLE)"
             out_cols.append(f"{prefix}_{s}")
     stage = stage.withColumns(_exprs(out))
-    return _finish(stage.drop(*ws, *first), out_cols, as_float)
+    return _finish(stage.drop(*ws, "__total", *first), out_cols, as_float)
 
 
 def property_lookup(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
