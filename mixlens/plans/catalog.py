@@ -300,6 +300,53 @@ def q_rf_regression(spark, sf):
     return model.transform(test).select("l_orderkey", "l_linenumber", RF_LABEL, "prediction")
 
 
+# --------------------------------------------- end-to-end jobs (ETL, training)
+
+def _mix_schema_json() -> dict:
+    fields = [{"name": "entity_id", "type": "long", "nullable": True, "metadata": {}}]
+    fields += [{"name": c, "type": "double", "nullable": True, "metadata": {}} for c in WEIGHT_COLS]
+    return {"type": "struct", "fields": fields}
+
+
+def _etl(spark, sf) -> str:
+    """Raw CSV with a JSON schema -> pipeline of composition stages -> Parquet; returns its path."""
+    from pyspark.ml import Pipeline
+    raw = scratch_path(spark, "raw_mix_csv")
+    _wide_mix(spark, sf).write.option("header", "true").csv(raw)
+    df = read_typed_csv(spark, raw, schema_from_json(_mix_schema_json()))
+    props = property_table(spark, sf)
+    stages = [CompositionStats.from_table(props, [p], WEIGHT_COLS) for p in STATS_PROPS]
+    out = scratch_path(spark, "transformed")
+    write_parquet(Pipeline(stages=stages).fit(df).transform(df), out)
+    return out
+
+
+def q_etl_job(spark, sf):
+    back = spark.read.parquet(_etl(spark, sf))
+    return _round_all(back.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
+
+
+ML_FEATURES = _stats_cols(STATS_PROPS)
+
+
+def q_ml_job(spark, sf):
+    """Composition features -> label bins -> hash split written by partition ->
+    forest fit, save, load, score -> metrics appended to a table."""
+    feats = spark.read.parquet(_etl(spark, sf)).select("entity_id", *ML_FEATURES)
+    orders = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("entity_id"),
+                                                    F.col("o_totalprice").alias("label"))
+    table = feats.join(orders, "entity_id")
+    binned = binning.equal_width_bins(table, "label", N_BINS, "stratum")
+    splits = scratch_path(spark, "ml_splits")
+    write_split(split.train_test_split(binned, ["entity_id"], TEST_SIZE), splits, drop=("stratum",))
+    data = spark.read.parquet(splits).na.fill(0.0, ML_FEATURES)
+    model = fit_save_load(regression_pipeline(ML_FEATURES, "label", seed=SEED),
+                          data.where(F.col("split") == "train"), scratch_path(spark, "ml_model"))
+    pred = model.transform(data.where(F.col("split") == "test")).select("entity_id", "label", "prediction")
+    append_metrics(regression_metrics(pred, "label"), scratch_path(spark, "ml_metrics"))
+    return pred
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composition_stats_long": q_composition_stats_long,
     "composition_stats_wide": q_composition_stats_wide,
@@ -333,4 +380,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vector_assemble": q_vector_assemble,
     "regression_metrics": q_regression_metrics,
     "rf_regression": q_rf_regression,
+    "etl_job": q_etl_job,
+    "ml_job": q_ml_job,
 }

@@ -145,7 +145,7 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     full = stats_sql(props)
     for name in ("composition_stats_long", "composition_stats_wide", "feature_pipeline",
-                 "parquet_roundtrip", "streaming_composition_stats"):
+                 "parquet_roundtrip", "streaming_composition_stats", "etl_job"):
         q[name] = full
     q["composition_min_max"] = stats_sql(props, ("min", "max"))
     q["composition_mean_mad"] = stats_sql(props, ("mean", "std"))
