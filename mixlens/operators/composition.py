@@ -129,7 +129,7 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
     for i, p in enumerate(property_cols):
         pvals[p] = [values[p].get(k) for k, _ in pairs]
         mean = C.wide_mean(ws, pvals[p])
-        first[f"__mean{i}"] = f"({mean}) * 100.0D / __total" if normalize else mean
+        first[f"__mean{i}"] = f"try_divide(({mean}) * 100.0D, __total)" if normalize else mean
     stage = stage.withColumns(_exprs(first))
     # Stage 3: the six statistics per property.
     out, out_cols = {}, []
@@ -137,7 +137,7 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
         prefix = names.get(p, p)
         std = C.wide_std(ws, pvals[p], f"__mean{i}")
         if normalize:
-            std = f"({std}) * 100.0D / __total"
+            std = f"try_divide(({std}) * 100.0D, __total)"
         lo, hi = C.wide_min_max(ws, pvals[p])
         stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",
                  "mode1": C.wide_mode(pvals[p], "__pos1"), "mode2": C.wide_mode(pvals[p], "__pos2")}
@@ -192,7 +192,7 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
         first["__total"] = C.items_total("__items")
     for i, f in enumerate(fields):
         mean = C.items_mean("__items", f)
-        first[f"__mean{i}"] = f"({mean}) * 100.0D / __total" if normalize else mean
+        first[f"__mean{i}"] = f"try_divide(({mean}) * 100.0D, __total)" if normalize else mean
     # __total must exist before the means that use it.
     if normalize:
         stage = stage.withColumn("__total", F.expr(first.pop("__total")))
@@ -202,7 +202,7 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
         prefix = names.get(p, p)
         std = C.items_std("__items", f, f"__mean{i}")
         if normalize:
-            std = f"({std}) * 100.0D / __total"
+            std = f"try_divide(({std}) * 100.0D, __total)"
         lo, hi = C.items_min_max("__items", f)
         vals = [values[p].get(c) for c in universe]
         stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",

@@ -99,6 +99,15 @@ def test_normalize_option(spark):
     assert row["prop_mean"] == pytest.approx(4.0) and row["prop_std"] == pytest.approx(3.0)
 
 
+def test_normalize_all_zero_gives_null(spark):
+    wide = _wide(spark, [([0.0, 0.0, 0.0, 0.0],)])
+    row = composition_stats_wide(wide, COLS, _props(spark), ["prop"], normalize=True).collect()[0]
+    assert row["prop_mean"] is None and row["prop_std"] is None and row["prop_mode1"] == 1.0
+    long = wide_to_long(wide, COLS, keep_zero=True)
+    row = composition_stats_long(long, _props(spark), ["prop"], normalize=True).collect()[0]
+    assert row["prop_mean"] is None and row["prop_std"] is None and row["prop_mode1"] == 1.0
+
+
 def test_float_parity_mode(spark):
     out = composition_stats_wide(_wide(spark, EDGE_ROWS[:1]), COLS, _props(spark), ["prop"], as_float=True)
     assert dict(out.dtypes)["prop_mean"] == "float"
