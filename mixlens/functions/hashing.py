@@ -49,10 +49,26 @@ def draw_below(u: Column, fraction: float) -> Column:
     return u < F.lit(t)
 
 
+def _threshold_text(fraction: float) -> str:
+    """Threshold as text: '' never draws, 'g' (above every hex digit) always draws."""
+    if fraction >= 1.0:
+        return "g"
+    if fraction <= 0:
+        return ""
+    return threshold_hex(fraction)
+
+
 def draw_by_stratum(u: Column, stratum: Column, fractions: Mapping[object, float]) -> Column:
-    """True when the row is drawn at its stratum's rate; unknown strata -> False."""
-    expr = None
-    for key, frac in fractions.items():
-        cond = stratum.isNull() if key is None else stratum == F.lit(key)
-        expr = F.when(cond, draw_below(u, frac)) if expr is None else expr.when(cond, draw_below(u, frac))
-    return F.lit(False) if expr is None else expr.otherwise(F.lit(False))
+    """True when the row is drawn at its stratum's rate; unknown strata -> False.
+
+    One lookup of the stratum in a literal map of thresholds (the stratum
+    expression is referenced once, however many strata there are).
+    """
+    keyed = {k: _threshold_text(f) for k, f in fractions.items() if k is not None}
+    lookup = F.lit(None).cast("string")
+    if keyed:
+        m = F.create_map(*[x for k, t in keyed.items() for x in (F.lit(k), F.lit(t))])
+        lookup = F.try_element_at(m, stratum)
+    if None in fractions:
+        lookup = F.when(stratum.isNull(), F.lit(_threshold_text(fractions[None]))).otherwise(lookup)
+    return F.coalesce(u < lookup, F.lit(False))
