@@ -12,7 +12,12 @@ Plan shape of ``mix_long``: lineitem |><| part on the part key (Spark/AQE
 choose broadcast or sort-merge by measured size; skewed keys are split by
 AQE), then an aggregate on (entity, component) with map-side partial
 aggregation -- after it an entity has at most 50 rows however many lines it
-had -- then the entity total by a window over those few rows.
+had -- then the entity total by a window over those few rows. Later
+aggregates on the entity reuse the window's partitioning (no third shuffle).
+
+Two shuffles, on purpose: a single aggregate keyed by the entity alone with
+one conditional sum per component does the same in one shuffle, but costs
+|universe| conditional updates per input line; measured 3x slower at sf0.1.
 """
 
 from __future__ import annotations
