@@ -74,9 +74,11 @@ def pack_components(component_cols) -> Column:
     return F.array(*[F.col(c).cast("double") for _, c in _component_columns(component_cols)])
 
 
-def present_components(weights: Column) -> Column:
-    """Keep the entries with weight strictly above 0 (array form)."""
-    return F.filter(weights, lambda w: w > 0)
+def present_components(component_cols) -> Column:
+    """Ids of the components with weight strictly above 0, in component order."""
+    pairs = _component_columns(component_cols)
+    return F.filter(F.array(*[F.when(F.col(c).cast("double") > 0, F.lit(k)) for k, c in pairs]),
+                    lambda k: k.isNotNull())
 
 
 def _finish(df: DataFrame, out_cols: list[str], as_float: bool) -> DataFrame:

@@ -18,7 +18,8 @@ from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline,
 from mixlens.ml.transformers import CompositionStats
 from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
-                                           pack_components, pack_stats, property_lookup)
+                                           pack_components, pack_stats, present_components,
+                                           property_lookup)
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
@@ -135,9 +136,7 @@ def q_property_lookup(spark, sf):
 
 def q_present_components(spark, sf):
     wide = _wide_mix(spark, sf)
-    pairs = F.arrays_zip(F.array(*[F.lit(c) for c in UNIVERSE]).alias("c"),
-                         pack_components(WEIGHT_COLS).alias("w"))
-    present = F.transform(F.filter(pairs, lambda x: x["w"] > 0), lambda x: x["c"])
+    present = present_components(WEIGHT_COLS)
     return wide.select("entity_id", F.size(present).alias("n_present"),
                        F.array_join(present, ",").alias("present"))
 
