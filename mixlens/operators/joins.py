@@ -29,12 +29,18 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                 max_rows: int = 1_000_000) -> DataFrame:
     """Join a per-key lookup table: broadcast when its size is proven small.
 
-    The check reads at most ``max_rows + 1`` rows of ``small``. Beyond the
-    bound the join is left to Spark (sort-merge, with AQE splitting skewed
-    partitions); a lookup table that large has many keys, so no single key
-    can hold a large share of it.
+    ``small`` (typically an aggregate of ``big``) is computed once and
+    checkpointed to the session's checkpoint folder, so the bounded size check
+    (at most ``max_rows + 1`` rows read) and the join reuse the stored result
+    instead of recomputing it. Beyond the bound the join is left to Spark
+    (sort-merge, with AQE splitting skewed partitions); a lookup table that
+    large has many keys, so no single key can hold a large share of it.
     """
     from pyspark.sql import functions as F
+
+    from mixlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
     if has_at_most(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
