@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.operators.joins import TooLargeError, has_at_most
+from mixlens.session import ensure_checkpoint_dir
 
 # Electron capacity of each subshell letter.
 SUBSHELL_CAPACITY = {"s": 2, "p": 6, "d": 10, "f": 14}
@@ -52,8 +53,13 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[st
     bounded tables such as the element dimension.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    if not partition_by and not has_at_most(df, MAX_UNPARTITIONED_FILL):
-        raise TooLargeError("forward_fill without partition_by needs a bounded table")
+    if not partition_by:
+        # Computed once into the checkpoint folder; the size check and the
+        # window then read the stored (bounded) table.
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        if not has_at_most(df, MAX_UNPARTITIONED_FILL):
+            raise TooLargeError("forward_fill without partition_by needs a bounded table")
     w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
