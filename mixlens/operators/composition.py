@@ -183,6 +183,10 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     # ``small`` is a local relation of at most MAX_COMPONENTS rows (checked).
     joined = pre.join(F.broadcast(small), "c")
     # After the pre-aggregation each entity has at most len(universe) rows.
+    # Only the gather happens in this aggregate: collect_list makes Spark use
+    # its object (interpreted) aggregate for every function in the step, so
+    # min/max/mean run faster as array functions over the few gathered items
+    # (measured: adding them as aggregates here was 15-30% slower).
     items = (joined.groupBy(entity_col)
              .agg(F.sort_array(F.collect_list(F.struct("c", "w", *fields))).alias("__items")))
     n = len(universe)
