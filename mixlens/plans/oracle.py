@@ -1,9 +1,9 @@
 """DuckDB SQL for the correctness gate: brute-force forms of each query.
 
-The composition oracle materialises the *dense* matrix (every entity x every
-component of the universe, absent ones at weight 0) and ranks it, which is
-the reference's array definition written out literally. It is meant for the
-small correctness scale only; the Spark plans never build it.
+The composition oracle materialises the *dense* matrix (each entity expanded
+over every component of the universe, absent ones at weight 0) and ranks it,
+which is the reference's array definition written out literally. It is meant
+for the small correctness scale only; the Spark plans never build it.
 """
 
 from __future__ import annotations
@@ -65,11 +65,11 @@ def stats_sql(prop_cols: list[str], stats: tuple[str, ...] = ("max", "min", "std
     n = len(UNIVERSE)
     lo, hi = min(UNIVERSE), max(UNIVERSE)
     ctes = [mix_long_cte(by), props_cte(),
-            f"universe AS (SELECT CAST(range AS INTEGER) AS component FROM range({lo}, {hi + 1}))",
             f"ents AS (SELECT DISTINCT entity_id FROM {mix})",
             f"mw AS (SELECT entity_id, component, sum(coalesce(weight_pct, 0)) AS w FROM {mix} GROUP BY 1, 2)",
-            "dense AS (SELECT e.entity_id, u.component, coalesce(mw.w, 0.0) AS w FROM ents e "
-            "CROSS JOIN universe u LEFT JOIN mw ON mw.entity_id = e.entity_id AND mw.component = u.component)",
+            f"grid AS (SELECT entity_id, CAST(unnest(range({lo}, {hi + 1})) AS INTEGER) AS component FROM ents)",
+            "dense AS (SELECT g.entity_id, g.component, coalesce(mw.w, 0.0) AS w FROM grid g "
+            "LEFT JOIN mw ON mw.entity_id = g.entity_id AND mw.component = g.component)",
             "d AS (SELECT dense.*, " + ", ".join(f"CAST(pr.{p} AS DOUBLE) AS {p}" for p in prop_cols)
             + " FROM dense JOIN props pr ON pr.component = dense.component)",
             "ranked AS (SELECT d.*, row_number() OVER (PARTITION BY entity_id ORDER BY w DESC, component) AS rk FROM d)",
@@ -116,9 +116,9 @@ def _binned_cte() -> str:
                 f"lo + (hi - lo) * CAST({i} AS DOUBLE) / CAST(5 AS DOUBLE) AS e{i}" for i in range(6))
             + " FROM rng),\n"
             "binned AS (SELECT o.o_orderkey, o.o_totalprice, CASE "
-            + " ".join(f"WHEN o.o_totalprice >= e{k} AND o.o_totalprice {'<=' if k == 4 else '<'} e{k + 1} "
-                       f"THEN '{k}'" for k in range(5))
-            + " END AS stratum FROM orders o, edges)")
+            + " ".join(f"WHEN o.o_totalprice >= (SELECT e{k} FROM edges) AND o.o_totalprice "
+                       f"{'<=' if k == 4 else '<'} (SELECT e{k + 1} FROM edges) THEN '{k}'" for k in range(5))
+            + " END AS stratum FROM orders o)")
 
 
 HASH_TRAIN = "substr(md5(CAST({key} AS VARCHAR)), 1, 8) < 'cccccccc'"
@@ -175,11 +175,11 @@ def oracle_queries() -> dict[str, str]:
 
     q["composition_pack"] = (
         "WITH " + mix_long_cte() + ",\n"
-        f"universe AS (SELECT CAST(range AS INTEGER) AS component FROM range({lo}, {hi + 1})),\n"
         "ents AS (SELECT DISTINCT entity_id FROM mix_long),\n"
         "mw AS (SELECT entity_id, component, sum(weight_pct) AS w FROM mix_long GROUP BY 1, 2),\n"
-        "dense AS (SELECT e.entity_id, u.component, coalesce(mw.w, 0.0) AS w FROM ents e CROSS JOIN universe u "
-        "LEFT JOIN mw ON mw.entity_id = e.entity_id AND mw.component = u.component)\n"
+        f"grid AS (SELECT entity_id, CAST(unnest(range({lo}, {hi + 1})) AS INTEGER) AS component FROM ents),\n"
+        "dense AS (SELECT g.entity_id, g.component, coalesce(mw.w, 0.0) AS w FROM grid g "
+        "LEFT JOIN mw ON mw.entity_id = g.entity_id AND mw.component = g.component)\n"
         f"SELECT entity_id, CAST({len(UNIVERSE)} AS INTEGER) AS n_components, "
         "string_agg(CAST(CAST(round(w * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY component) AS packed_ppm "
         "FROM dense GROUP BY entity_id")
