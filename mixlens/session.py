@@ -36,7 +36,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """Build (or reuse) a local session with the settings used by tests and bench."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "16g")
+               # Local runs only: tables saved by tests/bench go to a temp folder.
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="mixlens-wh-")))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -27,3 +27,16 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
 def write_text(df: DataFrame, col: str, path: str, mode: str = "overwrite") -> None:
     """One line per value (values may themselves hold newlines)."""
     df.select(col).write.mode(mode).text(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
+                   mode: str = "overwrite") -> DataFrame:
+    """Store ``df`` as a table bucketed by ``key`` at ``path`` and return it.
+
+    Later aggregates and joins on ``key`` (e.g. the long-form statistics by
+    entity) read the buckets as an existing hash partitioning and need no
+    shuffle. The bucket count is fixed at write time; pick it from the data
+    size (about 128-512 MB per bucket file).
+    """
+    df.write.mode(mode).bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -53,3 +53,15 @@ def test_hot_entity_is_collapsed_before_the_shuffle(spark):
     assert got[1]["prop_mean"] == pytest.approx(3.0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan  # map-side combine before the exchange
+
+
+def test_bucketed_mix_needs_no_shuffle(spark):
+    import uuid
+
+    from mixlens.sinks import write_bucketed
+    mix = spark.createDataFrame([(e, c, 100.0 / 3) for e in range(40) for c in (1, 2, 3)],
+                                "entity_id long, component int, weight_pct double")
+    table = write_bucketed(mix, f"mix_{uuid.uuid4().hex[:8]}", scratch_path(spark, "bucketed"), "entity_id", 4)
+    out = composition_stats_long(table, _props(spark), ["prop"])
+    assert out.count() == 40
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
