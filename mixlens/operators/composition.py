@@ -244,3 +244,26 @@ def wide_to_long(df: DataFrame, component_cols, *, entity_col: str = "entity_id"
         for k, c in pairs])).alias("__e"))
     out = stacked.select(entity_col, "__e.component", "__e.weight_pct")
     return out if keep_zero else out.where(F.col("weight_pct") > 0)
+
+
+def atomic_property_stats(df: DataFrame, element_df: DataFrame, property_id: str, component_cols,
+                          **kw) -> DataFrame:
+    """A9 for one property: add ``<property>_{max,min,std,mean,mode1,mode2}``.
+
+    ``element_df`` is keyed by ``component`` (e.g. the atomic number); run
+    ``forward_fill`` on it first if gaps should take the previous element's value.
+    """
+    return composition_stats_wide(df, component_cols, element_df, [property_id], **kw)
+
+
+def electron_property_stats(df: DataFrame, element_df: DataFrame, shell: str, component_cols,
+                            filled: bool = True, **kw) -> DataFrame:
+    """A10 for one subshell: statistics of its filled (or unfilled) electron count.
+
+    ``element_df`` either has the ``<shell>_filled``/``_unfilled`` columns or an
+    ``electronic_configuration`` column to derive them from.
+    """
+    from mixlens.operators.properties import electron_shells
+    col = f"{shell}_{'filled' if filled else 'unfilled'}"
+    table = element_df if col in element_df.columns else electron_shells(element_df)
+    return composition_stats_wide(df, component_cols, table, [col], **kw)

@@ -141,3 +141,18 @@ def test_property_table_size_is_checked(spark):
     big = spark.range(0, 20).select(F.col("id").cast("int").alias("component"), F.lit(1.0).alias("p"))
     with pytest.raises(TooLargeError):
         property_values(big, ["p"], max_components=10)
+
+
+def test_single_property_entry_points(spark):
+    from mixlens.operators.composition import atomic_property_stats, electron_property_stats
+    from mixlens.sources.elements import element_table
+    # O 60 %, Si 30 %, Na 10 % as columns named by atomic number
+    wide = spark.createDataFrame([(1, 60.0, 30.0, 10.0)], "entity_id long, `8` double, `14` double, `11` double")
+    cols = ["8", "14", "11"]
+    out = electron_property_stats(wide, element_table(spark), "p", cols, filled=False).collect()[0]
+    # unfilled p: O 2, Si 4, Na 6
+    assert out["p_unfilled_mean"] == pytest.approx(0.6 * 2 + 0.3 * 4 + 0.1 * 6)
+    assert out["p_unfilled_mode1"] == 2 and out["p_unfilled_mode2"] == 4
+    radius = spark.createDataFrame([(8, 0.66), (11, 1.66), (14, 1.11)], "component int, r double")
+    out = atomic_property_stats(wide, radius, "r", cols).collect()[0]
+    assert out["r_max"] == 1.66 and out["r_min"] == 0.66
