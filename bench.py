@@ -37,30 +37,31 @@ PROPS = ["s_filled", "min_price"]
 
 
 def python_udf_stats(wide, props_df):
-    """Row-at-a-time Python UDF form (the slow path), for comparison only."""
+    """Row-at-a-time Python UDF form (the slow path), for comparison only.
+
+    Shaped like the reference's approach: one UDF per property over the packed
+    weight array, returning a struct that is then expanded into columns.
+    """
     _, values = property_values(props_df, PROPS)
-    fields = []
+    out = wide.select("entity_id", F.array(*[F.col(c) for c in WEIGHT_COLS]).alias("w"))
     for p in PROPS:
-        fields += [T.StructField(f"{p}_{s}", T.DoubleType()) for s in ("max", "min", "std", "mean", "mode1", "mode2")]
-    arrays = {p: np.array([values[p].get(c, np.nan) for c in UNIVERSE], dtype=float) for p in PROPS}
-
-    def stats(ws):
-        w = np.array([0.0 if x is None else x for x in ws])
-        out = []
-        order = np.sort(w)
-        for p in PROPS:
-            pv = arrays[p]
+        pv = np.array([values[p].get(c, np.nan) for c in UNIVERSE], dtype=float)
+        schema = T.StructType([T.StructField(f"{p}_{s}", T.DoubleType())
+                               for s in ("max", "min", "std", "mean", "mode1", "mode2")])
+
+        def stats(ws, pv=pv):
+            w = np.array([0.0 if x is None else x for x in ws])
             present = pv[w > 0]
             mean = float(np.dot(w / 100, pv))
             std = float(np.dot(w / 100, np.abs(pv - mean)))
+            order = np.sort(w)
             m1 = pv[np.where(w == order[-1])[0][0]]
             m2 = pv[np.where(w == order[-2])[0][0]]
-            out += [float(present.max()) if present.size else None, float(present.min()) if present.size else None,
-                    std, mean, float(m1), float(m2)]
-        return tuple(out)
+            return (float(present.max()) if present.size else None,
+                    float(present.min()) if present.size else None, std, mean, float(m1), float(m2))
 
-    udf = F.udf(stats, T.StructType(fields))
-    return wide.select("entity_id", udf(F.array(*[F.col(c) for c in WEIGHT_COLS])).alias("s")).select("entity_id", "s.*")
+        out = out.withColumn(p, F.udf(stats, schema)("w")).select("*", f"{p}.*").drop(p)
+    return out.drop("w")
 
 
 def timed(df_fn) -> float:
