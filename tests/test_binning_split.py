@@ -66,3 +66,14 @@ def test_seeded_sample_runs(spark):
     df = spark.range(0, 1000).withColumn("g", F.lit("0"))
     n = split.sample_by_seeded(df, "g", {"0": 0.8}, 42).count()
     assert 700 < n < 900
+
+
+def test_null_stratum_rules(spark):
+    df = spark.range(0, 4000).withColumn("g", F.when(F.col("id") % 2 == 0, F.lit("0")))
+    # the split keeps every row, NULL stratum included
+    parts = split.train_test_split(df, ["id"], 0.2)
+    assert parts.count() == 4000 and parts.where("g IS NULL").count() == 2000
+    # sampling draws a NULL stratum only when asked to
+    assert split.sample_by_hash(df, ["id"], "g", {"0": 1.0}).where("g IS NULL").count() == 0
+    got = split.sample_by_hash(df, ["id"], "g", {"0": 1.0, None: 0.5}).where("g IS NULL").count()
+    assert 850 < got < 1150
