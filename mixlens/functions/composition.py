@@ -147,28 +147,36 @@ def wide_mode(props: Sequence, pos: str) -> str:
 # Item form: items = array<struct<c int, w double, p0 double, ...>>.
 # --------------------------------------------------------------------------
 
-def items_top(items: str, n_universe: int) -> dict[str, str]:
-    n_absent = f"({n_universe} - size({items}))"
-    return {"__n_absent": n_absent,
-            "__top": f"greatest(array_max(transform({items}, x -> x.w)), "
-                     f"CASE WHEN {n_absent} > 0 THEN 0.0D END)"}
+def items_arrays(items: str, n_universe: int) -> dict[str, str]:
+    """Weights and components of the items as plain arrays (one lambda pass each)."""
+    return {"__ws": f"transform({items}, x -> x.w)", "__cs": f"transform({items}, x -> x.c)",
+            "__n_absent": f"({n_universe} - size({items}))"}
 
 
-def items_second(items: str, top: str, n_absent: str, n_universe: int) -> str:
+def items_top(ws: str, n_absent: str) -> str:
+    """Largest weight; absent components weigh 0."""
+    return f"greatest(array_max({ws}), CASE WHEN {n_absent} > 0 THEN 0.0D END)"
+
+
+def items_second(ws: str, top: str, n_absent: str, n_universe: int) -> str:
+    """Second entry of all weights sorted descending (ties kept). ``array_remove``
+    drops every copy of the top; absent components weigh 0."""
     if n_universe < 2:
         return NULL
-    n_top = f"(size(filter({items}, x -> x.w = {top})) + CASE WHEN {top} = 0.0D THEN {n_absent} ELSE 0 END)"
-    below = (f"greatest(array_max(filter(transform({items}, x -> x.w), v -> v < {top})), "
-             f"CASE WHEN {n_absent} > 0 AND {top} > 0.0D THEN 0.0D END)")
+    rest = f"array_remove({ws}, {top})"
+    n_top = f"(size({ws}) - size({rest}) + CASE WHEN {top} = 0.0D THEN {n_absent} ELSE 0 END)"
+    below = f"greatest(array_max({rest}), CASE WHEN {n_absent} > 0 AND {top} > 0.0D THEN 0.0D END)"
     return f"CASE WHEN {n_top} >= 2 THEN {top} ELSE {below} END"
 
 
-def items_first_with(items: str, target: str, universe: Sequence[int]) -> str:
+def items_first_with(cs: str, ws: str, target: str, universe: Sequence[int]) -> str:
     """First component (universe order) whose weight equals ``target``; absent
-    components weigh 0."""
+    components weigh 0. Items are sorted by component, so the first matching
+    position is the smallest present component."""
     uni = "array(" + ", ".join(str(int(c)) for c in universe) + ")"
-    present = f"try_element_at(filter({items}, x -> x.w = {target}), 1).c"
-    first_absent = f"array_min(array_except({uni}, transform({items}, x -> x.c)))"
+    pos = f"array_position({ws}, {target})"
+    present = f"CASE WHEN {pos} > 0 THEN element_at({cs}, CAST({pos} AS INT)) END"
+    first_absent = f"array_min(array_except({uni}, {cs}))"
     return f"least({present}, CASE WHEN {target} = 0.0D THEN {first_absent} END)"
 
 

@@ -190,10 +190,11 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     items = (joined.groupBy(entity_col)
              .agg(F.sort_array(F.collect_list(F.struct("c", "w", *fields))).alias("__items")))
     n = len(universe)
-    stage = items.withColumns(_exprs(C.items_top("__items", n)))
-    stage = stage.withColumn("__second", F.expr(C.items_second("__items", "__top", "__n_absent", n)))
-    first = {"__top_c": C.items_first_with("__items", "__top", universe),
-             "__second_c": C.items_first_with("__items", "__second", universe)}
+    stage = items.withColumns(_exprs(C.items_arrays("__items", n)))
+    stage = stage.withColumn("__top", F.expr(C.items_top("__ws", "__n_absent")))
+    stage = stage.withColumn("__second", F.expr(C.items_second("__ws", "__top", "__n_absent", n)))
+    first = {"__top_c": C.items_first_with("__cs", "__ws", "__top", universe),
+             "__second_c": C.items_first_with("__cs", "__ws", "__second", universe)}
     if normalize:
         first["__total"] = C.items_total("__items")
     for i, f in enumerate(fields):
@@ -218,7 +219,7 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
             out[f"{prefix}_{s}"] = f"CAST({stats[s]} AS DOUBLE)"
             out_cols.append(f"{prefix}_{s}")
     stage = stage.withColumns(_exprs(out))
-    private = ["__items", "__top", "__n_absent", "__second", "__total", *first]
+    private = ["__items", "__ws", "__cs", "__top", "__n_absent", "__second", "__total", *first]
     return _finish(stage.drop(*private), out_cols, as_float)
 
 
