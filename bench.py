@@ -50,15 +50,16 @@ def python_udf_stats(wide, props_df):
                                for s in ("max", "min", "std", "mean", "mode1", "mode2")])
 
         def stats(ws, pv=pv):
-            w = np.array([0.0 if x is None else x for x in ws])
-            present = pv[w > 0]
-            mean = float(np.dot(w / 100, pv))
-            std = float(np.dot(w / 100, np.abs(pv - mean)))
-            order = np.sort(w)
-            m1 = pv[np.where(w == order[-1])[0][0]]
-            m2 = pv[np.where(w == order[-2])[0][0]]
-            return (float(present.max()) if present.size else None,
-                    float(present.min()) if present.size else None, std, mean, float(m1), float(m2))
+            w = np.nan_to_num(np.array(ws, dtype=float), nan=0.0)     # NULL/NaN weight -> 0
+            frac = w / 100.0
+            mean = float(frac @ pv)
+            spread = float(frac @ np.abs(pv - mean))
+            on = pv[w > 0]
+            first_top = int(np.argmax(w))                            # first position of the top weight
+            second_w = np.partition(w, -2)[-2]                        # second of the weights sorted down
+            first_second = int(np.flatnonzero(w == second_w)[0])
+            return (float(on.max()) if on.size else None, float(on.min()) if on.size else None,
+                    spread, mean, float(pv[first_top]), float(pv[first_second]))
 
         out = out.withColumn(p, F.udf(stats, schema)("w")).select("*", f"{p}.*").drop(p)
     return out.drop("w")
