@@ -61,6 +61,12 @@ def _local_properties(props: DataFrame, property_cols: Sequence[str], component_
     return rows, local
 
 
+def stat_columns(property_cols: Sequence[str], stats: Sequence[str] = C.STAT_NAMES) -> list[str]:
+    """Names of the statistic columns, ``<property>_<stat>``, in output order
+    (e.g. to declare a feature list by name: oxides + ``stat_columns(props)``)."""
+    return [f"{p}_{s}" for p in property_cols for s in stats]
+
+
 def _component_columns(component_cols) -> list[tuple[int, str]]:
     if isinstance(component_cols, Mapping):
         pairs = [(int(k), v) for k, v in component_cols.items()]

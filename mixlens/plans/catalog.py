@@ -13,13 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixlens.functions.composition import STAT_NAMES
 from mixlens.functions.ratios import nbo_t
 from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline, vector_columns
 from mixlens.ml.transformers import CompositionStats
 from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
                                            pack_components, pack_stats, present_components,
-                                           property_lookup)
+                                           property_lookup, stat_columns)
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
@@ -56,8 +57,8 @@ def _round_all(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, *[rnd(c).alias(c) for c in df.columns if c not in keep])
 
 
-def _stats_cols(props, stats=("max", "min", "std", "mean", "mode1", "mode2")) -> list[str]:
-    return [f"{p}_{s}" for p in props for s in stats]
+def _stats_cols(props, stats=STAT_NAMES) -> list[str]:
+    return stat_columns(props, stats)
 
 
 # ----------------------------------------------------------------- composition
