@@ -16,6 +16,7 @@ give the same numbers; components absent from a long-form entity weigh 0.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -118,12 +119,31 @@ def composition_stats_wide(df: DataFrame, component_cols, props: DataFrame, prop
                                   as_float=as_float, names=names)
 
 
+# Above this many component x property terms the unrolled projection can give a
+# fused method too large for the JIT unless Spark is told to fall back.
+_JIT_SAFE_TERMS = 64
+
+
+def _check_codegen_limit(df: DataFrame, terms: int) -> None:
+    if terms <= _JIT_SAFE_TERMS:
+        return
+    try:
+        limit = int(df.sparkSession.conf.get("spark.sql.codegen.hugeMethodLimit", "65535"))
+    except Exception:  # noqa: BLE001 - conf not readable (e.g. remote session)
+        return
+    if limit > 8000:
+        warnings.warn("composition_stats_wide: set spark.sql.codegen.hugeMethodLimit=8000 (see "
+                      "mixlens.session.SCALE_CONF) so that large unrolled projections fall back to "
+                      "JIT-compiled methods instead of running interpreted", RuntimeWarning, stacklevel=3)
+
+
 def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, Mapping[int, float]],
                            property_cols: Sequence[str], *, normalize: bool = False,
                            as_float: bool = False, names: Mapping[str, str] | None = None) -> DataFrame:
     """Wide form with the property values already in hand (``{prop: {component: value}}``)."""
     pairs = _component_columns(component_cols)
     names = dict(names or {})
+    _check_codegen_limit(df, len(pairs) * len(property_cols))
     ws = [f"__w{i}" for i in range(len(pairs))]
     # Stage 1: cleaned weights, each computed once.
     stage = df.withColumns(_exprs({w: C.clean_weight(C.q(c)) for w, (_, c) in zip(ws, pairs)}))
