@@ -24,7 +24,11 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
     """Add ``<property>_<stat>`` columns from one weight column per component."""
 
     componentCols = Param(Params._dummy(), "componentCols",
-                          "weight columns, named by component id", TypeConverters.toListString)
+                          "weight columns (named by component id unless componentIds is set)",
+                          TypeConverters.toListString)
+    componentIds = Param(Params._dummy(), "componentIds",
+                         "component id of each weight column, aligned with componentCols",
+                         TypeConverters.toListInt)
     propertyCols = Param(Params._dummy(), "propertyCols", "property names", TypeConverters.toListString)
     propertyTable = Param(Params._dummy(), "propertyTable",
                           "JSON {property: {component: value}}", TypeConverters.toString)
@@ -33,7 +37,7 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
     asFloat = Param(Params._dummy(), "asFloat", "cast results to 32-bit float", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, componentCols=None, propertyCols=None, propertyTable=None,
+    def __init__(self, *, componentCols=None, componentIds=None, propertyCols=None, propertyTable=None,
                  normalize=False, asFloat=False):
         super().__init__()
         self._setDefault(normalize=False, asFloat=False)
@@ -41,7 +45,14 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
 
     @classmethod
     def from_table(cls, props: DataFrame, property_cols, component_cols, **kw) -> "CompositionStats":
-        """Build the stage from a (bounded) property DataFrame keyed by ``component``."""
+        """Build the stage from a (bounded) property DataFrame keyed by ``component``.
+
+        ``component_cols`` lists weight columns named by component id, or maps
+        component id -> column name.
+        """
+        if isinstance(component_cols, dict):
+            kw = {**kw, "componentIds": [int(k) for k in component_cols]}
+            component_cols = list(component_cols.values())
         _, values = property_values(props, property_cols)
         table = {p: {str(k): (None if v is None or (isinstance(v, float) and math.isnan(v)) else v)
                      for k, v in vals.items()} for p, vals in values.items()}
@@ -51,7 +62,10 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
     def _transform(self, dataset: DataFrame) -> DataFrame:
         table = json.loads(self.getOrDefault(self.propertyTable))
         values = {p: {int(k): v for k, v in vals.items()} for p, vals in table.items()}
-        return wide_stats_from_values(dataset, self.getOrDefault(self.componentCols), values,
+        cols = self.getOrDefault(self.componentCols)
+        if self.isDefined(self.componentIds):
+            cols = dict(zip(self.getOrDefault(self.componentIds), cols))
+        return wide_stats_from_values(dataset, cols, values,
                                       self.getOrDefault(self.propertyCols),
                                       normalize=self.getOrDefault(self.normalize),
                                       as_float=self.getOrDefault(self.asFloat))

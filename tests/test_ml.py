@@ -48,3 +48,13 @@ def test_forest_rows_save_load_and_beats_mean(spark):
     mean = train.agg(F.avg("l_extendedprice")).collect()[0][0]
     base = regression_metrics(test.withColumn("prediction", F.lit(mean)), "l_extendedprice").collect()[0]["rmse"]
     assert rmse < base
+
+
+def test_composition_stage_with_named_columns(spark):
+    props = spark.createDataFrame([(8, 2.0), (14, 2.0), (11, 1.0)], "component int, s double")
+    wide = spark.createDataFrame([(0, 60.0, 30.0, 10.0)], "entity_id long, O double, Si double, Na double")
+    stage = CompositionStats.from_table(props, ["s"], {8: "O", 14: "Si", 11: "Na"})
+    path = scratch_path(spark, "named")
+    Pipeline(stages=[stage]).fit(wide).write().overwrite().save(path)
+    row = PipelineModel.load(path).transform(wide).collect()[0]
+    assert row["s_mean"] == pytest.approx(0.6 * 2 + 0.3 * 2 + 0.1 * 1) and row["s_min"] == 1.0
