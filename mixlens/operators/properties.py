@@ -55,11 +55,45 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[st
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if not partition_by:
         # Computed once into the checkpoint folder; the size check and the
-        # window then read the stored (bounded) table.
+        # window then read the stored table.
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
         if not has_at_most(df, MAX_UNPARTITIONED_FILL):
-            raise TooLargeError("forward_fill without partition_by needs a bounded table")
+            if len(order) != 1:
+                raise TooLargeError("forward_fill of a large table without partition_by needs one order column")
+            return forward_fill_by_ranges(df, cols, order[0])
     w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+
+
+def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str, n_ranges: int | None = None) -> DataFrame:
+    """Forward fill over the whole table, in parallel, for a numeric ``order_by``.
+
+    The order key's range (one scalar subquery) is cut into ``n_ranges``
+    equal-width ranges. Each range is filled by its own window task. The last
+    non-NULL value of each range (one small aggregate, at most ``n_ranges`` rows)
+    is carried into the ranges after it by a window over those few rows, and
+    joined back by broadcast. Rows with equal keys have no defined order, as in
+    any window.
+    """
+    spark = df.sparkSession
+    n = int(n_ranges or max(8, 4 * spark.sparkContext.defaultParallelism))
+    key = F.col(order_by).cast("double")
+    rng = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).select(F.struct("lo", "hi")).scalar()
+    width = (rng["hi"] - rng["lo"]) / F.lit(float(n))
+    bucket = F.when(width > 0, F.least(F.floor((key - rng["lo"]) / width), F.lit(n - 1))).otherwise(F.lit(0))
+    b = df.withColumn("__r", bucket.cast("int"))
+    inside = Window.partitionBy("__r").orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = b.withColumns({c: F.last(F.col(c), ignorenulls=True).over(inside) for c in cols})
+    # Last non-NULL value of each range: max over (key, value) structs, NULL values skipped.
+    lasts = b.groupBy("__r").agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_by).alias("k"), F.col(c).alias("v"))))["v"]
+        .alias(f"__last_{c}") for c in cols])
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    carries = lasts.select("__r", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}")
+                                    for c in cols])
+    # At most n rows: a proven bound for the broadcast.
+    out = filled.join(F.broadcast(carries), "__r", "left")
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols}) \
+        .drop("__r", *[f"__carry_{c}" for c in cols])

@@ -68,3 +68,27 @@ def test_nbo_t(spark):
 
 def test_electron_property_names():
     assert ELECTRON_PROPERTIES[:4] == ["s_filled", "p_filled", "d_filled", "f_filled"]
+
+
+def test_forward_fill_by_ranges_matches_single_window(spark):
+    import random
+
+    from mixlens.operators.properties import forward_fill_by_ranges
+    rng = random.Random(3)
+    rows = [(i, None if rng.random() < 0.7 else float(i)) for i in range(0, 30000, 3)]
+    rows[0] = (0, None)  # leading NULL stays NULL
+    df = spark.createDataFrame(rows, "k long, v double")
+    got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=7).collect()}
+    last, exp = None, {}
+    for k, v in rows:
+        last = v if v is not None else last
+        exp[k] = last
+    assert got == exp
+
+
+def test_forward_fill_by_ranges_carries_over_empty_ranges(spark):
+    from mixlens.operators.properties import forward_fill_by_ranges
+    rows = [(k, 5.0 if k == 1 else (9.0 if k == 95 else None)) for k in range(100)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=10).collect()}
+    assert got[0] is None and got[1] == 5.0 and got[50] == 5.0 and got[94] == 5.0 and got[99] == 9.0
