@@ -67,22 +67,42 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[st
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
 
-def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str, n_ranges: int | None = None) -> DataFrame:
+def _range_index(key: Column, edges: list[float]) -> Column:
+    """Number of ``edges`` (sorted, distinct) that are <= ``key``, as a nested
+    CASE binary search: compiled code, depth log2(len(edges))."""
+    def search(lo: int, hi: int) -> Column:   # answer in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2               # is key >= edges[mid - 1]?
+        return F.when(key >= F.lit(float(edges[mid - 1])), search(mid, hi)).otherwise(search(lo, mid - 1))
+    return search(0, len(edges))
+
+
+def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str, n_ranges: int | None = None,
+                           quantiles: bool = True) -> DataFrame:
     """Forward fill over the whole table, in parallel, for a numeric ``order_by``.
 
-    The order key's range (one scalar subquery) is cut into ``n_ranges``
-    equal-width ranges. Each range is filled by its own window task. The last
-    non-NULL value of each range (one small aggregate, at most ``n_ranges`` rows)
-    is carried into the ranges after it by a window over those few rows, and
-    joined back by broadcast. Rows with equal keys have no defined order, as in
-    any window.
+    The order key is cut into about ``n_ranges`` ranges: by approximate
+    quantiles (default; equal row counts, so a dense key range does not make
+    one large task; one pass and at most ``n_ranges`` numbers to the driver),
+    or by equal width over the key's range. Each range is filled by its own
+    window task. The last non-NULL value of each range (one small aggregate,
+    at most ``n_ranges`` rows) is carried into the ranges after it by a window
+    over those few rows, and joined back by broadcast. Rows with equal keys
+    have no defined order, as in any window; all rows of one key value stay in
+    one range.
     """
     spark = df.sparkSession
     n = int(n_ranges or max(8, 4 * spark.sparkContext.defaultParallelism))
     key = F.col(order_by).cast("double")
-    rng = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).select(F.struct("lo", "hi")).scalar()
-    width = (rng["hi"] - rng["lo"]) / F.lit(float(n))
-    bucket = F.when(width > 0, F.least(F.floor((key - rng["lo"]) / width), F.lit(n - 1))).otherwise(F.lit(0))
+    if quantiles:
+        probs = [i / n for i in range(1, n)]
+        edges = sorted({float(e) for e in df.approxQuantile(order_by, probs, 1.0 / (4 * n))})
+        bucket = _range_index(key, edges) if edges else F.lit(0)
+    else:
+        rng = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).select(F.struct("lo", "hi")).scalar()
+        width = (rng["hi"] - rng["lo"]) / F.lit(float(n))
+        bucket = F.when(width > 0, F.least(F.floor((key - rng["lo"]) / width), F.lit(n - 1))).otherwise(F.lit(0))
     b = df.withColumn("__r", bucket.cast("int"))
     inside = Window.partitionBy("__r").orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = b.withColumns({c: F.last(F.col(c), ignorenulls=True).over(inside) for c in cols})

@@ -78,17 +78,29 @@ def test_forward_fill_by_ranges_matches_single_window(spark):
     rows = [(i, None if rng.random() < 0.7 else float(i)) for i in range(0, 30000, 3)]
     rows[0] = (0, None)  # leading NULL stays NULL
     df = spark.createDataFrame(rows, "k long, v double")
-    got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=7).collect()}
     last, exp = None, {}
     for k, v in rows:
         last = v if v is not None else last
         exp[k] = last
-    assert got == exp
+    for quantiles in (True, False):
+        got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=7,
+                                                              quantiles=quantiles).collect()}
+        assert got == exp, quantiles
 
 
 def test_forward_fill_by_ranges_carries_over_empty_ranges(spark):
     from mixlens.operators.properties import forward_fill_by_ranges
     rows = [(k, 5.0 if k == 1 else (9.0 if k == 95 else None)) for k in range(100)]
     df = spark.createDataFrame(rows, "k long, v double")
-    got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=10).collect()}
-    assert got[0] is None and got[1] == 5.0 and got[50] == 5.0 and got[94] == 5.0 and got[99] == 9.0
+    for quantiles in (True, False):
+        got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=10,
+                                                              quantiles=quantiles).collect()}
+        assert got[0] is None and got[1] == 5.0 and got[50] == 5.0 and got[94] == 5.0 and got[99] == 9.0
+
+
+def test_range_index_binary_search(spark):
+    from mixlens.operators.properties import _range_index
+    edges = [2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(x,) for x in (0.0, 2.0, 3.0, 5.0, 8.9, 9.0, 100.0)], "k double")
+    got = [r[0] for r in df.select(_range_index(F.col("k"), edges)).collect()]
+    assert got == [0, 1, 1, 2, 2, 3, 3]
