@@ -5,8 +5,9 @@ Prints one JSON line. Each query is built and forced to completion with the
 run, then ``$BENCH_RUNS`` timed runs (median reported).
 
 Headline comparison (SURVEY section 6): composition statistics on a
-materialised mix in (a) wide form, (b) long form, and (c) a row-at-a-time
-Python UDF written here to stand in for the reference's approach.
+materialised mix in (a) wide form, (b) long form (also over a table bucketed
+by entity), and (c) a row-at-a-time Python UDF written here to stand in for
+the reference's approach (one UDF per property).
 """
 
 from __future__ import annotations
