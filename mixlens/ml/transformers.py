@@ -50,12 +50,18 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
         ``component_cols`` lists weight columns named by component id, or maps
         component id -> column name.
         """
+        _, values = property_values(props, property_cols)
+        return cls.from_values(values, property_cols, component_cols, **kw)
+
+    @classmethod
+    def from_values(cls, values, property_cols, component_cols, **kw) -> "CompositionStats":
+        """Build the stage from property values already read (``{prop: {component: value}}``),
+        e.g. to make one stage per property from a single read of the table."""
         if isinstance(component_cols, dict):
             kw = {**kw, "componentIds": [int(k) for k in component_cols]}
             component_cols = list(component_cols.values())
-        _, values = property_values(props, property_cols)
         table = {p: {str(k): (None if v is None or (isinstance(v, float) and math.isnan(v)) else v)
-                     for k, v in vals.items()} for p, vals in values.items()}
+                     for k, v in values[p].items()} for p in property_cols}
         return cls(componentCols=list(component_cols), propertyCols=list(property_cols),
                    propertyTable=json.dumps(table), **kw)
 

@@ -20,7 +20,7 @@ from mixlens.ml.transformers import CompositionStats
 from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
                                            pack_components, pack_stats, present_components,
-                                           property_lookup, stat_columns)
+                                           property_lookup, property_values, stat_columns)
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
@@ -93,7 +93,8 @@ def q_electron_stats(spark, sf):
 def q_feature_pipeline(spark, sf):
     from pyspark.ml import Pipeline, PipelineModel
     props = property_table(spark, sf)
-    stages = [CompositionStats.from_table(props, [p], WEIGHT_COLS) for p in STATS_PROPS]
+    _, values = property_values(props, STATS_PROPS)  # one read of the property table
+    stages = [CompositionStats.from_values(values, [p], WEIGHT_COLS) for p in STATS_PROPS]
     wide = _wide_mix(spark, sf)
     path = scratch_path(spark, "feature_pipeline")
     Pipeline(stages=stages).fit(wide).write().overwrite().save(path)
@@ -315,7 +316,8 @@ def _etl(spark, sf) -> str:
     _wide_mix(spark, sf).write.option("header", "true").csv(raw)
     df = read_typed_csv(spark, raw, schema_from_json(_mix_schema_json()))
     props = property_table(spark, sf)
-    stages = [CompositionStats.from_table(props, [p], WEIGHT_COLS) for p in STATS_PROPS]
+    _, values = property_values(props, STATS_PROPS)  # one read of the property table
+    stages = [CompositionStats.from_values(values, [p], WEIGHT_COLS) for p in STATS_PROPS]
     out = scratch_path(spark, "transformed")
     write_parquet(Pipeline(stages=stages).fit(df).transform(df), out)
     return out
