@@ -1,7 +1,5 @@
 """Property preparation (FIXTURES F2, F8) and ratios."""
 
-import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
