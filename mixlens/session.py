@@ -56,9 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
-        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir.
+    elif sc.master.startswith("local"):
+        # Local runs only (tests, bench): one machine, so a temp folder is shared.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="mixlens-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                           "(HDFS/S3/ABFS); mixlens writes scratch tables and checkpoints there")
     return sc.getCheckpointDir()
 
 
