@@ -66,6 +66,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/mixlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder.
+
+    All scratch data of an application lies in one folder, which its driver deletes
+    when it ends (results may read it lazily until then).
+    """
+    sc = spark.sparkContext
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mixlens/{sc.applicationId}"
+    folder = sc._jvm.org.apache.hadoop.fs.Path(base)
+    fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
