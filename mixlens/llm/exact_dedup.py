@@ -32,6 +32,8 @@ by_value(__name__)
 BUCKET_BYTES = 32 << 20
 RUN_BYTES = 64 << 20
 MAX_LEVELS = 8
+#: Groups of more than 1 / HOT of all rows count as hot.
+HOT = 1000
 GROUP_SCHEMA = "text_sha256 string, norm string, doc_id long, n long"
 
 
@@ -165,9 +167,13 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", bu
     groups = (texts.repartition(max(tasks, min(first, 20_000)), "bucket").sortWithinPartitions("bucket")
               .mapInArrow(deduplicate_buckets, "text_sha256 string, keep_id long, group_size long"))
     groups = stored(groups, "dedup-groups")
-    # Most texts have one row, which needs no join; a hot digest is split by Spark's skew join.
-    many = groups.where(F.col("group_size") > 1)
-    joined = digests.select("doc_id", "text_sha256").join(many, "text_sha256", "left")
+    rows, many = digests.select("doc_id", "text_sha256"), groups.where(F.col("group_size") > 1)
+    # Fewer than HOT groups can hold more than 1 / HOT of the rows each: a proven bound for the
+    # broadcast, by which their rows are not dealt out by digest. Texts with one row need no join.
+    hot = F.col("group_size") * HOT > digests.count()
+    large = F.broadcast(many.where(hot))
+    joined = rows.join(large, "text_sha256").unionByName(
+        rows.join(large, "text_sha256", "left_anti").join(many.where(~hot), "text_sha256", "left"))
     alone = F.col("group_size").isNull()
     out = joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
