@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import zlib
+from types import ModuleType
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,11 @@ def by_value(module_name: str) -> None:
 by_value(__name__)
 
 
+def task_state() -> dict:
+    """What a Python worker keeps from task to task (loaded tokenizers)."""
+    return vars(sys.modules.setdefault("_mixlens_task_state", ModuleType("_mixlens_task_state")))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read back: cuts the
     lineage, survives lost executors, and later steps read only the columns they need."""
