@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from mixlens.llm.common import by_value, held_out_column, seeded_order, stored
 
@@ -215,8 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Constant(float(next(iter(counts), 1)))
-    number = F.row_number().over(Window.partitionBy("label").orderBy("place", "doc_id"))
-    sample = stored(known.withColumn("number", number).where(F.col("number") <= per_class).select("doc_id", "label"), "quality-sample")
+    first, second = (known.where(F.col("label") == k).orderBy("place", "doc_id").limit(per_class) for k in (0, 1))
+    sample = stored(first.unionByName(second).select("doc_id", "label"), "quality-sample")
     # At most 2 * per_class rows of two numbers: a proven bound for the broadcast.
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     rows = sorted(texts.mapInArrow(encode_bags(bag_passages), "doc_id long, label int, x binary").collect())
