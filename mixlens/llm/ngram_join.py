@@ -221,30 +221,68 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Itera
         yield current, rows
 
 
+def sketch_matrix(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest."""
+    words = min(map(len, sketches)) // 8
+    out = np.empty((len(sketches), words), np.uint64)
+    lengths = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        parts = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), -1, words)
+        out[at] = np.bitwise_xor.reduce(parts, axis=1)
+    return out
+
+
+def join_large(rows: list[tuple], percent: int, forest: Forest) -> list[tuple[int, int]]:
+    """Spanning joins of a meeting: one sketch against all that are left, in one array step."""
+    sids, sizes = [r[0] for r in rows], np.array([r[1] for r in rows])
+    sketches, roots = sketch_matrix([r[2] for r in rows]), np.array([forest.find(s) for s in sids])
+    alone, waiting, links = np.arange(len(rows)), [], []
+    while len(alone):
+        if not waiting:
+            waiting.append(int(alone[0]))
+            alone = alone[1:]
+        u = waiting.pop()
+        apart = np.bitwise_count(sketches[alone] ^ sketches[u]).sum(axis=1, dtype=np.int64)
+        known = roots[alone] == roots[u]
+        near = known | (apart <= (100 - percent) * (sizes[alone] + sizes[u]) // (100 + percent))
+        links += [(sids[u], sids[v]) for v in alone[near & ~known].tolist()]
+        waiting += alone[near].tolist()
+        alone = alone[~near]
+    for a, b in links:
+        forest.union(a, b)
+    return links
+
+
+def join_small(rows: list[tuple], percent: int, forest: Forest) -> list[tuple[int, int]]:
+    """The same for a few rows, on plain integers."""
+    rest = [(sid, n, int.from_bytes(s, "little"), 8 * len(s)) for sid, n, s in rows]
+    waiting, links = [], []
+    while rest:
+        sid, n, sketch, bits = waiting.pop() if waiting else rest.pop()
+        apart = []
+        for other in rest:
+            o, m, other_sketch, other_bits = other
+            near = forest.find(o) == forest.find(sid)
+            if not near:
+                to = min(bits, other_bits)
+                x = folded(sketch, bits, to) ^ folded(other_sketch, other_bits, to)
+                if x.bit_count() <= most_different(n + m, percent):
+                    forest.union(sid, o)
+                    links.append((sid, o))
+                    near = True
+            (waiting if near else apart).append(other)
+        rest = apart
+    return links
+
+
 def meetings(percent: int):
     """Task code: rows sorted by (key, i, j) of sid, n, sketch -> joins of sketches within the bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, links = Forest(), []
         for _, rows in groups_of(batches, ("key", "i", "j")):
-            rest = [(sid, n, int.from_bytes(s, "little"), 8 * len(s)) for sid, n, s in {r[0]: r for r in rows}.values()]
-            if len(rest) < 2:
-                continue
-            waiting = []
-            while rest or waiting:
-                sid, n, sketch, bits = waiting.pop() if waiting else rest.pop()
-                apart = []
-                for other in rest:
-                    o, m, other_sketch, other_bits = other
-                    known = forest.find(o) == forest.find(sid)
-                    if not known:
-                        to = min(bits, other_bits)
-                        x = folded(sketch, bits, to) ^ folded(other_sketch, other_bits, to)
-                        if x.bit_count() <= most_different(n + m, percent):
-                            forest.union(sid, o)
-                            links.append((sid, o))
-                            known = True
-                    (waiting if known else apart).append(other)
-                rest = apart
+            if len(rows) > 1:
+                links += (join_large if len(rows) > 8 else join_small)(rows, percent, forest)
             if len(links) > 20_000:
                 yield link_table(links)
                 links = []
