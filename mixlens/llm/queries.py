@@ -50,7 +50,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the passages to remove, and how many words and bytes they hold."""
-    out = substring_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+    out = substring_dedup.repeated_spans(read_table(spark, sf_dir, "documents")).drop("tid")
 
     def total(name: str):
         return F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x[name])

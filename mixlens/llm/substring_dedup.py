@@ -11,7 +11,7 @@ aggregation, and only those of more than one document are joined back, where a c
 many documents hold is split by Spark's skew join.
 
 Cases: NULL or empty texts have no chunks and no spans. Repeats inside one document are left alone,
-as are repeated rows of one doc_id, which count as one document. Spans are byte offsets into the UTF-8
+as are those between rows of one doc_id. Spans are byte offsets into the UTF-8
 text. Rows with a NULL id keep their text. Empty tables give no rows; other columns are kept.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import by_value, stored
@@ -33,8 +33,8 @@ MIN_BYTES, MAX_BYTES, MASK_BITS = 16, 256, 5
 MIN_WORDS = 24
 WINDOW = 32
 GEAR_SEED = 61
-CHUNKS = "doc_id long, n_bytes long, ends array<int>, words array<int>, digests array<long>"
-SPANS = "doc_id long, n_bytes long, n_chunks int, spans array<struct<start:int,end:int,words:int>>"
+CHUNKS = "doc_id long, tid long, n_bytes long, ends array<int>, words array<int>, digests array<long>"
+SPAN = "array<struct<start:int,end:int,words:long>>"
 
 
 def gear_hashes(a: np.ndarray, gear: np.ndarray) -> np.ndarray:
@@ -86,50 +86,34 @@ def chunk_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(i, 200)
             found = chunks(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(f[0]) for f in found], pa.int64()),
+                [batch.column("doc_id"), batch.column("tid"), pa.array([len(f[0]) for f in found], pa.int64()),
                  *[pa.array([f[k] for f in found], pa.list_(t)) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()))]],
-                ["doc_id", "n_bytes", "ends", "words", "digests"])
-
-
-def runs(ends: list[int], words: list[int], repeated: list[bool], min_words: int) -> list[dict]:
-    """Spans of consecutive repeated chunks with enough words."""
-    out, first, count = [], None, 0
-    for i, again in enumerate([*repeated, False]):
-        if again:
-            first, count = (i if first is None else first), count + words[i]
-        elif first is not None:
-            if count >= min_words:
-                out.append({"start": ends[first - 1] if first else 0, "end": ends[i - 1], "words": count})
-            first, count = None, 0
-    return out
-
-
-def span_task(min_words: int):
-    """Task code: chunk table with the repeated digests of each document -> spans."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32())]))
-        for batch in batches:
-            d = {n: batch.column(n).to_pylist() for n in ("ends", "words", "digests", "again")}
-            spans = []
-            for ends, words, digests, again in zip(*d.values()):
-                known = set(again or ())
-                spans.append(runs(ends, words, [x in known for x in digests], min_words) if known else [])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array([len(e) for e in d["ends"]], pa.int32()),
-                                              pa.array(spans, kind)], ["doc_id", "n_bytes", "n_chunks", "spans"])
-    return run
+                ["doc_id", "tid", "n_bytes", "ends", "words", "digests"])
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_chunks, spans (the passages to remove)."""
-    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """One row per document: doc_id, tid (hash of its text), n_bytes, n_chunks, spans (the passages to remove)."""
+    text = F.col(text_col)
+    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
     table = stored(pairs.mapInArrow(chunk_task, CHUNKS), "substring-chunks")
-    one = table.where("doc_id is not null").select("doc_id", F.explode("digests").alias("digest"))
-    shared = (one.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    known = table.where("doc_id is not null")
+    shared = (known.select("doc_id", F.explode("digests").alias("digest")).groupBy("digest")
+              .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
               .where("first < last").select("digest", "first"))
     shared = stored(shared, "substring-shared")
-    again = one.join(shared, "digest").where("doc_id > first").select("doc_id", "digest")
-    again = again.groupBy("doc_id").agg(F.collect_set("digest").alias("again"))
-    return table.join(again, "doc_id", "left").mapInArrow(span_task(min_words), SPANS)
+    each = F.arrays_zip("digests", "ends", "words", F.concat(F.array(F.lit(0)), F.col("ends")).alias("starts"))
+    one = known.where("n_bytes > 0").select("doc_id", "tid", F.posexplode(F.slice(each, 1, F.size("ends"))).alias("pos", "c"))
+    one = one.select("doc_id", "tid", "pos", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"),
+                     F.col("c.ends").alias("end"), F.col("c.words").alias("words"))
+    again = one.join(shared, "digest").where("doc_id > first").drop("digest", "first").distinct()
+    # Consecutive chunks: position less rank is the same along a run.
+    rank = F.row_number().over(Window.partitionBy("doc_id", "tid").orderBy("pos"))
+    runs = (again.withColumn("run", F.col("pos") - rank).groupBy("doc_id", "tid", "run")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
+            .where(F.col("words") >= min_words))
+    spans = runs.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "words"))).alias("spans"))
+    out = table.select("doc_id", "tid", "n_bytes", F.size("ends").alias("n_chunks")).join(spans, ["doc_id", "tid"], "left")
+    return out.withColumn("spans", F.coalesce("spans", F.array().cast(SPAN)))
 
 
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -152,5 +136,6 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             columns = [pa.array(texts, batch.column(at).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    found = spans.groupBy(F.col("doc_id").alias("__id")).agg(F.first("spans").alias("__spans"))
-    return docs.join(found, F.col(id_col) == F.col("__id"), "left").select(*names, "__spans").mapInArrow(cut, docs.schema)
+    found = spans.select(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid"), F.col("spans").alias("__spans")).distinct()
+    same = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__tid"))
+    return docs.join(found, same, "left").select(*names, "__spans").mapInArrow(cut, docs.schema)
