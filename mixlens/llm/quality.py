@@ -88,7 +88,8 @@ def passages(texts: list[str | None], words: int = PASSAGE_WORDS) -> tuple[np.nd
 
 def word_shapes(a, cls, starts, inside, byte_word, word_bag, total) -> np.ndarray:
     """Per passage: count, length, spread, repeats, distinct, and shares of word forms."""
-    n = np.maximum(1, np.bincount(word_bag, minlength=total))
+    count = np.bincount(word_bag, minlength=total)
+    n = np.maximum(1, count)
 
     def share(values) -> np.ndarray:
         return np.bincount(word_bag, weights=values, minlength=total) / n
@@ -111,7 +112,7 @@ def word_shapes(a, cls, starts, inside, byte_word, word_bag, total) -> np.ndarra
     marks = np.add.reduceat(((cls >= 6) & (cls <= 8)).astype(np.int64), starts)
     mean = share(length)
     spread = np.sqrt(np.maximum(0, share(length.astype(float) ** 2) - mean ** 2))
-    return np.stack([np.log1p(n), np.log1p(mean), np.log1p(spread), share(again), share(new), share(cls[starts] == 4),
+    return np.stack([np.log1p(count), np.log1p(mean), np.log1p(spread), share(again), share(new), share(cls[starts] == 4),
                      share(upper == length), share(digits > 0), share(last >= 6), share(marks == length)], axis=1)
 
 
