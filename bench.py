@@ -6,8 +6,7 @@ run, then ``$BENCH_RUNS`` timed runs (median reported).
 
 Headline comparison (SURVEY section 6): composition statistics on a
 materialised mix in (a) wide form, (b) long form (also over a table bucketed
-by entity), and (c) a row-at-a-time Python UDF written here to stand in for
-the reference's approach (one UDF per property).
+by entity), and (c) a row-at-a-time Python UDF over each entity's pairs.
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import numpy as np  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from mixlens.functions.composition import STAT_NAMES  # noqa: E402
 from mixlens.operators.composition import composition_stats_long, composition_stats_wide, long_to_wide  # noqa: E402
 from mixlens.operators.composition import property_values  # noqa: E402
 from mixlens.plans import catalog  # noqa: E402
@@ -33,37 +32,38 @@ from mixlens.sinks import write_bucketed  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 PROPS = ["s_filled", "min_price"]
 
 
-def python_udf_stats(wide, props_df):
-    """Row-at-a-time Python UDF form (the slow path), for comparison only.
-
-    Shaped like the reference's approach: one UDF per property over the packed
-    weight array, returning a struct that is then expanded into columns.
-    """
-    _, values = property_values(props_df, PROPS)
-    out = wide.select("entity_id", F.array(*[F.col(c) for c in WEIGHT_COLS]).alias("w"))
-    for p in PROPS:
-        pv = np.array([values[p].get(c, np.nan) for c in UNIVERSE], dtype=float)
-        schema = T.StructType([T.StructField(f"{p}_{s}", T.DoubleType())
-                               for s in ("max", "min", "std", "mean", "mode1", "mode2")])
-
-        def stats(ws, pv=pv):
-            w = np.nan_to_num(np.array(ws, dtype=float), nan=0.0)     # NULL/NaN weight -> 0
-            frac = w / 100.0
-            mean = float(frac @ pv)
-            spread = float(frac @ np.abs(pv - mean))
-            on = pv[w > 0]
-            first_top = int(np.argmax(w))                            # first position of the top weight
-            second_w = np.partition(w, -2)[-2]                        # second of the weights sorted down
-            first_second = int(np.flatnonzero(w == second_w)[0])
-            return (float(on.max()) if on.size else None, float(on.min()) if on.size else None,
-                    spread, mean, float(pv[first_top]), float(pv[first_second]))
-
-        out = out.withColumn(p, F.udf(stats, schema)("w")).select("*", f"{p}.*").drop(p)
-    return out.drop("w")
+def python_udf_stats(mix, props_df):
+    """Row-at-a-time Python form (the slow path), for comparison only: one UDF over each entity's
+    (component, weight) pairs gives the statistics of all properties, from their definitions."""
+    _, tables = property_values(props_df, PROPS)
+    names = [f"{p}_{s}" for p in PROPS for s in STAT_NAMES]
+
+    def statistics_of(pairs):
+        share = {c: x for c, x in pairs if x is not None and x > 0}
+        ranked = sorted(UNIVERSE, key=lambda c: -share.get(c, 0.0))  # stable: ties in component order
+        top, second = ranked[0], ranked[1]
+        if share.get(second, 0.0) == share.get(top, 0.0):
+            second = top
+        result = {}
+        for p in PROPS:
+            value = tables[p]
+            known = [value[c] for c in share if value[c] is not None]
+            result[f"{p}_max"], result[f"{p}_min"] = max(known, default=None), min(known, default=None)
+            result[f"{p}_mode1"], result[f"{p}_mode2"] = value[top], value[second]
+            mean = spread = None
+            if len(known) == len(share):
+                mean = sum(x * value[c] for c, x in share.items()) / 100
+                spread = sum(x * abs(value[c] - mean) for c, x in share.items()) / 100
+            result[f"{p}_mean"], result[f"{p}_std"] = mean, spread
+        return tuple(None if result[n] is None else float(result[n]) for n in names)
+
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    gathered = mix.groupBy("entity_id").agg(F.collect_list(F.struct("component", "weight_pct")).alias("pairs"))
+    return gathered.select("entity_id", F.udf(statistics_of, schema)("pairs").alias("r")).select("entity_id", "r.*")
 
 
 def timed(df_fn) -> float:
@@ -99,9 +99,10 @@ def main() -> None:
     q["stats_wide"] = timed(lambda: composition_stats_wide(wide_df, WEIGHT_COLS, props_local, PROPS))
     q["stats_long"] = timed(lambda: composition_stats_long(long_df, props_local, PROPS))
     q["stats_long_bucketed"] = timed(lambda: composition_stats_long(bucketed_df, props_local, PROPS))
-    q["stats_python_udf"] = timed(lambda: python_udf_stats(wide_df, props_local))
+    q["stats_python_udf"] = timed(lambda: python_udf_stats(long_df, props_local))
     for name in ("composition_stats_long", "composition_stats_wide", "electron_stats", "linear_ratio",
-                 "equal_width_bins", "train_test_split", "word_count", "regression_metrics"):
+                 "equal_width_bins", "train_test_split", "word_count", "regression_metrics", "except_distinct",
+                 "property_ffill"):
         q[name] = timed(lambda n=name: catalog.QUERIES[n](spark, SF_DIR))
     headline = [k for k in q if k != "stats_python_udf"]
     print(json.dumps({

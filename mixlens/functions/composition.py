@@ -150,7 +150,7 @@ def wide_mode(props: Sequence, pos: str) -> str:
 def items_arrays(items: str, n_universe: int) -> dict[str, str]:
     """Weights and components of the items as plain arrays (one lambda pass each)."""
     return {"__ws": f"transform({items}, x -> x.w)", "__cs": f"transform({items}, x -> x.c)",
-            "__n_absent": f"({n_universe} - size({items}))"}
+            "__n_absent": f"({n_universe} - size(filter({items}, x -> x.k)))"}
 
 
 def items_top(ws: str, n_absent: str) -> str:
@@ -206,4 +206,6 @@ def items_total(items: str) -> str:
 def lookup_in_universe(component: str, universe: Sequence[int], values: Sequence) -> str:
     """Property of a universe component (NULL component -> NULL)."""
     uni = "array(" + ", ".join(str(int(c)) for c in universe) + ")"
-    return f"element_at({lit_array(values)}, CAST(array_position({uni}, {component}) AS INT))"
+    # A guard and not nullif: inside element_at that gave the last element for 0 (Spark 4.1).
+    position = f"array_position({uni}, {component})"
+    return f"CASE WHEN {position} > 0 THEN element_at({lit_array(values)}, CAST({position} AS INT)) END"

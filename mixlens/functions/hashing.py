@@ -16,14 +16,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_DIGITS = 8
+#: How a NULL key column enters the hash.
+NULL_KEY = "<null>"
 _SPACE = 16 ** HASH_DIGITS
 
 
 def key_text(keys: Sequence[str | Column]) -> Column:
+    """Text of the key columns; a NULL is the marker ``NULL_KEY``, hashed like any key."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    if len(cols) == 1:
-        return cols[0].cast("string")
-    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit(NULL_KEY)) for c in cols])
 
 
 def unit_hex(keys: Sequence[str | Column], salt: str = "") -> Column:

@@ -38,11 +38,15 @@ def linear_ratio(num: Mapping[str, float], den: Mapping[str, float],
         .otherwise(F.greatest(ratio, F.lit(float(clamp_min))))
 
 
-def nbo_t(column_for: Mapping[int, str]) -> Column:
+def nbo_t(column_for: Mapping[int, str], missing: str = "error") -> Column:
     """NBO/T over element weight columns; ``column_for`` maps atomic number -> column.
 
-    Elements with no column count as 0.
+    An element of the formula without a column is an error, or counts as 0 with ``missing="zero"``.
     """
+    absent = sorted((set(NBO_T_NUMERATOR) | set(NBO_T_DENOMINATOR)) - set(column_for))
+    if absent and missing != "zero":
+        raise ValueError(f"no weight column for elements {absent}; pass missing='zero' to count them as 0")
+
     def coefs(table):
         return {column_for[z]: k for z, k in table.items() if z in column_for}
     return linear_ratio(coefs(NBO_T_NUMERATOR), coefs(NBO_T_DENOMINATOR))

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 
 def _finite(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
 
 
 def target_range(df: DataFrame, col: str) -> DataFrame:
-    """G1 + G2 in one pass: one row (lo, hi); NaN is left out of the range."""
+    """G1 + G2 in one pass: one row (lo, hi); NaN and infinities are left out of the range."""
     x = _finite(F.col(col).cast("double"))
     return df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
 
@@ -32,7 +32,10 @@ def equal_width_edges(lo: Column, hi: Column, n: int) -> list[Column]:
 
 
 def bin_label(x: Column, edges: list[Column]) -> Column:
-    """M2/P8: '0'..'n-1' for [e_k, e_k+1), the last bin closed; NULL outside or for NULL."""
+    """M2/P8: '0'..'n-1' for [e_k, e_k+1), the last bin closed; NULL outside or for NULL.
+
+    Pass the range's own end as the last edge: the arithmetic one can round below it.
+    """
     n = len(edges) - 1
     expr = None
     for k in range(n):
@@ -42,12 +45,20 @@ def bin_label(x: Column, edges: list[Column]) -> Column:
     return expr
 
 
-def equal_width_bins(df: DataFrame, col: str, n: int = 5, label_col: str | None = None) -> DataFrame:
-    """Add a string bin label of ``col`` over ``n`` equal-width bins of its range."""
+def equal_width_bins(df: DataFrame, col: str, n: int = 5, label_col: str | None = None,
+                     null_label: str | None = None) -> DataFrame:
+    """Add a string bin label of ``col`` over ``n`` equal-width bins of its range.
+
+    Every finite value gets a label; infinities get that of the end bin on their side; NULL
+    and NaN get ``null_label``.
+    """
     label_col = label_col or f"{col}_stratified_label"
     r = range_subquery(df, col)
-    edges = equal_width_edges(r["lo"], r["hi"], n)
-    return df.withColumn(label_col, bin_label(F.col(col).cast("double"), edges))
+    edges = [*equal_width_edges(r["lo"], r["hi"], n)[:-1], r["hi"]]
+    x = F.col(col).cast("double")
+    inside = F.when(F.isnan(x), F.lit(None)).otherwise(F.least(F.greatest(x, r["lo"]), r["hi"]))
+    label = bin_label(F.when(x.isNotNull(), inside), edges)
+    return df.withColumn(label_col, label if null_label is None else F.coalesce(label, F.lit(null_label)))
 
 
 def distinct_strata(df: DataFrame, label_col: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.functions import composition as C
-from mixlens.operators.joins import bounded_rows
+from mixlens.operators.joins import bounded_rows, lookup_join
 
 # Largest property table we fold into a plan or broadcast. The element
 # dimension has 118 rows; anything beyond this bound is a modelling error.
@@ -51,17 +51,6 @@ def _property_rows(props: DataFrame, property_cols: Sequence[str], component_col
     return rows
 
 
-def _local_properties(props: DataFrame, property_cols: Sequence[str], component_col: str,
-                      names: Sequence[str]) -> tuple[list, DataFrame]:
-    """The bounded property table read once, and the same rows as a local relation
-    (so the broadcast side does not recompute whatever produced ``props``)."""
-    rows = _property_rows(props, property_cols, component_col)
-    spark = props.sparkSession
-    schema = ", ".join([f"{names[0]} int"] + [f"`{n}` double" for n in names[1:]])
-    local = spark.createDataFrame([tuple(r) for r in rows], schema)
-    return rows, local
-
-
 def stat_columns(property_cols: Sequence[str], stats: Sequence[str] = C.STAT_NAMES) -> list[str]:
     """Names of the statistic columns, ``<property>_<stat>``, in output order
     (e.g. to declare a feature list by name: oxides + ``stat_columns(props)``)."""
@@ -177,44 +166,61 @@ def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, M
 
 
 def property_lookup(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
-                    component_col: str = "component", max_components: int = MAX_COMPONENTS) -> DataFrame:
-    """Attach component properties by a broadcast equi-join (size checked first)."""
-    _, small = _local_properties(props, property_cols, component_col, [component_col, *property_cols])
-    return mix_long.join(F.broadcast(small), component_col)
+                    component_col: str = "component") -> DataFrame:
+    """Attach component properties; every row stays, with NULL where the component is unknown.
+
+    Any table size: a table of few rows is broadcast (a mix has few components, so a shuffle
+    by component would deal its rows to few tasks), a larger one is joined as Spark plans it.
+    """
+    side = props.select(component_col, *[F.col(p).cast("double").alias(p) for p in property_cols])
+    return lookup_join(mix_long, side, component_col, "left")
 
 
 def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
                            *, entity_col: str = "entity_id", component_col: str = "component",
                            weight_col: str = "weight_pct", normalize: bool = False,
-                           as_float: bool = False, names: Mapping[str, str] | None = None) -> DataFrame:
+                           as_float: bool = False, names: Mapping[str, str] | None = None,
+                           components: Sequence[int] | None = None) -> DataFrame:
     """A9/A10, long form: one output row per entity with ``<prop>_<stat>`` columns.
 
     Plan: partial + final aggregate on (entity, component) -- duplicates
     summed, hot entities collapsed map-side -- then a broadcast join to the
     size-checked property table, then an aggregate on entity that gathers at
     most |universe| items per entity, then array expressions.
-    Components missing from ``props`` are ignored. Entities given only with
-    zero weights get the all-zero result; entities with no rows are absent.
+    ``components`` is the universe, as the weight columns are in the wide form: rows
+    of other components are left out (an entity of such rows only keeps its row, all
+    absent). By default it is the components of ``props`` and those the entity has. A
+    component of the universe without a property has NULL properties, as in the wide
+    form. Entities given only with zero weights get the all-zero result; entities with no rows
+    are absent.
     """
     names = dict(names or {})
     fields = [f"p{i}" for i in range(len(property_cols))]
-    rows, small = _local_properties(props, property_cols, component_col, ["c", *fields])
-    universe = [r["c"] for r in rows]
+    rows = _property_rows(props, property_cols, component_col)
+    universe = sorted({int(c) for c in components}) if components is not None else [r["c"] for r in rows]
+    if len(universe) > MAX_COMPONENTS:
+        raise ValueError(f"more than {MAX_COMPONENTS} components")
     values = {p: {r["c"]: r[p] for r in rows} for p in property_cols}
+    small = mix_long.sparkSession.createDataFrame(
+        [(c, True, *[values[p].get(c) for p in property_cols]) for c in universe],
+        ", ".join(["c int", "k boolean"] + [f"`{f}` double" for f in fields]))
     pre = (mix_long
            .select(F.col(entity_col).alias(entity_col),
                    F.col(component_col).cast("int").alias("c"),
                    F.expr(C.clean_weight(C.q(weight_col))).alias("w"))
            .groupBy(entity_col, "c").agg(F.sum("w").alias("w")))
     # ``small`` is a local relation of at most MAX_COMPONENTS rows (checked).
-    joined = pre.join(F.broadcast(small), "c")
+    joined = pre.join(F.broadcast(small), "c", "left")
+    item = F.struct("c", "w", "k", *fields)
+    if components is not None:
+        item = F.when(F.col("k"), item)  # collect_list leaves NULLs out
     # After the pre-aggregation each entity has at most len(universe) rows.
     # Only the gather happens in this aggregate: collect_list makes Spark use
     # its object (interpreted) aggregate for every function in the step, so
     # min/max/mean run faster as array functions over the few gathered items
     # (measured: adding them as aggregates here was 15-30% slower).
     items = (joined.groupBy(entity_col)
-             .agg(F.sort_array(F.collect_list(F.struct("c", "w", *fields))).alias("__items")))
+             .agg(F.sort_array(F.collect_list(item)).alias("__items")))
     n = len(universe)
     stage = items.withColumns(_exprs(C.items_arrays("__items", n)))
     stage = stage.withColumn("__top", F.expr(C.items_top("__ws", "__n_absent")))
@@ -250,16 +256,24 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
 
 
 def long_to_wide(mix_long: DataFrame, universe: Sequence[int], *, entity_col: str = "entity_id",
-                 component_col: str = "component", weight_col: str = "weight_pct") -> DataFrame:
+                 component_col: str = "component", weight_col: str = "weight_pct",
+                 other_col: str | None = None) -> DataFrame:
     """Pivot a long mix into one weight column per component (named by its id).
 
+    Weight on components outside ``universe`` has no column; ``other_col`` names one for their sum.
+
     Spark plans the pivot as an aggregate on (entity, component) followed by
     one on entity, both with map-side partial aggregation.
     """
-    wide = (mix_long.groupBy(entity_col)
-            .pivot(component_col, [int(c) for c in universe])
-            .agg(F.sum(weight_col)))
-    return wide.na.fill(0.0, [str(c) for c in universe])
+    wanted = [int(c) for c in universe]
+    if other_col is None:
+        wide = mix_long.groupBy(entity_col).pivot(component_col, wanted).agg(F.sum(weight_col))
+        return wide.na.fill(0.0, [str(c) for c in wanted])
+    inside = F.col(component_col).isin(wanted)
+    name = F.when(inside, F.col(component_col).cast("string")).otherwise(F.lit(other_col))
+    names = [*map(str, wanted), other_col]
+    wide = mix_long.withColumn("__name", name).groupBy(entity_col).pivot("__name", names).agg(F.sum(weight_col))
+    return wide.na.fill(0.0, names)
 
 
 def wide_to_long(df: DataFrame, component_cols, *, entity_col: str = "entity_id",

@@ -33,8 +33,8 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     checkpointed to the session's checkpoint folder, so the bounded size check
     (at most ``max_rows + 1`` rows read) and the join reuse the stored result
     instead of recomputing it. Beyond the bound the join is left to Spark
-    (sort-merge, with AQE splitting skewed partitions); a lookup table that
-    large has many keys, so no single key can hold a large share of it.
+    (sort-merge); a key that many rows of ``big`` share makes a skewed partition there,
+    which AQE's skew join splits.
     """
     from pyspark.sql import functions as F
 

@@ -7,15 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixlens.operators.joins import TooLargeError, has_at_most
-from mixlens.session import ensure_checkpoint_dir
-
 # Electron capacity of each subshell letter.
 SUBSHELL_CAPACITY = {"s": 2, "p": 6, "d": 10, "f": 14}
 
-# Largest table we forward-fill in a single ordered window without a partition key.
-MAX_UNPARTITIONED_FILL = 100_000
-
 
 def subshell_count(config: Column, letter: str) -> Column:
     """Electrons in the first ``<letter><digits>`` group of a configuration string.
@@ -44,76 +38,75 @@ ELECTRON_PROPERTIES = [f"{l}_{k}" for k in ("filled", "unfilled") for l in SUBSH
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[str],
-                 partition_by: Sequence[str] = ()) -> DataFrame:
+                 partition_by: Sequence[str] = (), n_ranges: int | None = None) -> DataFrame:
     """Replace NULLs by the last non-NULL value before them in ``order_by`` order.
 
-    Leading NULLs stay NULL. With ``partition_by`` (e.g. a property name in a
-    long property table) each partition fills independently and in parallel.
-    Without it the whole table is one ordered window, which we allow only for
-    bounded tables such as the element dimension.
+    Leading NULLs stay NULL; NULL keys come first. Rows with equal keys are ordered by a
+    hash of the key and the filled columns, so the result is the same in every run. With
+    ``partition_by`` (e.g. a property name in a long property table) each partition fills on its own;
+    a partition is one window, so it should be bounded. Without it the whole table is filled
+    over ``n_ranges`` ranges in parallel, whatever its size.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if not partition_by:
-        # Computed once into the checkpoint folder; the size check and the
-        # window then read the stored table.
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        if not has_at_most(df, MAX_UNPARTITIONED_FILL):
-            if len(order) != 1:
-                raise TooLargeError("forward_fill of a large table without partition_by needs one order column")
-            return forward_fill_by_ranges(df, cols, order[0])
-    w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(*order) \
+        return forward_fill_by_ranges(df, cols, order, n_ranges)
+    w = Window.partitionBy(*partition_by).orderBy(*order, _tie(order, cols)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
 
-def _range_index(key: Column, edges: list[float]) -> Column:
+def _tie(order: Sequence[str], cols: Sequence[str]) -> Column:
+    return F.xxhash64(*order, *cols)
+
+
+def _range_index(key: Column, edges: list[Column]) -> Column:
     """Number of ``edges`` (sorted, distinct) that are <= ``key``, as a nested
-    CASE binary search: compiled code, depth log2(len(edges))."""
+    CASE binary search: depth log2(len(edges))."""
     def search(lo: int, hi: int) -> Column:   # answer in [lo, hi]
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2               # is key >= edges[mid - 1]?
-        return F.when(key >= F.lit(float(edges[mid - 1])), search(mid, hi)).otherwise(search(lo, mid - 1))
+        return F.when(key >= edges[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
     return search(0, len(edges))
 
 
-def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str, n_ranges: int | None = None,
-                           quantiles: bool = True) -> DataFrame:
-    """Forward fill over the whole table, in parallel, for a numeric ``order_by``.
+#: Rows sampled for each range to place its ends.
+SAMPLE_PER_RANGE = 20
+MAX_RANGES = 1024
 
-    The order key is cut into about ``n_ranges`` ranges: by approximate
-    quantiles (default; equal row counts, so a dense key range does not make
-    one large task; one pass and at most ``n_ranges`` numbers to the driver),
-    or by equal width over the key's range. Each range is filled by its own
-    window task. The last non-NULL value of each range (one small aggregate,
-    at most ``n_ranges`` rows) is carried into the ranges after it by a window
-    over those few rows, and joined back by broadcast. Rows with equal keys
-    have no defined order, as in any window; all rows of one key value stay in
-    one range.
+
+def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[str],
+                           n_ranges: int | None = None) -> DataFrame:
+    """Forward fill over the whole table, in parallel, for orderable keys of any type.
+
+    The key (the order columns, then a hash that orders equal keys and so splits a key that
+    very many rows share) is cut into ranges at quantiles of a bounded sample
+    (``SAMPLE_PER_RANGE`` rows a range, read on the driver). Each range is filled by its own window
+    task. The last non-NULL value of each range (one small aggregate) is carried into the ranges
+    after it by a window over those few rows, and joined back by broadcast.
     """
     spark = df.sparkSession
-    n = int(n_ranges or max(8, 4 * spark.sparkContext.defaultParallelism))
-    key = F.col(order_by).cast("double")
-    if quantiles:
-        probs = [i / n for i in range(1, n)]
-        edges = sorted({float(e) for e in df.approxQuantile(order_by, probs, 1.0 / (4 * n))})
-        bucket = _range_index(key, edges) if edges else F.lit(0)
-    else:
-        rng = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).select(F.struct("lo", "hi")).scalar()
-        width = (rng["hi"] - rng["lo"]) / F.lit(float(n))
-        bucket = F.when(width > 0, F.least(F.floor((key - rng["lo"]) / width), F.lit(n - 1))).otherwise(F.lit(0))
-    b = df.withColumn("__r", bucket.cast("int"))
-    inside = Window.partitionBy("__r").orderBy(order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    n = min(MAX_RANGES, int(n_ranges or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    keyed = df.withColumn("__tie", _tie(order, cols))
+    names = [*order, "__tie"]
+    sample = keyed.select(*names).orderBy(F.rand(7)).limit(n * SAMPLE_PER_RANGE)
+    ranked = sorted(sample.distinct().collect(), key=lambda r: tuple((v is not None, v) for v in r))
+    ends = ranked[SAMPLE_PER_RANGE // 2::SAMPLE_PER_RANGE] if len(ranked) > n else ranked[1:]
+    types = [keyed.schema[c].dataType for c in names]
+    edges = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))]) for r in ends]
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)])
+    b = keyed.withColumn("__r", _range_index(key, edges).cast("int"))
+    inside = Window.partitionBy("__r").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = b.withColumns({c: F.last(F.col(c), ignorenulls=True).over(inside) for c in cols})
     # Last non-NULL value of each range: max over (key, value) structs, NULL values skipped.
     lasts = b.groupBy("__r").agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order_by).alias("k"), F.col(c).alias("v"))))["v"]
+        F.max(F.when(F.col(c).isNotNull(), F.struct(key.alias("k"), F.col(c).alias("v"))))["v"]
         .alias(f"__last_{c}") for c in cols])
     before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     carries = lasts.select("__r", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}")
                                     for c in cols])
-    # At most n rows: a proven bound for the broadcast.
+    # At most MAX_RANGES rows: a proven bound for the broadcast.
     out = filled.join(F.broadcast(carries), "__r", "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols}) \
-        .drop("__r", *[f"__carry_{c}" for c in cols])
+        .drop("__r", "__tie", *[f"__carry_{c}" for c in cols])

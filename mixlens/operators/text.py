@@ -18,7 +18,9 @@ def tokens(df: DataFrame, text_col: str = "value", *, multiline: bool = False) -
     """One row per token. ``multiline`` also splits lines inside a value."""
     lines = df.select(F.col(text_col).alias("__line"))
     if multiline:
-        lines = lines.select(F.explode(F.split(F.col("__line"), "\n", -1)).alias("__line"))
+        # Line ends as the line reader knows them: LF, CR LF and CR.
+        ends = F.translate(F.replace(F.col("__line"), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
+        lines = lines.select(F.explode(F.split(ends, "\n", -1)).alias("__line"))
     return lines.select(F.explode(F.split(F.col("__line"), " ", -1)).alias("word"))
 
 

@@ -24,7 +24,7 @@ from mixlens.operators.composition import (composition_stats_long, composition_s
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
-from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_long, property_table
+from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_long, part_property, property_table
 from mixlens.session import scratch_path
 from mixlens.operators.joins import lookup_join
 from mixlens.sinks import append_metrics, write_parquet, write_split, write_text
@@ -37,7 +37,6 @@ STATS_PROPS = ["s_filled", "min_price"]
 TEST_SIZE = 0.2
 SEED = 42
 N_BINS = 5
-BRAND = "Brand#13"
 RF_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 RF_LABEL = "l_extendedprice"
 
@@ -152,15 +151,15 @@ def q_composition_pack(spark, sf):
 
 
 def q_linear_ratio(spark, sf):
-    wide = _wide_mix(spark, sf, by="customer")
-    return wide.select("entity_id", rnd(nbo_t({z: str(z) for z in UNIVERSE})).alias("nbo_t"))
+    wide = long_to_wide(mix_long(spark, sf, by="customer"), O.RATIO_UNIVERSE)
+    return wide.select("entity_id", rnd(nbo_t({z: str(z) for z in O.RATIO_UNIVERSE})).alias("nbo_t"))
 
 
 # ------------------------------------------------------------------ properties
 
 def q_property_table(spark, sf):
-    return property_table(spark, sf).select("component", "electronic_configuration",
-                                            *ELECTRON_PROPERTIES, "min_price")
+    shells = electron_shells(element_table(spark)).join(part_property(spark, sf), "component", "left")
+    return shells.select("component", "electronic_configuration", *ELECTRON_PROPERTIES, "min_price")
 
 
 def q_electron_shells(spark, sf):
@@ -171,12 +170,10 @@ def q_electron_shells(spark, sf):
 
 
 def q_property_ffill(spark, sf):
-    part = read_table(spark, sf, "part").where(F.col("p_brand") == BRAND)
-    brand = part.groupBy(F.col("p_size").alias("component")).agg(F.min("p_retailprice").alias("brand_price"))
-    universe = spark.range(min(UNIVERSE), max(UNIVERSE) + 1).select(F.col("id").cast("int").alias("component"))
-    table = universe.join(brand, "component", "left").withColumn("brand_price_raw", F.col("brand_price"))
-    return forward_fill(table, ["brand_price"], "component").select(
-        "component", "brand_price_raw", F.col("brand_price").alias("brand_price_filled"))
+    """All parts in key order; the price has gaps wherever the key's last digits say so."""
+    price = F.when(F.col("p_partkey") % 7 > 3, F.col("p_retailprice"))
+    table = read_table(spark, sf, "part").select("p_partkey", price.alias("price_raw")).withColumn("price_filled", F.col("price_raw"))
+    return forward_fill(table, ["price_filled"], "p_partkey")
 
 
 # ------------------------------------------------- binning, sampling and split
@@ -230,8 +227,60 @@ def q_split_roundtrip(spark, sf):
     df = split.train_test_split(_orders_binned(spark, sf), ["o_orderkey"], TEST_SIZE)
     path = scratch_path(spark, "splits")
     write_split(df.select("o_orderkey", "o_totalprice", "stratum", "split"), path)
-    back = spark.read.parquet(path)
-    return back.where(F.col("split") == "test").select("o_orderkey", "o_totalprice", "stratum")
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "stratum", "split")
+
+
+def _null_keys():
+    return F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderkey"))
+
+
+def q_train_test_split_null_keys(spark, sf):
+    """Half the two-part keys NULL in one part, a third of the one-part keys NULL: no row is lost, none favoured."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey").withColumn("key", _null_keys())
+    out = split.train_test_split(orders, ["key", "o_custkey"], 0.5, split_col="by_two")
+    out = split.train_test_split(out, ["key"], TEST_SIZE, split_col="by_one")
+    return out.select("o_orderkey", "by_one", "by_two")
+
+
+def q_sample_by_seeded_share(spark, sf):
+    """Per stratum: rows, and whether the seeded sample's share is within five standard deviations."""
+    rows = _orders_binned(spark, sf).select("o_orderkey", "stratum")
+    drawn = split.sample_by_seeded(rows, "stratum", FRACTIONS, SEED).withColumn("drawn", F.lit(1))
+    n, k, f = F.count("*"), F.count("drawn"), 1.0 - TEST_SIZE
+    return (rows.join(drawn, ["o_orderkey", "stratum"], "left").groupBy("stratum")
+            .agg(n.alias("n"), (F.abs(k - n * f) <= 5 * F.sqrt(n * f * (1 - f)) + 1).alias("share_ok")))
+
+
+def q_equal_width_bins_signed(spark, sf):
+    """Bins of a signed double column with awkward ends, NULLs under a label of their own."""
+    x = F.when(F.col("o_custkey") % 7 > 0, F.col("o_totalprice") / 3.0 - F.lit(54225.890941973405))
+    orders = read_table(spark, sf, "orders").select("o_orderkey", x.alias("x"))
+    return binning.equal_width_bins(orders, "x", N_BINS, "stratum", null_label="none")
+
+
+def _gapped(spark, sf):
+    """The property table without every seventh component."""
+    return property_table(spark, sf).where(F.col("component") % 7 > 0)
+
+
+def q_composition_stats_unknown(spark, sf):
+    out = composition_stats_long(mix_long(spark, sf), _gapped(spark, sf), STATS_PROPS, components=UNIVERSE)
+    return _round_all(out, ["entity_id"])
+
+
+def q_composition_stats_unknown_wide(spark, sf):
+    out = composition_stats_wide(_wide_mix(spark, sf), WEIGHT_COLS, _gapped(spark, sf), STATS_PROPS)
+    return _round_all(out.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
+
+
+def q_composition_stats_subset(spark, sf):
+    out = composition_stats_long(mix_long(spark, sf), property_table(spark, sf), STATS_PROPS, components=O.SUBSET)
+    return _round_all(out, ["entity_id"])
+
+
+def q_composition_stats_subset_wide(spark, sf):
+    out = composition_stats_wide(_wide_mix(spark, sf), list(map(str, O.SUBSET)), property_table(spark, sf), STATS_PROPS)
+    return _round_all(out.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
 
 
 # ------------------------------------------------------------------ scans, text
@@ -301,6 +350,21 @@ def q_rf_regression(spark, sf):
     return model.transform(test).select("l_orderkey", "l_linenumber", RF_LABEL, "prediction")
 
 
+def q_rf_model_check(spark, sf):
+    """Per test row: the loaded model predicts as the fitted one, within the range of the training labels."""
+    lines = split.train_test_split(_lines(spark, sf), ["l_orderkey"], TEST_SIZE)
+    train, test = lines.where(F.col("split") == "train"), lines.where(F.col("split") == "test")
+    fitted = regression_pipeline(RF_FEATURES, RF_LABEL, seed=SEED).fit(train)
+    path = scratch_path(spark, "rf_check")
+    fitted.write().overwrite().save(path)
+    loaded = type(fitted).load(path)
+    r = train.agg(F.struct(F.min(RF_LABEL).alias("lo"), F.max(RF_LABEL).alias("hi"))).scalar()
+    both = fitted.transform(test).withColumnRenamed("prediction", "direct").drop("features")
+    both = loaded.transform(both)
+    return both.select("l_orderkey", "l_linenumber", RF_LABEL, (F.col("direct") == F.col("prediction")).alias("same"),
+                       F.col("prediction").between(r["lo"], r["hi"]).alias("within"))
+
+
 # --------------------------------------------- end-to-end jobs (ETL, training)
 
 def _mix_schema_json() -> dict:
@@ -376,6 +440,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "except_distinct": q_except_distinct,
     "train_test_split": q_train_test_split,
     "split_roundtrip": q_split_roundtrip,
+    "train_test_split_null_keys": q_train_test_split_null_keys,
+    "sample_by_seeded_share": q_sample_by_seeded_share,
+    "equal_width_bins_signed": q_equal_width_bins_signed,
+    "composition_stats_unknown": q_composition_stats_unknown,
+    "composition_stats_unknown_wide": q_composition_stats_unknown_wide,
+    "composition_stats_subset": q_composition_stats_subset,
+    "composition_stats_subset_wide": q_composition_stats_subset_wide,
+    "rf_model_check": q_rf_model_check,
     "csv_scan_typed": q_csv_scan_typed,
     "word_count": q_word_count,
     "text_scan_word_count": q_text_scan_word_count,

@@ -15,6 +15,9 @@ from mixlens.sources.elements import element_rows
 # Rounding used on both sides for doubles produced by sums (addition order
 # differs between engines; the offset keeps values off exact half-way points).
 ROUND_DIGITS = 6
+# Elements 1..56, which hold all of the NBO/T formula, and a part of the universe.
+RATIO_UNIVERSE = list(range(1, 57))
+SUBSET = list(range(1, 31))
 
 
 def rnd(expr: str) -> str:
@@ -26,7 +29,7 @@ def mix_long_cte(by: str = "order") -> str:
         src = ("SELECT l.l_orderkey AS entity_id, p.p_size AS component, sum(l.l_quantity) AS qty "
                "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2")
     else:
-        src = ("SELECT o.o_custkey AS entity_id, p.p_size AS component, sum(l.l_quantity) AS qty "
+        src = ("SELECT o.o_custkey AS entity_id, p.p_size + 6 * (p.p_partkey % 2) AS component, sum(l.l_quantity) AS qty "
                "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey "
                "JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2")
     return (f"mix_q AS ({src}),\n"
@@ -51,8 +54,8 @@ def shells_select(cfg: str = "electronic_configuration") -> str:
     return ", ".join(filled + unfilled)
 
 
-def props_cte() -> str:
-    return (elements_cte() + ",\n"
+def props_cte(max_component: int = max(UNIVERSE)) -> str:
+    return (elements_cte(max_component) + ",\n"
             "part_prop AS (SELECT p_size AS component, min(p_retailprice) AS min_price "
             "FROM part GROUP BY p_size),\n"
             f"props AS (SELECT e.component, e.electronic_configuration, {shells_select('e.electronic_configuration')}, "
@@ -60,10 +63,11 @@ def props_cte() -> str:
 
 
 def stats_sql(prop_cols: list[str], stats: tuple[str, ...] = ("max", "min", "std", "mean", "mode1", "mode2"),
-              mix: str = "mix_long", by: str = "order", normalize: bool = False) -> str:
-    """Composition statistics for ``prop_cols`` by brute force over the dense matrix."""
-    n = len(UNIVERSE)
-    lo, hi = min(UNIVERSE), max(UNIVERSE)
+              mix: str = "mix_long", by: str = "order", normalize: bool = False,
+              universe: list[int] = UNIVERSE, known: str = "true") -> str:
+    """Composition statistics for ``prop_cols`` by brute force over the dense matrix of ``universe``;
+    ``known`` tells which components have properties."""
+    lo, hi = min(universe), max(universe)
     ctes = [mix_long_cte(by), props_cte(),
             f"ents AS (SELECT DISTINCT entity_id FROM {mix})",
             f"mw AS (SELECT entity_id, component, sum(coalesce(weight_pct, 0)) AS w FROM {mix} GROUP BY 1, 2)",
@@ -71,7 +75,7 @@ def stats_sql(prop_cols: list[str], stats: tuple[str, ...] = ("max", "min", "std
             "dense AS (SELECT g.entity_id, g.component, coalesce(mw.w, 0.0) AS w FROM grid g "
             "LEFT JOIN mw ON mw.entity_id = g.entity_id AND mw.component = g.component)",
             "d AS (SELECT dense.*, " + ", ".join(f"CAST(pr.{p} AS DOUBLE) AS {p}" for p in prop_cols)
-            + " FROM dense JOIN props pr ON pr.component = dense.component)",
+            + f" FROM dense LEFT JOIN props pr ON pr.component = dense.component AND ({known.format(c='pr.component')}))",
             "ranked AS (SELECT d.*, row_number() OVER (PARTITION BY entity_id ORDER BY w DESC, component) AS rk FROM d)",
             "tops AS (SELECT entity_id, max(w) FILTER (WHERE rk = 1) AS w1, max(w) FILTER (WHERE rk = 2) AS w2, "
             "max(component) FILTER (WHERE rk = 1) AS c1, max(component) FILTER (WHERE rk = 2) AS c2, "
@@ -101,7 +105,6 @@ def stats_sql(prop_cols: list[str], stats: tuple[str, ...] = ("max", "min", "std
     body = ("SELECT d.entity_id, " + ", ".join(cols)
             + " FROM d JOIN tops t ON t.entity_id = d.entity_id JOIN means m ON m.entity_id = d.entity_id "
             "GROUP BY d.entity_id, t.total")
-    del n
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
@@ -110,15 +113,16 @@ def rnd4(expr: str) -> str:
 
 
 def _binned_cte() -> str:
-    return ("rng AS (SELECT min(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS lo, "
-            "max(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS hi FROM orders),\n"
-            "edges AS (SELECT " + ", ".join(
-                f"lo + (hi - lo) * CAST({i} AS DOUBLE) / CAST(5 AS DOUBLE) AS e{i}" for i in range(6))
-            + " FROM rng),\n"
-            "binned AS (SELECT o.o_orderkey, o.o_totalprice, CASE "
-            + " ".join(f"WHEN o.o_totalprice >= (SELECT e{k} FROM edges) AND o.o_totalprice "
-                       f"{'<=' if k == 4 else '<'} (SELECT e{k + 1} FROM edges) THEN '{k}'" for k in range(5))
-            + " END AS stratum FROM orders o)")
+    return f"binned AS (SELECT o_orderkey, x AS o_totalprice, stratum FROM ({_bins('o_totalprice')}))"
+
+
+def _bins(x: str, none: str = "NULL") -> str:
+    """o_orderkey, x, stratum: the label is the number of inner edges at or below the value."""
+    below = " + ".join(f"CAST(v >= lo + (hi - lo) * CAST({k} AS DOUBLE) / CAST(5 AS DOUBLE) AS INTEGER)" for k in range(1, 5))
+    return (f"SELECT o_orderkey, x, CASE WHEN x IS NULL OR isnan(x) THEN {none} WHEN lo = hi THEN '4' "
+            f"ELSE CAST({below} AS VARCHAR) END AS stratum "
+            f"FROM (SELECT *, least(greatest(x, lo), hi) AS v FROM (SELECT o_orderkey, {x} AS x FROM orders), "
+            f"(SELECT min(x) AS lo, max(x) AS hi FROM (SELECT {x} AS x FROM orders) WHERE isfinite(x)))")
 
 
 HASH_TRAIN = "substr(md5(CAST({key} AS VARCHAR)), 1, 8) < 'cccccccc'"
@@ -163,7 +167,7 @@ def oracle_queries() -> dict[str, str]:
         "WITH " + mix_long_cte() + ",\n" + props_cte() + "\n"
         f"SELECT m.entity_id, m.component, {rnd('m.weight_pct')} AS weight_pct, "
         "CAST(pr.s_filled AS DOUBLE) AS s_filled, CAST(pr.min_price AS DOUBLE) AS min_price "
-        "FROM mix_long m JOIN props pr ON pr.component = m.component")
+        "FROM mix_long m LEFT JOIN props pr ON pr.component = m.component")
 
     lo, hi = min(UNIVERSE), max(UNIVERSE)
     q["present_components"] = (
@@ -186,7 +190,7 @@ def oracle_queries() -> dict[str, str]:
 
     def lin(coefs):
         return " + ".join(f"coalesce(sum(weight_pct) FILTER (WHERE component = {z}), 0) * {float(k)}"
-                          for z, k in coefs.items() if z in UNIVERSE)
+                          for z, k in coefs.items())
     q["linear_ratio"] = (
         "WITH " + mix_long_cte("customer") + ",\n"
         f"r AS (SELECT entity_id, {lin(NBO_T_NUMERATOR)} AS num, {lin(NBO_T_DENOMINATOR)} AS den "
@@ -195,19 +199,16 @@ def oracle_queries() -> dict[str, str]:
         "AS nbo_t FROM r")
 
     shells = ", ".join(ELECTRON_PROPERTIES)
-    q["property_table"] = ("WITH " + props_cte() + "\n"
+    q["property_table"] = ("WITH " + props_cte(118) + "\n"
                            f"SELECT component, electronic_configuration, {shells}, min_price FROM props")
     q["electron_shells"] = (
         "WITH " + elements_cte(118) + "\n"
         f"SELECT p.p_partkey, {shells_select('e.electronic_configuration')} "
         "FROM part p JOIN elements e ON e.component = p.p_size")
     q["property_ffill"] = (
-        f"WITH universe AS (SELECT CAST(range AS INTEGER) AS component FROM range({lo}, {hi + 1})),\n"
-        "b AS (SELECT p_size AS component, min(p_retailprice) AS brand_price FROM part "
-        "WHERE p_brand = 'Brand#13' GROUP BY p_size),\n"
-        "t AS (SELECT u.component, b.brand_price FROM universe u LEFT JOIN b ON b.component = u.component)\n"
-        "SELECT component, brand_price AS brand_price_raw, last_value(brand_price IGNORE NULLS) OVER "
-        "(ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS brand_price_filled FROM t")
+        "WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 7 > 3 THEN p_retailprice END AS price_raw FROM part)\n"
+        "SELECT p_partkey, price_raw, last_value(price_raw IGNORE NULLS) OVER "
+        "(ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_filled FROM t")
 
     q["target_range"] = ("SELECT min(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS lo, "
                          "max(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS hi FROM orders")
@@ -221,8 +222,20 @@ def oracle_queries() -> dict[str, str]:
     q["train_test_split"] = (binned + "SELECT o_orderkey, stratum, CASE WHEN "
                              + HASH_TRAIN.format(key="o_orderkey")
                              + " THEN 'train' ELSE 'test' END AS split FROM binned")
-    q["split_roundtrip"] = (binned + "SELECT o_orderkey, o_totalprice, stratum FROM binned WHERE NOT ("
-                            + HASH_TRAIN.format(key="o_orderkey") + ")")
+    q["split_roundtrip"] = (binned + "SELECT o_orderkey, o_totalprice, stratum, CASE WHEN "
+                            + HASH_TRAIN.format(key="o_orderkey") + " THEN 'train' ELSE 'test' END AS split FROM binned")
+    key = "coalesce(CAST(CASE WHEN o_custkey % 3 > 0 THEN o_orderkey END AS VARCHAR), '<null>')"
+    q["train_test_split_null_keys"] = (
+        f"SELECT o_orderkey, CASE WHEN {HASH_TRAIN.format(key=key)} THEN 'train' ELSE 'test' END AS by_one, "
+        f"CASE WHEN substr(md5({key} || '|' || CAST(o_custkey AS VARCHAR)), 1, 8) < '80000000' THEN 'train' ELSE 'test' END "
+        "AS by_two FROM orders")
+    q["sample_by_seeded_share"] = binned + "SELECT stratum, count(*) AS n, true AS share_ok FROM binned GROUP BY stratum"
+    q["equal_width_bins_signed"] = _bins(
+        "CASE WHEN o_custkey % 7 > 0 THEN o_totalprice / CAST(3 AS DOUBLE) - CAST('54225.890941973405' AS DOUBLE) END", "'none'")
+    for name, options in (("unknown", {"known": "{c} % 7 > 0"}), ("subset", {"universe": SUBSET})):
+        q[f"composition_stats_{name}"] = q[f"composition_stats_{name}_wide"] = stats_sql(props, **options)
+    q["rf_model_check"] = ("SELECT l_orderkey, l_linenumber, l_extendedprice, true AS same, true AS within FROM lineitem WHERE NOT ("
+                           + HASH_TRAIN.format(key="l_orderkey") + ")")
     q["csv_scan_typed"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
     q["word_count"] = _word_count("documents")
     q["text_scan_word_count"] = _word_count("(SELECT text FROM documents WHERE text IS NOT NULL)")

@@ -77,3 +77,25 @@ def test_null_stratum_rules(spark):
     assert split.sample_by_hash(df, ["id"], "g", {"0": 1.0}).where("g IS NULL").count() == 0
     got = split.sample_by_hash(df, ["id"], "g", {"0": 1.0, None: 0.5}).where("g IS NULL").count()
     assert 850 < got < 1150
+
+
+def test_the_maximum_is_labelled_where_the_last_edge_rounds_below_it(spark):
+    lo, hi = -653.9851968418982, 54225.890941973405
+    assert lo + (hi - lo) * 5.0 / 5.0 < hi
+    df = spark.createDataFrame([(lo,), (hi,), (0.0,)], "x double")
+    assert {r["x"]: r["b"] for r in binning.equal_width_bins(df, "x", 5, "b").collect()} == {lo: "0", hi: "4", 0.0: "0"}
+
+
+def test_infinities_and_missing_targets(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(0.0,), (5.0,), (inf,), (-inf,), (nan,), (None,)], "x double")
+    got = [r["b"] for r in binning.equal_width_bins(df, "x", 5, "b").collect()]
+    assert got == ["0", "4", "4", "0", None, None]
+    assert [r["b"] for r in binning.equal_width_bins(df, "x", 5, "b", null_label="none").collect()][-2:] == ["none", "none"]
+
+
+def test_null_keys_are_drawn_like_any_key(spark):
+    df = spark.createDataFrame([(None, i) for i in range(200)], "k string, i int")
+    assert split.sample_by_hash(df, ["k"], None, 1.0).count() == 200
+    sides = split.train_test_split(df, ["k", "i"], 0.5).groupBy("split").count().collect()
+    assert all(60 < r["count"] < 140 for r in sides) and len(sides) == 2

@@ -156,3 +156,19 @@ def test_single_property_entry_points(spark):
     radius = spark.createDataFrame([(8, 0.66), (11, 1.66), (14, 1.11)], "component int, r double")
     out = atomic_property_stats(wide, radius, "r", cols).collect()[0]
     assert out["r_max"] == 1.66 and out["r_min"] == 0.66
+
+
+def test_unknown_components_keep_their_rows_and_agree_with_the_wide_form(spark):
+    from mixlens.operators.composition import composition_stats_long, composition_stats_wide, long_to_wide, property_lookup
+    mix = spark.createDataFrame([(1, 1, 60.0), (1, 9, 40.0), (2, 9, 100.0), (3, 2, 100.0), (4, 7, 100.0)],
+                                "entity_id int, component int, weight_pct double")
+    props = spark.createDataFrame([(1, 2.0), (2, 4.0), (3, 8.0)], "component int, p double")
+    universe = [1, 2, 9]
+    long = composition_stats_long(mix, props, ["p"], components=universe)
+    wide = composition_stats_wide(long_to_wide(mix, universe), list(map(str, universe)), props, ["p"]).select(long.columns)
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, wide.collect()))
+    rows = {r["entity_id"]: r for r in composition_stats_long(mix, props, ["p"]).collect()}
+    assert set(rows) == {1, 2, 3, 4} and rows[1]["p_mean"] is None and rows[1]["p_max"] == 2.0 and rows[2]["p_mode1"] is None
+    assert property_lookup(mix, props, ["p"]).where("p is null").count() == 3
+    other = long_to_wide(mix, universe, other_col="other").where("entity_id = 4").first()
+    assert other["other"] == 100.0 and other["1"] == 0.0

@@ -60,7 +60,10 @@ def test_linear_ratio_fixture(spark):
 def test_nbo_t(spark):
     # Na 20, Ca 10, Al 5, Si 60 -> (20 + 2*10 - 5) / (60 + 5) = 35 / 65
     df = spark.createDataFrame([(20.0, 10.0, 5.0, 60.0)], "`11` double, `20` double, `13` double, `14` double")
-    got = df.select(nbo_t({11: "11", 20: "20", 13: "13", 14: "14"}).alias("r")).collect()[0]["r"]
+    columns = {11: "11", 20: "20", 13: "13", 14: "14"}
+    with pytest.raises(ValueError, match="55"):
+        nbo_t(columns)
+    got = df.select(nbo_t(columns, missing="zero").alias("r")).collect()[0]["r"]
     assert got == pytest.approx(35 / 65)
 
 
@@ -80,19 +83,37 @@ def test_forward_fill_by_ranges_matches_single_window(spark):
     for k, v in rows:
         last = v if v is not None else last
         exp[k] = last
-    for quantiles in (True, False):
-        got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=7,
-                                                              quantiles=quantiles).collect()}
-        assert got == exp, quantiles
+    for n in (1, 7, 40):
+        assert {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=n).collect()} == exp
+
+
+def test_forward_fill_by_other_and_several_keys(spark):
+    import datetime
+    day = datetime.date(2020, 1, 1)
+    rows = [(None if i == 0 else day + datetime.timedelta(i // 10), f"{i % 10}", float(i) if i % 4 == 1 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "d date, s string, v double")
+    got = {(r["d"], r["s"]): r["v"] for r in forward_fill(df, ["v"], ["d", "s"], n_ranges=9).collect()}
+    last = None
+    for d, s, v in rows:
+        last = v if v is not None else last
+        assert got[d, s] == last
+
+
+def test_forward_fill_splits_a_hot_key_the_same_way_every_time(spark):
+    rows = [(5, float(i) if i % 3 == 0 else None) for i in range(900)] + [(9, None), (1, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    runs = [sorted(map(tuple, forward_fill(df.repartition(p), ["v"], "k", n_ranges=8).collect()), key=repr) for p in (1, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) == 902
+    values = dict(runs[0])
+    assert values[1] is None and values[9] is not None
 
 
 def test_forward_fill_by_ranges_carries_over_empty_ranges(spark):
     from mixlens.operators.properties import forward_fill_by_ranges
     rows = [(k, 5.0 if k == 1 else (9.0 if k == 95 else None)) for k in range(100)]
     df = spark.createDataFrame(rows, "k long, v double")
-    for quantiles in (True, False):
-        got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=10,
-                                                              quantiles=quantiles).collect()}
+    for n in (3, 10):
+        got = {r["k"]: r["v"] for r in forward_fill_by_ranges(df, ["v"], "k", n_ranges=n).collect()}
         assert got[0] is None and got[1] == 5.0 and got[50] == 5.0 and got[94] == 5.0 and got[99] == 9.0
 
 
@@ -100,5 +121,5 @@ def test_range_index_binary_search(spark):
     from mixlens.operators.properties import _range_index
     edges = [2.0, 5.0, 9.0]
     df = spark.createDataFrame([(x,) for x in (0.0, 2.0, 3.0, 5.0, 8.9, 9.0, 100.0)], "k double")
-    got = [r[0] for r in df.select(_range_index(F.col("k"), edges)).collect()]
+    got = [r[0] for r in df.select(_range_index(F.col("k"), [F.lit(e) for e in edges])).collect()]
     assert got == [0, 1, 1, 2, 2, 3, 3]
