@@ -62,9 +62,12 @@ def dlit(v) -> str:
     return f"{r}D"
 
 
-def clean_weight(col_sql: str) -> str:
-    """NULL and NaN weights count as 0."""
-    return f"coalesce(nanvl(CAST({col_sql} AS DOUBLE), {NULL}), 0.0D)"
+def clean_weight(col_sql: str, null_weight: str = "zero") -> str:
+    """NULL and NaN weights count as 0; with ``null_weight='error'`` they fail the job."""
+    if null_weight not in ("zero", "error"):
+        raise ValueError(f"null_weight must be 'zero' or 'error', not {null_weight!r}")
+    instead = "0.0D" if null_weight == "zero" else "CAST(raise_error('a weight is NULL or NaN') AS DOUBLE)"
+    return f"coalesce(nanvl(CAST({col_sql} AS DOUBLE), {NULL}), {instead})"
 
 
 def balanced_sum(terms: Sequence[str]) -> str:
@@ -180,27 +183,32 @@ def items_first_with(cs: str, ws: str, target: str, universe: Sequence[int]) ->
     return f"least({present}, CASE WHEN {target} = 0.0D THEN {first_absent} END)"
 
 
-def items_weighted_sum(items: str, field: str, term: str) -> str:
-    """sum of ``term`` (over x.w, x.<field>); NULL if a non-zero weight meets a NULL property."""
-    return (f"CASE WHEN exists({items}, x -> x.w <> 0.0D AND x.{field} IS NULL) THEN {NULL} "
-            f"ELSE aggregate({items}, 0.0D, (acc, x) -> acc + coalesce({term}, 0.0D)) END")
-
-
-def items_mean(items: str, field: str) -> str:
-    return items_weighted_sum(items, field, f"x.w / 100.0D * x.{field}")
-
-
-def items_std(items: str, field: str, mean: str) -> str:
-    return items_weighted_sum(items, field, f"x.w / 100.0D * abs(x.{field} - {mean})")
-
-
-def items_min_max(items: str, field: str) -> tuple[str, str]:
-    vals = f"transform(filter({items}, x -> x.w > 0.0D), x -> x.{field})"
-    return f"array_min({vals})", f"array_max({vals})"
-
-
-def items_total(items: str) -> str:
-    return f"aggregate({items}, 0.0D, (acc, x) -> acc + x.w)"
+def items_fold(items: str, start: dict[str, str], step: dict[str, str]) -> str:
+    """One pass over the items with a struct accumulator ``a``; ``step`` gives each of its fields from ``a`` and the item ``x``."""
+    def struct(fields: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(f"'{k}', {fields[k]}" for k in start) + ")"
+    return f"aggregate({items}, {struct(start)}, (a, x) -> {struct(step)})"
+
+
+def items_sums(items: str, fields: Sequence[str]) -> str:
+    """Struct of the total weight ``total`` and, per field, the weighted sum ``s_*`` and the least and
+    greatest value ``lo_*``, ``hi_*`` of present items, all in one pass; ``bad_*`` tells that a non-zero weight
+    met a NULL property (the fields of the accumulator that start non-NULL must stay so). ``least`` and
+    ``greatest`` skip NULLs."""
+    start, step = {"total": "0.0D"}, {"total": "a.total + x.w"}
+    for f in fields:
+        start |= {f"s_{f}": "0.0D", f"bad_{f}": "false", f"lo_{f}": NULL, f"hi_{f}": NULL}
+        step |= {f"s_{f}": f"a.s_{f} + coalesce(x.w / 100.0D * x.{f}, 0.0D)",
+                 f"bad_{f}": f"a.bad_{f} OR (x.{f} IS NULL AND x.w <> 0.0D)",
+                 f"lo_{f}": f"IF(x.w > 0.0D, least(a.lo_{f}, x.{f}), a.lo_{f})",
+                 f"hi_{f}": f"IF(x.w > 0.0D, greatest(a.hi_{f}, x.{f}), a.hi_{f})"}
+    return items_fold(items, start, step)
+
+
+def items_spreads(items: str, means: dict[str, str]) -> str:
+    """Struct of the weighted sums ``s_*`` of distances from the means (where these are known), in one pass."""
+    return items_fold(items, {f"s_{f}": "0.0D" for f in means},
+                      {f"s_{f}": f"a.s_{f} + coalesce(x.w / 100.0D * abs(x.{f} - {m}), 0.0D)" for f, m in means.items()})
 
 
 def lookup_in_universe(component: str, universe: Sequence[int], values: Sequence) -> str:

@@ -96,7 +96,7 @@ def _exprs(cols: Mapping[str, str]) -> dict[str, Column]:
 
 def composition_stats_wide(df: DataFrame, component_cols, props: DataFrame, property_cols: Sequence[str],
                            *, normalize: bool = False, as_float: bool = False,
-                           names: Mapping[str, str] | None = None) -> DataFrame:
+                           names: Mapping[str, str] | None = None, null_weight: str = "zero") -> DataFrame:
     """A9/A10, wide form: add ``<prop>_<stat>`` columns to each row.
 
     ``component_cols`` maps component id -> weight column (or lists columns
@@ -105,7 +105,7 @@ def composition_stats_wide(df: DataFrame, component_cols, props: DataFrame, prop
     """
     _, values = property_values(props, property_cols)
     return wide_stats_from_values(df, component_cols, values, property_cols, normalize=normalize,
-                                  as_float=as_float, names=names)
+                                  as_float=as_float, names=names, null_weight=null_weight)
 
 
 # Above this many component x property terms the unrolled projection can give a
@@ -128,14 +128,15 @@ def _check_codegen_limit(df: DataFrame, terms: int) -> None:
 
 def wide_stats_from_values(df: DataFrame, component_cols, values: Mapping[str, Mapping[int, float]],
                            property_cols: Sequence[str], *, normalize: bool = False,
-                           as_float: bool = False, names: Mapping[str, str] | None = None) -> DataFrame:
+                           as_float: bool = False, names: Mapping[str, str] | None = None,
+                           null_weight: str = "zero") -> DataFrame:
     """Wide form with the property values already in hand (``{prop: {component: value}}``)."""
     pairs = _component_columns(component_cols)
     names = dict(names or {})
     _check_codegen_limit(df, len(pairs) * len(property_cols))
     ws = [f"__w{i}" for i in range(len(pairs))]
     # Stage 1: cleaned weights, each computed once.
-    stage = df.withColumns(_exprs({w: C.clean_weight(C.q(c)) for w, (_, c) in zip(ws, pairs)}))
+    stage = df.withColumns(_exprs({w: C.clean_weight(C.q(c), null_weight) for w, (_, c) in zip(ws, pairs)}))
     # Stage 2: positions of the top two weights, extreme positions, means.
     arr = C.wide_weight_array(ws)
     first = C.wide_positions(arr, len(ws))
@@ -180,7 +181,7 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
                            *, entity_col: str = "entity_id", component_col: str = "component",
                            weight_col: str = "weight_pct", normalize: bool = False,
                            as_float: bool = False, names: Mapping[str, str] | None = None,
-                           components: Sequence[int] | None = None) -> DataFrame:
+                           components: Sequence[int] | None = None, null_weight: str = "zero") -> DataFrame:
     """A9/A10, long form: one output row per entity with ``<prop>_<stat>`` columns.
 
     Plan: partial + final aggregate on (entity, component) -- duplicates
@@ -207,7 +208,7 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     pre = (mix_long
            .select(F.col(entity_col).alias(entity_col),
                    F.col(component_col).cast("int").alias("c"),
-                   F.expr(C.clean_weight(C.q(weight_col))).alias("w"))
+                   F.expr(C.clean_weight(C.q(weight_col), null_weight)).alias("w"))
            .groupBy(entity_col, "c").agg(F.sum("w").alias("w")))
     # ``small`` is a local relation of at most MAX_COMPONENTS rows (checked).
     joined = pre.join(F.broadcast(small), "c", "left")
@@ -227,53 +228,55 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     stage = stage.withColumn("__second", F.expr(C.items_second("__ws", "__top", "__n_absent", n)))
     first = {"__top_c": C.items_first_with("__cs", "__ws", "__top", universe),
              "__second_c": C.items_first_with("__cs", "__ws", "__second", universe)}
-    if normalize:
-        first["__total"] = C.items_total("__items")
-    for i, f in enumerate(fields):
-        mean = C.items_mean("__items", f)
-        first[f"__mean{i}"] = f"try_divide(({mean}) * 100.0D, __total)" if normalize else mean
-    # __total must exist before the means that use it.
-    if normalize:
-        stage = stage.withColumn("__total", F.expr(first.pop("__total")))
+    first["__sums"] = C.items_sums("__items", fields)
     stage = stage.withColumns(_exprs(first))
+    scaled = "try_divide(({}) * 100.0D, __sums.total)" if normalize else "{}"
+    stage = stage.withColumns(_exprs({f"__mean{i}": scaled.format(f"IF(__sums.bad_{f}, {C.NULL}, __sums.s_{f})") for i, f in enumerate(fields)}))
+    stage = stage.withColumn("__spreads", F.expr(C.items_spreads("__items", {f: f"__mean{i}" for i, f in enumerate(fields)})))
     out, out_cols = {}, []
     for i, (p, f) in enumerate(zip(property_cols, fields)):
         prefix = names.get(p, p)
-        std = C.items_std("__items", f, f"__mean{i}")
-        if normalize:
-            std = f"try_divide(({std}) * 100.0D, __total)"
-        lo, hi = C.items_min_max("__items", f)
         vals = [values[p].get(c) for c in universe]
-        stats = {"max": hi, "min": lo, "std": std, "mean": f"__mean{i}",
-                 "mode1": C.lookup_in_universe("__top_c", universe, vals),
+        stats = {"max": f"__sums.hi_{f}", "min": f"__sums.lo_{f}",
+                 "std": scaled.format(f"IF(__mean{i} IS NULL, {C.NULL}, __spreads.s_{f})"),
+                 "mean": f"__mean{i}", "mode1": C.lookup_in_universe("__top_c", universe, vals),
                  "mode2": C.lookup_in_universe("__second_c", universe, vals)}
         for s in C.STAT_NAMES:
             out[f"{prefix}_{s}"] = f"CAST({stats[s]} AS DOUBLE)"
             out_cols.append(f"{prefix}_{s}")
     stage = stage.withColumns(_exprs(out))
-    private = ["__items", "__ws", "__cs", "__top", "__n_absent", "__second", "__total", *first]
+    private = ["__items", "__ws", "__cs", "__top", "__n_absent", "__second", "__spreads", *first,
+               *[f"__mean{i}" for i in range(len(fields))]]
     return _finish(stage.drop(*private), out_cols, as_float)
 
 
 def long_to_wide(mix_long: DataFrame, universe: Sequence[int], *, entity_col: str = "entity_id",
                  component_col: str = "component", weight_col: str = "weight_pct",
-                 other_col: str | None = None) -> DataFrame:
+                 other_col: str | None = None, percent: bool = False) -> DataFrame:
     """Pivot a long mix into one weight column per component (named by its id).
 
     Weight on components outside ``universe`` has no column; ``other_col`` names one for their sum.
+    With ``percent`` the weights are amounts and become percentages of the entity's whole amount,
+    that of other components included (0 where the whole is 0).
 
     Spark plans the pivot as an aggregate on (entity, component) followed by
     one on entity, both with map-side partial aggregation.
     """
     wanted = [int(c) for c in universe]
-    if other_col is None:
-        wide = mix_long.groupBy(entity_col).pivot(component_col, wanted).agg(F.sum(weight_col))
-        return wide.na.fill(0.0, [str(c) for c in wanted])
-    inside = F.col(component_col).isin(wanted)
-    name = F.when(inside, F.col(component_col).cast("string")).otherwise(F.lit(other_col))
-    names = [*map(str, wanted), other_col]
-    wide = mix_long.withColumn("__name", name).groupBy(entity_col).pivot("__name", names).agg(F.sum(weight_col))
-    return wide.na.fill(0.0, names)
+    names = [str(c) for c in wanted]
+    if other_col is None and not percent:
+        return mix_long.groupBy(entity_col).pivot(component_col, wanted).agg(F.sum(weight_col)).na.fill(0.0, names)
+    outside = min(wanted, default=0) - 1
+    code = F.when(F.col(component_col).isin(wanted), F.col(component_col).cast("int")).otherwise(F.lit(outside))
+    wide = (mix_long.withColumn("__code", code).groupBy(entity_col).pivot("__code", [*wanted, outside])
+            .agg(F.sum(F.col(weight_col).cast("double"))).withColumnRenamed(str(outside), other_col or "__other"))
+    names.append(other_col or "__other")
+    wide = wide.na.fill(0.0, names)
+    if percent:
+        wide = wide.withColumn("__whole", F.expr(C.balanced_sum([C.q(c) for c in names])))
+        shares = {c: f"coalesce(try_divide(100.0D * {C.q(c)}, __whole), 0.0D)" for c in names}
+        wide = wide.withColumns(_exprs(shares)).drop("__whole")
+    return wide if other_col else wide.drop("__other")
 
 
 def wide_to_long(df: DataFrame, component_cols, *, entity_col: str = "entity_id",
@@ -288,12 +291,15 @@ def wide_to_long(df: DataFrame, component_cols, *, entity_col: str = "entity_id"
 
 
 def atomic_property_stats(df: DataFrame, element_df: DataFrame, property_id: str, component_cols,
-                          **kw) -> DataFrame:
+                          fill: bool = False, **kw) -> DataFrame:
     """A9 for one property: add ``<property>_{max,min,std,mean,mode1,mode2}``.
 
-    ``element_df`` is keyed by ``component`` (e.g. the atomic number); run
-    ``forward_fill`` on it first if gaps should take the previous element's value.
+    ``element_df`` is keyed by ``component`` (e.g. the atomic number). With ``fill`` a gap takes the
+    value of the component before it; gaps at the start stay NULL.
     """
+    if fill:
+        from mixlens.operators.properties import forward_fill
+        element_df = forward_fill(element_df.select("component", property_id), [property_id], "component")
     return composition_stats_wide(df, component_cols, element_df, [property_id], **kw)
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+_FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
 
 
 class TooLargeError(ValueError):
@@ -20,27 +23,46 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str = "table") -> list[Row]
     return rows
 
 
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes (bounded check)."""
+    fixed = sum(8 for _, t in df.dtypes if t in _FIXED)
+    varying = [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c, t in df.dtypes if t not in _FIXED]
+    width = sum(varying, F.lit(fixed + 8))
+    r = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).collect()[0]
+    return r["n"] <= max_rows and r["b"] <= max_bytes
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows (bounded check)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_rows: int = 1_000_000) -> DataFrame:
-    """Join a per-key lookup table: broadcast when its size is proven small.
+#: Keys with more than one in this many rows count as hot: fewer keys than this, whatever the data.
+HOT_SHARE = 1000
 
-    ``small`` (typically an aggregate of ``big``) is computed once and
-    checkpointed to the session's checkpoint folder, so the bounded size check
-    (at most ``max_rows + 1`` rows read) and the join reuse the stored result
-    instead of recomputing it. Beyond the bound the join is left to Spark
-    (sort-merge); a key that many rows of ``big`` share makes a skewed partition there,
-    which AQE's skew join splits.
-    """
-    from pyspark.sql import functions as F
 
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 1_000_000,
+                max_bytes: int = 64 << 20) -> DataFrame:
+    """Join a per-key lookup table (``how``: inner or left): broadcast when its size is proven small.
+
+    ``small`` (typically an aggregate of ``big``) is computed once and checkpointed to the session's
+    checkpoint folder; a bounded check (at most ``max_rows + 1`` rows read) proves its rows and bytes.
+    Beyond the bound both sides are split: rows of hot keys, which are fewer than ``HOT_SHARE`` keys however
+    large ``big`` is, meet a broadcast of those keys' lookup rows (each key's number of them is checked too), and
+    the others a regular join, in which no key then holds a large share of the rows.
+    """
     from mixlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(small.sparkSession)
     small = small.checkpoint(eager=True)
-    if has_at_most(small, max_rows):
+    if fits_broadcast(small, max_rows, max_bytes):
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    counted = big.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = big.agg((F.count("*") / HOT_SHARE).alias("__bound"))
+    hot = counted.join(F.broadcast(total), F.col("__n") > F.col("__bound")).select(*keys).dropna().checkpoint(eager=True)
+    hot_side = small.join(F.broadcast(hot), keys, "left_semi").checkpoint(eager=True)
+    if hot.isEmpty() or not fits_broadcast(hot_side, max_rows, max_bytes):
+        return big.join(small, on, how)
+    cold = big.join(F.broadcast(hot), keys, "left_anti").join(small, on, how)
+    busy = big.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_side), on, how)
+    return cold.unionByName(busy)

@@ -18,13 +18,13 @@ from mixlens.functions.ratios import nbo_t
 from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline, vector_columns
 from mixlens.ml.transformers import CompositionStats
 from mixlens.operators import binning, split, text
-from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
+from mixlens.operators.composition import (atomic_property_stats, composition_stats_long, composition_stats_wide, long_to_wide,
                                            pack_components, pack_stats, present_components,
                                            property_lookup, property_values, stat_columns)
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
-from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_long, part_property, property_table
+from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_amounts, mix_long, part_property, property_table
 from mixlens.session import scratch_path
 from mixlens.operators.joins import lookup_join
 from mixlens.sinks import append_metrics, write_parquet, write_split, write_text
@@ -62,13 +62,17 @@ def _stats_cols(props, stats=STAT_NAMES) -> list[str]:
 
 # ----------------------------------------------------------------- composition
 
+def _stats_long(spark, sf, props):
+    """Statistics straight from the lines: amounts, divided by each entity's total."""
+    return composition_stats_long(mix_amounts(spark, sf), property_table(spark, sf), props, weight_col="qty", normalize=True)
+
+
 def q_composition_stats_long(spark, sf):
-    out = composition_stats_long(mix_long(spark, sf), property_table(spark, sf), STATS_PROPS)
-    return _round_all(out, ["entity_id"])
+    return _round_all(_stats_long(spark, sf, STATS_PROPS), ["entity_id"])
 
 
 def _wide_mix(spark, sf, by="order"):
-    return long_to_wide(mix_long(spark, sf, by), UNIVERSE)
+    return long_to_wide(mix_amounts(spark, sf, by), UNIVERSE, weight_col="qty", percent=True)
 
 
 def q_composition_stats_wide(spark, sf):
@@ -79,14 +83,13 @@ def q_composition_stats_wide(spark, sf):
 
 def _long_subset(stats):
     def q(spark, sf):
-        out = composition_stats_long(mix_long(spark, sf), property_table(spark, sf), STATS_PROPS)
+        out = _stats_long(spark, sf, STATS_PROPS)
         return _round_all(out.select("entity_id", *_stats_cols(STATS_PROPS, stats)), ["entity_id"])
     return q
 
 
 def q_electron_stats(spark, sf):
-    out = composition_stats_long(mix_long(spark, sf), property_table(spark, sf), ELECTRON_PROPERTIES)
-    return _round_all(out, ["entity_id"])
+    return _round_all(_stats_long(spark, sf, ELECTRON_PROPERTIES), ["entity_id"])
 
 
 def q_feature_pipeline(spark, sf):
@@ -151,7 +154,7 @@ def q_composition_pack(spark, sf):
 
 
 def q_linear_ratio(spark, sf):
-    wide = long_to_wide(mix_long(spark, sf, by="customer"), O.RATIO_UNIVERSE)
+    wide = long_to_wide(mix_amounts(spark, sf, by="customer"), O.RATIO_UNIVERSE, weight_col="qty", percent=True)
     return wide.select("entity_id", rnd(nbo_t({z: str(z) for z in O.RATIO_UNIVERSE})).alias("nbo_t"))
 
 
@@ -283,6 +286,43 @@ def q_composition_stats_subset_wide(spark, sf):
     return _round_all(out.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
 
 
+def q_composition_stats_normalized(spark, sf):
+    """Wide form over raw quantities, which do not sum to 100."""
+    wide = long_to_wide(mix_amounts(spark, sf), UNIVERSE, weight_col="qty")
+    out = composition_stats_wide(wide, WEIGHT_COLS, property_table(spark, sf), STATS_PROPS, normalize=True)
+    return _round_all(out.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
+
+
+def q_composition_stats_null_weight(spark, sf):
+    """Every seventh component has NULL weights, which count as 0."""
+    mix = mix_long(spark, sf).withColumn("weight_pct", F.when(F.col("component") % 7 > 0, F.col("weight_pct")))
+    return _round_all(composition_stats_long(mix, property_table(spark, sf), STATS_PROPS), ["entity_id"])
+
+
+def q_composition_stats_filled(spark, sf):
+    """A property with gaps, filled from the component before inside the atomic statistics."""
+    price = F.when(F.col("component") % 7 > 0, F.col("min_price"))
+    props = property_table(spark, sf).withColumn("price_filled", price)
+    out = atomic_property_stats(_wide_mix(spark, sf), props, "price_filled", WEIGHT_COLS, fill=True)
+    return _round_all(out.select("entity_id", *_stats_cols(["price_filled"])), ["entity_id"])
+
+
+def q_composition_stats_float(spark, sf):
+    """float32 results: picked values as they are, sums by their distance from the doubles."""
+    args = (_wide_mix(spark, sf), WEIGHT_COLS, property_table(spark, sf), STATS_PROPS)
+    out = composition_stats_wide(*args, as_float=True)
+    picked = [c for c in _stats_cols(STATS_PROPS, ("max", "min", "mode1", "mode2"))]
+    sums = {c: c + "_near" for c in _stats_cols(STATS_PROPS, ("std", "mean"))}
+    exact = composition_stats_wide(out, *args[1:], names={p: p + "_exact" for p in STATS_PROPS})
+
+    def near(c: str) -> Column:
+        double = F.col(c.replace("_std", "_exact_std").replace("_mean", "_exact_mean"))
+        return F.abs(F.col(c).cast("double") - double) <= F.abs(double) * F.lit(2.0 ** -23)
+
+    return exact.select("entity_id", F.lit(dict(out.dtypes)[picked[0]]).alias("type"),
+                        *[F.col(c).cast("double").alias(c) for c in picked], *[near(c).alias(n) for c, n in sums.items()])
+
+
 # ------------------------------------------------------------------ scans, text
 
 ORDERS_SCHEMA_JSON = {
@@ -392,12 +432,14 @@ def q_etl_job(spark, sf):
     return _round_all(back.select("entity_id", *_stats_cols(STATS_PROPS)), ["entity_id"])
 
 
-ML_FEATURES = _stats_cols(STATS_PROPS)
+#: The raw weight columns and the statistics derived from them.
+ML_FEATURES = [*WEIGHT_COLS, *_stats_cols(STATS_PROPS)]
 
 
-def q_ml_job(spark, sf):
-    """Composition features -> label bins -> hash split written by partition ->
-    forest fit, save, load, score -> metrics appended to a table."""
+def _ml(spark, sf) -> tuple[DataFrame, str]:
+    """Raw and derived composition features -> label bins -> hash split written by partition ->
+    forest fit, save, load, score -> metrics appended to a table; predictions and that table's path.
+    Missing features are not filled: they reach the forest as NaN."""
     feats = spark.read.parquet(_etl(spark, sf)).select("entity_id", *ML_FEATURES)
     orders = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("entity_id"),
                                                     F.col("o_totalprice").alias("label"))
@@ -405,12 +447,30 @@ def q_ml_job(spark, sf):
     binned = binning.equal_width_bins(table, "label", N_BINS, "stratum")
     splits = scratch_path(spark, "ml_splits")
     write_split(split.train_test_split(binned, ["entity_id"], TEST_SIZE), splits, drop=("stratum",))
-    data = spark.read.parquet(splits).na.fill(0.0, ML_FEATURES)
-    model = fit_save_load(regression_pipeline(ML_FEATURES, "label", seed=SEED),
+    data = spark.read.parquet(splits)
+    model = fit_save_load(regression_pipeline(ML_FEATURES, "label", seed=SEED, handle_invalid="keep"),
                           data.where(F.col("split") == "train"), scratch_path(spark, "ml_model"))
     pred = model.transform(data.where(F.col("split") == "test")).select("entity_id", "label", "prediction")
-    append_metrics(regression_metrics(pred, "label"), scratch_path(spark, "ml_metrics"))
-    return pred
+    metrics = scratch_path(spark, "ml_metrics")
+    append_metrics(regression_metrics(pred, "label"), metrics)
+    return pred, metrics
+
+
+def q_ml_job(spark, sf):
+    return _ml(spark, sf)[0]
+
+
+def q_ml_metrics_check(spark, sf):
+    """The appended metrics of the training job beside the same figures recomputed in SQL from its predictions."""
+    pred, path = _ml(spark, sf)
+    again = pred.agg(F.expr("count(*)").alias("n_again"), F.expr("sqrt(sum(power(label - prediction, 2)) / count(*))").alias("rmse_again"),
+                     F.expr("sum(abs(label - prediction)) / count(*)").alias("mae_again"))
+    both = spark.read.parquet(path).join(F.broadcast(again))  # one row each
+
+    def same(c: str) -> Column:
+        return (F.abs(F.col(c) - F.col(f"{c}_again")) <= F.lit(1e-9) * F.col(c)).alias(f"{c}_same")
+
+    return both.select("n", "n_skipped", (F.col("n") == F.col("n_again")).alias("n_same"), same("rmse"), same("mae"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -447,6 +507,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composition_stats_unknown_wide": q_composition_stats_unknown_wide,
     "composition_stats_subset": q_composition_stats_subset,
     "composition_stats_subset_wide": q_composition_stats_subset_wide,
+    "composition_stats_normalized": q_composition_stats_normalized,
+    "composition_stats_null_weight": q_composition_stats_null_weight,
+    "composition_stats_filled": q_composition_stats_filled,
+    "composition_stats_float": q_composition_stats_float,
     "rf_model_check": q_rf_model_check,
     "csv_scan_typed": q_csv_scan_typed,
     "word_count": q_word_count,
@@ -456,4 +520,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_regression": q_rf_regression,
     "etl_job": q_etl_job,
     "ml_job": q_ml_job,
+    "ml_metrics_check": q_ml_metrics_check,
 }

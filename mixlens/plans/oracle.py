@@ -34,7 +34,9 @@ def mix_long_cte(by: str = "order") -> str:
                "JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2")
     return (f"mix_q AS ({src}),\n"
             "mix_long AS (SELECT entity_id, component, "
-            "CAST(100 AS DOUBLE) * qty / sum(qty) OVER (PARTITION BY entity_id) AS weight_pct FROM mix_q)")
+            "CAST(100 AS DOUBLE) * qty / sum(qty) OVER (PARTITION BY entity_id) AS weight_pct FROM mix_q),\n"
+            "mix_raw AS (SELECT entity_id, component, qty AS weight_pct FROM mix_q),\n"
+            "mix_null AS (SELECT entity_id, component, CASE WHEN component % 7 > 0 THEN weight_pct END AS weight_pct FROM mix_long)")
 
 
 def shell_sql(cfg: str, letter: str) -> str:
@@ -59,7 +61,8 @@ def props_cte(max_component: int = max(UNIVERSE)) -> str:
             "part_prop AS (SELECT p_size AS component, min(p_retailprice) AS min_price "
             "FROM part GROUP BY p_size),\n"
             f"props AS (SELECT e.component, e.electronic_configuration, {shells_select('e.electronic_configuration')}, "
-            "pp.min_price FROM elements e LEFT JOIN part_prop pp ON pp.component = e.component)")
+            "pp.min_price, last_value(CASE WHEN e.component % 7 > 0 THEN pp.min_price END IGNORE NULLS) OVER "
+            "(ORDER BY e.component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_filled FROM elements e LEFT JOIN part_prop pp ON pp.component = e.component)")
 
 
 def stats_sql(prop_cols: list[str], stats: tuple[str, ...] = ("max", "min", "std", "mean", "mode1", "mode2"),
@@ -234,6 +237,17 @@ def oracle_queries() -> dict[str, str]:
         "CASE WHEN o_custkey % 7 > 0 THEN o_totalprice / CAST(3 AS DOUBLE) - CAST('54225.890941973405' AS DOUBLE) END", "'none'")
     for name, options in (("unknown", {"known": "{c} % 7 > 0"}), ("subset", {"universe": SUBSET})):
         q[f"composition_stats_{name}"] = q[f"composition_stats_{name}_wide"] = stats_sql(props, **options)
+    q["composition_stats_normalized"] = stats_sql(props, mix="mix_raw", normalize=True)
+    q["composition_stats_null_weight"] = stats_sql(props, mix="mix_null")
+    q["composition_stats_filled"] = stats_sql(["price_filled"])
+    picked = [f"{p}_{s}" for p in props for s in ("max", "min", "mode1", "mode2")]
+    near = [f"true AS {p}_{s}_near" for p in props for s in ("std", "mean")]
+    q["composition_stats_float"] = (
+        "SELECT entity_id, 'float' AS type, " + ", ".join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in picked)
+        + ", " + ", ".join(near) + f" FROM ({full})")
+    q["ml_metrics_check"] = ("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_skipped, true AS n_same, true AS rmse_same, true AS mae_same "
+                             "FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND NOT ("
+                             + HASH_TRAIN.format(key="o_orderkey") + ")")
     q["rf_model_check"] = ("SELECT l_orderkey, l_linenumber, l_extendedprice, true AS same, true AS within FROM lineitem WHERE NOT ("
                            + HASH_TRAIN.format(key="l_orderkey") + ")")
     q["csv_scan_typed"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixlens.functions.composition import STAT_NAMES
-from mixlens.operators.composition import (composition_stats_long, composition_stats_wide, long_to_wide,
+from mixlens.operators.composition import (atomic_property_stats, composition_stats_long, composition_stats_wide, long_to_wide,
                                            wide_to_long)
 from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_long, property_table
 
@@ -172,3 +172,35 @@ def test_unknown_components_keep_their_rows_and_agree_with_the_wide_form(spark):
     assert property_lookup(mix, props, ["p"]).where("p is null").count() == 3
     other = long_to_wide(mix, universe, other_col="other").where("entity_id = 4").first()
     assert other["other"] == 100.0 and other["1"] == 0.0
+
+
+def test_null_weight_rules(spark):
+    wide = spark.createDataFrame([(1, 60.0, None, 40.0)], "entity_id int, `1` double, `2` double, `3` double")
+    long = spark.createDataFrame([(1, 1, 60.0), (1, 2, None), (1, 3, 40.0)], "entity_id int, component int, weight_pct double")
+    props = spark.createDataFrame([(1, 1.0), (2, 5.0), (3, 2.0)], "component int, prop double")
+    cols = ["1", "2", "3"]
+    for out in (composition_stats_wide(wide, cols, props, ["prop"]), composition_stats_long(long, props, ["prop"])):
+        r = out.collect()[0]
+        assert (r["prop_max"], round(r["prop_mean"], 9)) == (2.0, 1.4)
+    for make in (lambda: composition_stats_wide(wide, cols, props, ["prop"], null_weight="error"),
+                 lambda: composition_stats_long(long, props, ["prop"], null_weight="error")):
+        with pytest.raises(Exception, match="a weight is NULL or NaN"):
+            make().collect()
+    with pytest.raises(ValueError, match="null_weight"):
+        composition_stats_long(long, props, ["prop"], null_weight="drop")
+
+
+def test_fill_inside_the_atomic_statistics(spark):
+    wide = spark.createDataFrame([(1, 50.0, 50.0, 0.0)], "entity_id int, `1` double, `2` double, `3` double")
+    props = spark.createDataFrame([(1, 4.0), (2, None), (3, 9.0)], "component int, prop double")
+    plain = atomic_property_stats(wide, props, "prop", ["1", "2", "3"]).collect()[0]
+    filled = atomic_property_stats(wide, props, "prop", ["1", "2", "3"], fill=True).collect()[0]
+    assert plain["prop_mean"] is None and (filled["prop_mean"], filled["prop_std"], filled["prop_mode2"]) == (4.0, 0.0, 4.0)
+
+
+def test_percent_pivot_counts_other_components(spark):
+    mix = spark.createDataFrame([(1, 1, 3.0), (1, 9, 1.0), (2, 2, 0.0), (3, None, 5.0)], "entity_id int, component int, qty double")
+    out = long_to_wide(mix, [1, 2], weight_col="qty", percent=True, other_col="other")
+    rows = {r["entity_id"]: (r["1"], r["2"], r["other"]) for r in out.collect()}
+    assert rows == {1: (75.0, 0.0, 25.0), 2: (0.0, 0.0, 0.0), 3: (0.0, 0.0, 100.0)}
+    assert long_to_wide(mix, [1, 2], weight_col="qty", percent=True).columns == ["entity_id", "1", "2"]

@@ -31,6 +31,21 @@ def test_shuffle_budget_and_no_python(spark, name, max_shuffles):
     assert "EvalPython" not in plan and "PythonUDF" not in plan
 
 
+@pytest.mark.parametrize("name,exchanges", [("composition_stats_long", 4), ("composition_stats_wide", 4),
+                                            ("electron_stats", 4), ("linear_ratio", 6)])
+def test_no_window_above_a_shuffled_join(spark, name, exchanges):
+    """As at scale, where no side is small: two exchanges for each join, two for the statistics, sorts for the joins only."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final_plan(entry.queries()[name](spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = sum("SortMergeJoin" in line for line in plan)
+    assert sum("Exchange hashpartitioning" in line for line in plan) <= exchanges
+    assert not any(" Window" in line for line in plan) and sum("Sort [" in line for line in plan) <= 2 * joins
+
+
 def test_partial_aggregation_before_shuffles(spark):
     for name in ("word_count", "composition_stats_long", "except_distinct"):
         plan = _final_plan(entry.queries()[name](spark, SF_SMALL))
