@@ -111,7 +111,10 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     # A share of each language by seeded hash: no shuffle, the same texts in every run.
     most = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], int(min(1.0, per_language / r["count"]) * (1 << 60)))])
     chosen = known.where(seeded_order(F.col(id_col), SEED) < F.element_at(most, F.col(lang_col)))
-    chosen = chosen.where(F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    chosen = chosen.where(F.col(text_col).rlike(r"\p{L}"))
+    # One row an id, however many rows share it, so the sample keeps its bound.
+    one = chosen.groupBy(F.col(id_col).alias("id")).agg(F.min(F.struct(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))).alias("r"))
+    chosen = one.select("r.lang", "r.text")
     rows = stored(chosen.mapInArrow(shares_task, "lang string, x array<double>"), "language-sample")
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:

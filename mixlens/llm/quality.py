@@ -13,7 +13,7 @@ driver on these few megabytes; scoring is one pass over the texts, without a shu
 
 Cases: a NULL or empty text is one passage without words and gets that passage's score. Rows
 with NULL labels or ids teach nothing; a document with several labels counts by the largest. Repeated
-rows are scored alike. With labels of one class only every score is that class; without
+rows are scored alike; of rows that share an id one teaches. With labels of one class only every score is that class; without
 any label it is 1. Empty tables give no rows; other columns are ignored, or kept by the filter.
 """
 
@@ -219,7 +219,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     sample = stored(first.unionByName(second).select("doc_id", "label"), "quality-sample")
     # At most 2 * per_class rows of two numbers: a proven bound for the broadcast.
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = sorted(texts.mapInArrow(encode_bags(bag_passages), "doc_id long, label int, x binary").collect())
+    encoded = texts.mapInArrow(encode_bags(bag_passages), "doc_id long, label int, x binary")
+    # One row an id, however many rows share it, so what the driver reads keeps its bound.
+    rows = sorted(encoded.groupBy("doc_id", "label").agg(F.min("x").alias("x")).collect())
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES).astype(float) for r in rows]
     label = np.array([r["label"] for r in rows], float)
     x, sizes = np.concatenate(bags), np.array([len(b) for b in bags])

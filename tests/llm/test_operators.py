@@ -450,3 +450,17 @@ def test_passages_of_a_text_do_not_depend_on_its_neighbours():
     for t, n in zip(texts, bags):
         assert np.allclose(whole[at:at + n], quality.passages([t])[0])
         at += n
+
+
+def test_rows_sharing_an_id_teach_once(spark, monkeypatch):
+    """However many rows share an id, each fit sees one of them: the samples keep their bounds."""
+    ids = [i for i in range(1, 60) if not held_out(i)][:6]
+    rows = [(i, f"plain words number {i} here", "en", k) for i in ids for k in range(300 if i == ids[0] else 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, place int")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality.Network, "train", lambda self, x, bags, label, weight, **kw: seen.append(len(bags)))
+    assert quality.quality_scores(docs, labels).count() == len(rows) and seen == [len(ids)]
+    monkeypatch.setattr(language, "fit_duels", lambda rows, column, classes: seen.append(rows.count()))
+    language.fit(docs)
+    assert seen == [len(ids)] * 3
