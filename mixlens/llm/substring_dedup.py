@@ -1,18 +1,23 @@
-"""Substring dedup by content-defined chunking with a gear rolling hash.
-
-Method. A boundary lies where the gear hash of the last 32 bytes has ``MASK_BITS`` zero bits, at least
-``MIN_BYTES`` and at most ``MAX_BYTES`` after the last one; an insertion moves only the chunks
-around it. Chunks are compared by digest: a chunk repeats if a document of smaller id has it
-too. Runs of consecutive repeated chunks of ``min_words`` words or more are removed, so the
-first document keeps the passage; shorter runs (stock phrases, short lines) stay.
-
-A document's digests and chunk ends are written once (no text); digests are counted with partial
-aggregation, and only those of more than one document are joined back, where a chunk that very
-many documents hold is split by Spark's skew join.
-
-Cases: NULL or empty texts have no chunks and no spans. Repeats inside one document are left alone,
-as are those between rows of one doc_id. Spans are byte offsets into the UTF-8
-text. Rows with a NULL id keep their text. Empty tables give no rows; other columns are kept.
+"""Substring dedup by content-defined seeds and exact windows of words.
+
+Method. A passage repeats if ``min_words`` consecutive words of it stand in a document of smaller id
+too. The words of every window of that length are hashed, and its seed is the smallest hash of the
+short shingles (a third of its words) inside it: equal windows have equal seeds, and neighbours mostly share
+theirs, so a text has about one seed in nine words. Only windows whose seed more than one document
+holds are compared, each by its own digest; windows found in a document of smaller id are joined up
+to spans and removed, so the first document keeps the passage. No repeat of ``min_words``
+words or more is lost, wherever it begins; shorter ones (stock phrases, short lines) stay.
+
+A document's seeds are written once (no text) and counted with partial aggregation; texts are
+joined only to those of their seeds that others hold. Where very many documents hold a seed or
+a window, Spark's skew join splits it. ``n_chunks`` counts the chunks of the text by content-defined
+boundaries: those where the gear hash of the last 32 bytes has ``MASK_BITS`` zero bits, at least
+``MIN_BYTES`` and at most ``MAX_BYTES`` after the last one.
+
+Cases: words are split at ASCII white space, whose kind and number do not matter; NULL or empty texts have
+no words and no spans. Repeats inside one document are left alone, as are those between rows of
+one doc_id. Spans are byte offsets into the UTF-8 text, from the start of a word to the end of one.
+Rows with a NULL id keep their text. Empty tables give no rows; other columns are kept.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import by_value, stored
+from mixlens.llm.ngram_join import WordHashes, mixed
 
 by_value(__name__)
 
@@ -33,7 +39,8 @@ MIN_BYTES, MAX_BYTES, MASK_BITS = 16, 256, 5
 MIN_WORDS = 24
 WINDOW = 32
 GEAR_SEED = 61
-CHUNKS = "doc_id long, tid long, n_bytes long, ends array<int>, words array<int>, digests array<long>"
+SEEDS = "doc_id long, tid long, n_bytes long, n_chunks int, seeds array<long>"
+WINDOWS = "doc_id long, tid long, digest long, pos int, start int, end int"
 SPAN = "array<struct<start:int,end:int,words:long>>"
 
 
@@ -79,40 +86,108 @@ def chunks(texts: list[str | None]) -> list[tuple[bytes, list[int], list[int], l
     return out
 
 
-def chunk_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task code: doc_id, text -> chunk table."""
-    for whole in batches:
-        for i in range(0, whole.num_rows, 200):
-            batch = whole.slice(i, 200)
-            found = chunks(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tid"), pa.array([len(f[0]) for f in found], pa.int64()),
-                 *[pa.array([f[k] for f in found], pa.list_(t)) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.int64()))]],
-                ["doc_id", "tid", "n_bytes", "ends", "words", "digests"])
+def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each ``n`` consecutive values, put together from runs of 1, 2, 4, ... of them."""
+    def joined(a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+        return mixed(mixed(a, 1) + b, length)
+
+    total, out, done, run, size = len(h), None, 0, h, 1
+    while True:
+        if n & size:
+            out = run if out is None else joined(out[: total - done - size + 1], run[done:], done + size)
+            done += size
+        if done == n:
+            return out
+        run = joined(run[:-size], run[size:], 2 * size)
+        size *= 2
+
+
+def least_of_runs(x: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of each ``n`` consecutive values, by doubling."""
+    size = 1
+    while 2 * size <= n:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[: len(x) - (n - size)], x[n - size:]) if size < n else x
+
+
+def word_runs(raw: bytes, min_words: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """(seed, digest) of each window of ``min_words`` words."""
+    tokens = raw.split()
+    if len(tokens) < min_words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    short = max(1, min_words // 3)
+    seeds = least_of_runs(run_hashes(h, short), min_words - short + 1)
+    return seeds.view(np.int64), run_hashes(h, min_words).view(np.int64)
+
+
+def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets of the words' starts and ends."""
+    a = np.frombuffer(raw, np.uint8)
+    space = (a == 0x20) | ((a >= 0x09) & (a <= 0x0D))
+    turns = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    return turns[::2], turns[1::2]
+
+
+def seed_task(min_words: int):
+    """Task code: doc_id, tid, text -> seed table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for whole in batches:
+            for i in range(0, whole.num_rows, 200):
+                batch = whole.slice(i, 200)
+                found = chunks(batch.column("text").to_pylist())
+                seeds = [np.unique(word_runs(f[0], min_words, hashes)[0]) for f in found]
+                at = np.cumsum([0, *map(len, seeds)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("tid"), pa.array([len(f[0]) for f in found], pa.int64()),
+                     pa.array([len(f[1]) for f in found], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(seeds)))],
+                    ["doc_id", "tid", "n_bytes", "n_chunks", "seeds"])
+    return run
+
+
+def window_task(min_words: int):
+    """Task code: doc_id, tid, text, seeds -> the windows that have one of the seeds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("doc_id", "tid", "text")], batch.column("seeds"))
+            for doc_id, tid, text, held in rows:
+                raw = text.encode("utf-8", "surrogatepass")
+                seeds, digests = word_runs(raw, min_words, hashes)
+                pos = np.flatnonzero(np.isin(seeds, held.values.to_numpy()))
+                starts, ends = word_bounds(raw)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(pos), doc_id)), pa.array(np.full(len(pos), tid)), pa.array(digests[pos]),
+                     *[pa.array(x, pa.int32()) for x in (pos, starts[pos], ends[pos + min_words - 1])]],
+                    ["doc_id", "tid", "digest", "pos", "start", "end"])
+    return run
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, tid (hash of its text), n_bytes, n_chunks, spans (the passages to remove)."""
     text = F.col(text_col)
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
-    table = stored(pairs.mapInArrow(chunk_task, CHUNKS), "substring-chunks")
-    known = table.where("doc_id is not null")
-    shared = (known.select("doc_id", F.explode("digests").alias("digest")).groupBy("digest")
-              .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first < last").select("digest", "first"))
-    shared = stored(shared, "substring-shared")
-    each = F.arrays_zip("digests", "ends", "words", F.concat(F.array(F.lit(0)), F.col("ends")).alias("starts"))
-    one = known.where("n_bytes > 0").select("doc_id", "tid", F.posexplode(F.slice(each, 1, F.size("ends"))).alias("pos", "c"))
-    one = one.select("doc_id", "tid", "pos", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"),
-                     F.col("c.ends").alias("end"), F.col("c.words").alias("words"))
-    again = one.join(shared, "digest").where("doc_id > first").drop("digest", "first").distinct()
-    # Consecutive chunks: position less rank is the same along a run.
-    rank = F.row_number().over(Window.partitionBy("doc_id", "tid").orderBy("pos"))
-    runs = (again.withColumn("run", F.col("pos") - rank).groupBy("doc_id", "tid", "run")
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
-            .where(F.col("words") >= min_words))
+    table = stored(pairs.mapInArrow(seed_task(min_words), SEEDS), "substring-seeds")
+    one = table.where("doc_id is not null").select("doc_id", "tid", F.explode("seeds").alias("seed"))
+    shared = one.groupBy("seed").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    shared = stored(shared.select("seed"), "substring-shared")
+    held = one.join(shared, "seed").groupBy("doc_id", "tid").agg(F.collect_set("seed").alias("seeds"))
+    windows = stored(pairs.join(held, ["doc_id", "tid"]).mapInArrow(window_task(min_words), WINDOWS), "substring-windows")
+    known = windows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    again = windows.join(known.select("digest", "first"), "digest").where("doc_id > first")
+    # Windows that overlap or touch are one span.
+    order = Window.partitionBy("doc_id", "tid").orderBy("pos")
+    begins = F.coalesce(F.col("pos") - F.lag("pos").over(order) > min_words, F.lit(True))
+    runs = again.select("doc_id", "tid", "pos", "start", "end", begins.cast("int").alias("begins"))
+    runs = (runs.withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .groupBy("doc_id", "tid", "run")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
+                 (F.max("pos") - F.min("pos") + min_words).cast("long").alias("words")))
     spans = runs.groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "words"))).alias("spans"))
-    out = table.select("doc_id", "tid", "n_bytes", F.size("ends").alias("n_chunks")).join(spans, ["doc_id", "tid"], "left")
+    out = table.select("doc_id", "tid", "n_bytes", "n_chunks").join(spans, ["doc_id", "tid"], "left")
     return out.withColumn("spans", F.coalesce("spans", F.array().cast(SPAN)))
 
 
@@ -130,8 +205,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     for s in found:
                         kept.append(raw[last:s["start"]])
                         last = s["end"]
-                    # A boundary may lie inside a character, whose bytes then go with the passage.
-                    text = b"".join([*kept, raw[last:]]).decode("utf-8", "ignore")
+                    text = b"".join([*kept, raw[last:]]).decode("utf-8", "surrogatepass")
                 texts.append(text)
             columns = [pa.array(texts, batch.column(at).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)

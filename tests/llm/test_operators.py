@@ -384,6 +384,29 @@ def test_substring_dedup_finds_shared_passages_and_spares_others(spark):
     assert np.mean([len(out[i]) < len(by_id[i]) - 200 for i in range(40, 120)]) > 0.9
 
 
+@pytest.mark.parametrize("length", [24, 51])
+def test_substring_dedup_finds_every_short_passage_to_its_ends(spark, length):
+    rng = np.random.default_rng(length)
+
+    def prose(n):
+        return ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(1, 10))) for _ in range(n)]
+
+    rows = []
+    for i in range(300):
+        passage = prose(length)
+        rows += [(i + k, " ".join(prose(int(rng.integers(5, 60))) + passage + prose(int(rng.integers(5, 60))))) for k in (0, 1000)]
+    got = {r["doc_id"]: r["spans"] for r in substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen = set()
+    for i, text in sorted(rows):
+        words = text.split()
+        windows = [tuple(words[j:j + 24]) for j in range(len(words) - 23)]
+        inside = {k for j, w in enumerate(windows) if w in seen for k in range(j, j + 24)}
+        seen |= set(windows)
+        spans = got[i]
+        assert [text.encode()[s["start"]:s["end"]].decode().split() for s in spans] == ([[words[k] for k in sorted(inside)]] if inside else [])
+        assert len(inside) == sum(s["words"] for s in spans) and (i < 1000 or len(inside) >= length)
+
+
 def test_substring_edge_cases(edge, empty):
     out = substring_dedup.repeated_spans(edge)
     got = {r["doc_id"]: r["spans"] for r in out.collect()}
