@@ -10,8 +10,8 @@ row stand in columns of equal width. No text is dropped for its length or place
 Both steps are loops over explicit stacks, so deep nesting is no problem. A page is one row; pages
 are independent, so this is one pass without a shuffle.
 
-Cases: NULL html gives NULL text, empty html empty text. Malformed markup is read as far as it
-goes; unclosed elements end with the page. Repeated rows give equal texts; an empty table gives
+Cases: NULL html gives NULL text, empty html empty text. Malformed markup is read to the end of
+the page; unclosed elements end with it. Repeated rows give equal texts; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -42,15 +42,20 @@ ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl")
 ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.items()}
 #: Block elements inside which a new block does not end an outer paragraph.
 PARAGRAPH_SCOPE = frozenset("td th table button li dd dt div article section body".split())
+#: What may stand in the head; anything else ends one that is still open.
+HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Elements of other languages, in which a slash ends an element, and those in them that hold HTML again.
+FOREIGN = frozenset(["svg", "math"])
+HTML_AGAIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 PAD = 40
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "foreign")
 
-    def __init__(self, tag: str, attrs: dict) -> None:
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict, foreign: bool = False) -> None:
+        self.tag, self.attrs, self.children, self.foreign = tag, attrs, [], foreign
 
     def hidden(self) -> bool:
         a = self.attrs
@@ -78,21 +83,26 @@ class TreeBuilder(HTMLParser):
             del self.open[last:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body":
+            self.close_to(frozenset(["head"]), frozenset(["template"]))
         if tag in ("html", "body"):
             return
         if tag in ENDS:
             self.close_to(*ENDS[tag])
         elif tag in BLOCKS:
             self.close_to(frozenset(["p"]), PARAGRAPH_SCOPE)
-        if self.open[-1].tag == "head" and tag not in INVISIBLE | VOID:
+        if self.open[-1].tag == "head" and tag not in HEAD:
             self.open.pop()
-        element = Element(tag, dict(attrs))
+        parent = self.open[-1]
+        element = Element(tag, dict(attrs), tag in FOREIGN or parent.foreign and parent.tag not in HTML_AGAIN)
         self.open[-1].children.append(element)
         if tag not in VOID:
             self.open.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
+        if tag not in VOID and self.open[-1].tag == tag and self.open[-1].foreign:
+            self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.open) - 1, 0, -1):
@@ -101,8 +111,21 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self.open.pop()
         self.open[-1].children.append(data)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """``<![`` begins a comment up to the next ``>``, and a CDATA section in other languages only."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        if self.open[-1].foreign and self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            self.handle_data(self.rawdata[i + 9: end if end >= 0 else None])
+            return end + 3 if end >= 0 else len(self.rawdata)
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
 
 class Page:
     """Lines of rendered text; inline text gathers until a block begins or ends."""
@@ -244,11 +267,8 @@ def html_to_text(html: str | None) -> str | None:
     if html is None:
         return None
     builder = TreeBuilder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except AssertionError:  # the parser's answer to some malformed declarations; what was read stays
-        pass
+    builder.feed(html)
+    builder.close()
     return render(builder.root)
 
 

@@ -277,6 +277,20 @@ def test_html_rendering():
     assert html_text.html_to_text(page) == ("T & u\n\nab c\n\nd\ne\n\n- x\n- y\n 1. 1\n 2. 2\n\naa  b\nc   dddd\n\nk  l\n m\n\nend")
 
 
+@pytest.mark.parametrize("page,text", [
+    ("a<![ endif]>b<![foo]>c<p>d", "abc\n\nd"),
+    ("<p>a<![if !IE]>b<![endif]>c<![CDATA[x>y", "abcy"),
+    ("<head><title>T</title><body>Hello <b>x</b>", "Hello x"),
+    ("<head><title>T</title>Hello <b>x</b>", "Hello x"),
+    ("<head><meta charset=x>\n<title>T</title>\n<style>s</style><br>Hello", "Hello"),
+    ("<head><template><body>no</template><title>T</title></head>yes", "yes"),
+    ("<div>a<svg width=1 />b</div>c", "ab\nc"),
+    ("a<svg><path/><g/><circle r=1></circle></svg>b<math><mi/><![CDATA[x>]]></math>c", "abx>c"),
+    ("<div/>a<p/>b", "a\n\nb")])
+def test_html_malformed_parts_hide_no_text_after_them(page, text):
+    assert html_text.html_to_text(page) == text
+
+
 def test_html_keeps_every_visible_word(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html")
     got = {r["page_id"]: r["text"] for r in html_text.page_texts(pages).collect()}
