@@ -26,9 +26,9 @@ and families above ``block`` members are dealt out as pairs of blocks; so no tas
 holds an unbounded group. Wide steps carry chunk keys, not texts.
 
 Cases: NULL, empty or white-space-only texts have an empty set and link with nothing; fewer
-words than a shingle make one shingle of the whole. Repeated rows are copies; rows with
-one doc_id but other texts count as one document if any of them link. NULL ids come out with
-NULL component unless linked to an id. Empty tables give no rows; other columns are ignored.
+words than a shingle make one shingle of the whole. Repeated rows are copies. A row is told by its id and the
+hash of its text (``tid``), so rows with one doc_id or a NULL id but other texts link and go each for itself.
+NULL ids come out with NULL component unless linked to an id. Empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import by_value, stored, tasks_for
@@ -51,7 +51,7 @@ by_value(__name__)
 BLOCK = 1024
 #: Distinct words whose hashes a task keeps; beyond it the table starts anew.
 WORDS_KEPT = 1_000_000
-SIDE = "doc_id long, n long, sid long, sketch binary, keys array<long>"
+SIDE = "doc_id long, tid long, n long, sid long, sketch binary, keys array<long>"
 LINKS = "a long, b long"
 
 
@@ -154,14 +154,14 @@ def folded(sketch: int, bits: int, to: int) -> int:
 
 
 def signatures(words: int, percent: int):
-    """Task code: doc_id, text -> doc_id, set size, set identity, parity sketch, chunk keys."""
+    """Task code: doc_id, tid, text -> doc_id, tid, set size, set identity, parity sketch, chunk keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
                 batch = whole.slice(i, 500)
-                ids, sizes, sids, sketches, keys, ends = batch.column(0), [], [], [], [], [0]
-                for text in batch.column(1).to_pylist():
+                sizes, sids, sketches, keys, ends = [], [], [], [], [0]
+                for text in batch.column(2).to_pylist():
                     s = shingle_set(text, words, hashes)
                     sizes.append(len(s))
                     sids.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None)
@@ -171,9 +171,9 @@ def signatures(words: int, percent: int):
                     ends.append(ends[-1] + len(k))
                 flat = pa.array(np.concatenate(keys).view(np.int64)) if keys else pa.array([], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sketches, pa.binary()),
+                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sketches, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                    ["doc_id", "n", "sid", "sketch", "keys"])
+                    ["doc_id", "tid", "n", "sid", "sketch", "keys"])
     return run
 
 
@@ -323,18 +323,30 @@ def verify(percent: int):
 
 
 def shingle_rows(words: int):
-    """Task code: sid-less rows (doc_id, text) -> sid, shingle set as bytes."""
+    """Task code: texts -> sid, shingle set as bytes; a set is given once, if more than one row holds it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, given = WordHashes(), set()
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
-                sets = [shingle_set(t, words, hashes) for t in whole.slice(i, 500).column(0).to_pylist()]
-                sids = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                sets = {}
+                for text in whole.slice(i, 500).column(0).to_pylist():
+                    s = shingle_set(text, words, hashes).tobytes()
+                    sid = xxhash.xxh3_64_intdigest(s) - (1 << 63)
+                    if s and sid not in given:
+                        sets[sid] = s
+                if len(given) > WORDS_KEPT:
+                    given.clear()
+                given.update(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())],
                                                  ["sid", "shingles"])
     return run
 
 
+def first_row() -> Column:
+    """Key of a row, in the order in which the rows of a component come first."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid")
+
+
 def in_blocks(rows: DataFrame, counts: DataFrame, key: str, block: int) -> DataFrame:
     """Add i, j: groups of up to ``block`` rows stay whole (0, 0); larger ones are cut into
     blocks, and each row goes to every pair of blocks that holds its own."""
@@ -348,8 +360,15 @@ def in_blocks(rows: DataFrame, counts: DataFrame, key: str, block: int) -> DataF
 def ngram_components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: str = "doc_id",
                      text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    return _rows(docs, words, percent, id_col, text_col, block).select("doc_id", "n_shingles", "component_id")
+
+
+def _rows(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, block: int) -> DataFrame:
+    """One row per document: doc_id, tid, n_shingles, component_id, best (the row of its component that
+    comes first; NULL for a document without copies or links)."""
     tasks = tasks_for(docs)
-    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.alias("text"))
     side = stored(pairs.mapInArrow(signatures(words, percent), SIDE), "ngram-side")
 
     chunks = side.where("n > 0").select("sid", F.explode("keys").alias("key"))
@@ -367,9 +386,11 @@ def ngram_components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_c
     families = components(maybe).select(F.col("node").alias("sid"), F.col("component").alias("family"))
     families = stored(families, "ngram-families")
 
-    # Whole sets are needed for the families only: one document of each set is read again.
-    one = side.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(families, "sid")
-    texts = pairs.join(one.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    # Whole sets are needed for the families only: one text of each set is read again.
+    one = side.where("n > 0").groupBy("sid").agg(F.min(first_row()).alias("r")).join(families, "sid")
+    one = one.select(F.col("r.doc_id").alias("__id"), F.col("r.tid").alias("__tid"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid"))
+    texts = pairs.join(one, same, "left_semi").select("text")
     sets = texts.mapInArrow(shingle_rows(words), "sid long, shingles binary").join(families, "sid")
     sizes = families.groupBy("family").agg(F.count("*").alias("members"))
     dealt = in_blocks(sets, sizes, "family", block).select("family", "i", "j", "sid", "shingles")
@@ -381,19 +402,21 @@ def ngram_components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_c
 
 def _documents(side: DataFrame, linked: DataFrame) -> DataFrame:
     """Back from sets to documents: a component's id is its smallest doc_id."""
-    ids = side.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    ids = side.where("n > 0").groupBy("sid").agg(F.min(first_row()).alias("least"), F.count("*").alias("copies"))
     named = ids.join(linked, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     # Sets alone with one document name themselves; only the others are looked up.
-    group = named.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("copies").alias("documents"))
-    sids = (named.join(group.where("documents > 1"), "component").select("sid", "component_id"))
-    out = side.select("doc_id", "n", "sid").join(sids, "sid", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    group = named.groupBy("component").agg(F.min("least").alias("best"), F.sum("copies").alias("documents"))
+    sids = (named.join(group.where("documents > 1"), "component").select("sid", "best"))
+    out = side.select("doc_id", "tid", "n", "sid").join(sids, "sid", "left")
+    return out.select("doc_id", "tid", F.col("n").alias("n_shingles"), F.coalesce("best.doc_id", "doc_id").alias("component_id"), "best")
 
 
 def one_of_each(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                **options) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id."""
-    decided = ngram_components(docs, words=words, percent=percent, id_col=id_col, text_col=text_col, **options)
-    decided = stored(decided, "ngram-decisions")
-    gone = decided.where("not doc_id <=> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+                block: int = BLOCK) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (NULL ids last, then by
+    text hash). Rows equal in id and text stay or go together."""
+    decided = stored(_rows(docs, words, percent, id_col, text_col, block), "ngram-decisions")
+    other = F.col("best").isNotNull() & ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("tid") == F.col("best.tid")))
+    gone = decided.where(other).select(F.col("doc_id").alias("__gone"), F.col("tid").alias("__tid")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone")) & (F.xxhash64(text_col) == F.col("__tid"))
+    return docs.join(gone, same, "left_anti")

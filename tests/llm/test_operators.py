@@ -373,6 +373,23 @@ def test_ngram_edge_cases(edge, empty):
     assert ngram_join.ngram_components(empty).count() == 0 and ngram_join.one_of_each(empty).count() == 0
 
 
+def test_near_copies_go_row_by_row_with_null_and_repeated_ids(spark):
+    def text(k, *changed):
+        return " ".join("changed" if i in changed else f"{k}w{i}" for i in range(60))
+
+    rows = [(1, text("a")), (None, text("a").upper()), (None, text("b")), (None, text("c")), (None, text("c", 59)), (2, text("c", 0)),
+            (3, text("d")), (4, text("d", 59)), (4, text("e")), (None, text("f")), (None, text("f", 59)),
+            (5, text("g")), (5, text("g", 59)), (None, text("h")), (None, text("h").upper())]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r[0], r[1]) for r in ngram_join.one_of_each(d).collect()]
+    assert sorted(t.lower()[0] for _, t in kept) == list("abcdefgh") and all(r in rows for r in kept)
+    assert {r for r in kept if r[0] is not None and r[0] < 5} == {rows[0], rows[5], rows[6], rows[8]} and rows[2] in kept
+    got = defaultdict(list)
+    for r in ngram_join.ngram_components(d, words=5, percent=80).collect():
+        got[r[0]].append(r[2])
+    assert sorted(got[4]) == [3, 4] and got[5] == [5, 5] and sorted(got[None], key=str) == [1, 2, 2] + [None] * 5
+
+
 # --------------------------------------------------------- substring dedup
 
 def test_substring_dedup_finds_shared_passages_and_spares_others(spark):
