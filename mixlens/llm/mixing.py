@@ -12,8 +12,8 @@ Everything is DataFrame code. The only wide steps run on narrow rows (no text),
 window holds more than one shard or one source's shards (at most ``max_shards``).
 
 Cases: NULL or empty texts have size 0 and take nothing. A NULL source is a source of its
-own, last in order. Repeated rows count as documents of their own; among rows equal in id
-and size the order is immaterial. An empty table gives an empty mix. Other columns are ignored.
+own, last in order. Repeated rows count as documents of their own; rows equal in id
+and size are numbered where a cut falls among them, so one of them is cut. An empty table gives an empty mix. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -106,7 +106,7 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows, cuts = _plan(docs, id_col, text_col, source_col, weights, cap, block_words, docs_per_shard, max_shards, seed)
     inside = (F.col("end") > F.col("part")) & (F.col("end") - F.col("size") <= F.col("part"))
     at = (rows.join(small_side(cuts), ["rank", "shard"]).where(inside)
-          .groupBy("rank", "shard").agg(F.min(F.struct("place", "doc_id", "size", "end")).alias("cut")))
+          .groupBy("rank", "shard").agg(F.min(F.struct("place", "doc_id", "size", "end", "among", "equals")).alias("cut")))
     quota = stored(cuts.join(at, ["rank", "shard"], "left"), "mix-quota")
     ranks = small_side(stored(rows.select("source", "rank", "shards").distinct(), "mix-ranks"))
     own = {"__size": word_count(F.col(text_col)), "__place": seeded_order(F.col(id_col), seed)}
@@ -118,8 +118,16 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     d = d.join(q, ["__rank", "__shard"])
     key = F.struct(F.col("__place").alias("place"), F.col(id_col).cast("long").alias("doc_id"), F.col("__size").alias("size"))
     c = F.col("__q.cut")
-    before = c.isNull() | (key < F.struct(c["place"], c["doc_id"], c["size"]))
     at_cut = c.isNotNull() & (key == F.struct(c["place"], c["doc_id"], c["size"]))
+    if quota.where("cut.equals > 1").isEmpty():
+        d = d.withColumn("__among", c["among"])
+    else:
+        # Rows equal in the key are numbered like those of the plan, in the shards cut among such rows only.
+        tied = F.coalesce(at_cut & (c["equals"] > 1), F.lit(False))
+        number = F.row_number().over(Window.partitionBy("__rank", "__shard").orderBy(F.xxhash64(text_col)))
+        d = d.where(~tied).withColumn("__among", c["among"]).unionByName(d.where(tied).withColumn("__among", number))
+    before = c.isNull() | (key < F.struct(c["place"], c["doc_id"], c["size"])) | at_cut & (F.col("__among") < c["among"])
+    at_cut = at_cut & (F.col("__among") == c["among"])
     words = F.when(F.col("__q.part") <= 0, F.lit(0)).when(before, F.col("__size")) \
         .when(at_cut, F.col("__q.part") - (c["end"] - c["size"])).otherwise(F.lit(0)).cast("int")
     d = d.withColumn("__words", words)
@@ -150,8 +158,11 @@ def _plan(docs, id_col, text_col, source_col, weights, cap, block_words, docs_pe
     named = sources.select(F.col("source").alias("__source"), "rank", "source_size", "target", "shards")
     rows = (sizes.join(small_side(named), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
             .withColumn("shard", F.pmod("place", "shards").cast("long")))
-    end = F.sum("size").over(Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "size")
-                             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    order = Window.partitionBy("rank", "shard").orderBy("place", "doc_id", "size")
+    end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The number of a row among those equal in the key, and how many these are.
+    among = F.row_number().over(order) - F.rank().over(order) + 1
+    equals = F.count("*").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.rank().over(order) + 1
     per_shard = rows.groupBy("rank", "shard").agg(F.sum("size").alias("words"))
     per_shard = per_shard.join(small_side(sources.select("rank", "source_size", "blocks", "shards")), "rank")
     quotas = highest_quotients(per_shard, votes="words", seats=F.col("blocks"), total="source_size",
@@ -162,7 +173,7 @@ def _plan(docs, id_col, text_col, source_col, weights, cap, block_words, docs_pe
     part = F.floor(F.col("words") * (F.col("quota") - F.col("passes") * F.col("n")) / F.col("n")).cast("long")
     cuts = stored(q.select("rank", "shard", F.when(whole, F.lit(cap)).otherwise(F.col("passes")).cast("long").alias("passes"),
                            F.when(whole, F.lit(0)).otherwise(part).cast("long").alias("part")), "mix-cuts")
-    return rows.withColumn("end", end), cuts
+    return rows.withColumns({"end": end, "among": among, "equals": equals}), cuts
 
 
 def oracle_sql(weights=(1, 2, 3), cap: int = 3, block_words: int = BLOCK_WORDS, docs_per_shard: int = DOCS_PER_SHARD,

@@ -89,6 +89,25 @@ def test_mixing_reaches_targets_and_mixed_rows_hold_the_taken_words(docs, edge,
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixed_rows_hold_the_taken_words_where_the_cut_falls_among_equal_rows(spark):
+    texts = [" ".join(f"{k}{j}" for j in range(50)) for k in "abc"]
+    rows = [(None if i % 2 else 7, texts[i // 2 % 3], "s0") for i in range(60)] + [(100 + i, "x y z " * 40, f"s{1 + i % 2}") for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    checked = 0
+    for weights in [(1, 2, 3), (5, 1, 1), (2, 1, 1)]:
+        taken = mixing.mix(d, weights=weights).collect()
+        want, part = defaultdict(int), [r["taken"] % r["size"] for r in taken if r["source"] == "s0"]
+        for r in taken:
+            want[r["doc_id"]] += r["taken"]
+        got, sizes = defaultdict(int), []
+        for r in mixing.mixed_documents(d, weights=weights).collect():
+            got[r["doc_id"]] += len(r["text"].split())
+            sizes += [len(r["text"].split())] if r["source"] == "s0" else []
+        assert got == {k: v for k, v in want.items() if v} and sorted(s for s in sizes if s != 50) == sorted(x for x in part if x)
+        checked += any(part)
+    assert checked
+
+
 def test_highest_quotients_give_the_textbook_seats(spark):
     votes = [53000, 24000, 23000, 1, 0]
     p = spark.createDataFrame(list(enumerate(votes)), "rank long, votes long").withColumn("total", F.lit(sum(votes)))
