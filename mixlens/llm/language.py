@@ -12,7 +12,8 @@ the texts without a shuffle; only the text is read.
 
 Cases: NULL texts and texts without a letter are ``und`` with score 0. With one language learned,
 that is every answer, with score 1; with none, ``und``. Repeated rows get equal answers. Rows
-with a NULL id may teach. Empty tables give no rows; other columns are ignored.
+with a NULL id may teach. More than ``MAX_LANGUAGES`` different languages among the documents to learn from
+raise ValueError. Empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
