@@ -73,3 +73,10 @@ def seeded_order(doc_id: Column, seed: int) -> Column:
 def tasks_for(df: DataFrame) -> int:
     """Shuffle partitions of the session: the unit in which wide steps are dealt out."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the CRC-32 of an ASCII text, byte by byte and bit by bit (the reflected polynomial is a fixed value)."""
+    bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {bits}), 4294967295)"

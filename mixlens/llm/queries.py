@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mixlens.llm import (exact_dedup, html_text, language, mixing, neighbours, ngram_join, packing, quality, substring_dedup,
-                         url_filter)
+from mixlens.llm import (conversations, exact_dedup, html_text, language, line_dedup, merkle, mixing, neighbours, ngram_join,
+                         packing, quality, substring_dedup, url_filter)
 from mixlens.sources.files import read_table
 
 
@@ -62,6 +62,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filter": op2_url_filter,
@@ -73,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality": op10_quality,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -80,4 +95,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mixing": mixing.oracle_sql(),
     "op2_url_filter": url_filter.oracle_sql(),
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_line_dedup": line_dedup.ORACLE_SQL,
+    "op12_merkle_manifest": merkle.oracle_sql(),
+    "op13_conversation_repair": conversations.ORACLE_SQL,
 }
