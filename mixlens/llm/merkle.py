@@ -10,8 +10,8 @@ its top to the root, makes the missing nodes once more, and gives each of its no
 Places come from ranges of (group, id) that are counted and added up, so one group that holds most rows spreads over many
 tasks; a task holds one subtree. The leaves are narrow: texts are read once and never shuffled.
 
-A path lists, from the leaf up, one entry a level: ``l`` or ``r`` and the digest of the sibling on that side, or ``-``
-where the node is alone. A lone leaf is its group's root, and a lone group's root that of the table.
+A path lists, from the leaf up, one entry a level: ``l`` or ``r`` and the digest of the sibling on that side, or ``r`` alone
+where the node has none. A lone leaf is its group's root, and a lone group's root that of the table.
 
 Cases: a NULL field is ``-``; a NULL group is a group of its own, the first; NULL ids come first. Rows of one id are
 ordered by leaf, equal rows have neighbouring leaves and a proof each. An empty table gives no rows.
@@ -21,7 +21,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -71,7 +71,7 @@ def siblings(levels: list[list[str]], i: int) -> list[str]:
     path = []
     for row in levels[:-1]:
         j = i ^ 1
-        path.append("-" if j >= len(row) else ("r" if j > i else "l") + row[j])
+        path.append("l" + row[j] if j < i else "r" + "".join(row[j:j + 1]))
         i >>= 1
     return path
 
@@ -88,8 +88,12 @@ def top_task(step: int):
     return run
 
 
-def path_task(step: int, names: Sequence[str]):
-    """Task code: subtrees with the path of their top -> their nodes (``names``), each with its path."""
+def path_column(nodes: pa.StructArray, found: list[list[str]]) -> list[pa.Array]:
+    return [pa.array(found, pa.list_(pa.string()))]
+
+
+def path_task(step: int, names: Sequence[str], out: Callable, out_names: Sequence[str]):
+    """Task code: subtrees with the path of their top -> their nodes (``names``) with ``out`` of the nodes and their paths."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("tree", "size", "subroot", "path")))
@@ -99,10 +103,25 @@ def path_task(step: int, names: Sequence[str]):
                 found = [siblings(levels, i) + above for i in range(len(nodes))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([tree] * len(nodes), pa.int64()), *map(nodes.field, names), pa.array([subroot] * len(nodes), pa.string()),
-                     pa.array(found, pa.list_(pa.string()))], ["tree", *names, "subroot", "path"])
+                     *out(nodes, found)], ["tree", *names, "subroot", *out_names])
     return run
 
 
+def folded(digest: str, path: list[str]) -> str:
+    """The root that a leaf's digest and path give."""
+    for entry in path:
+        side, other = entry[0], entry[1:]
+        digest = hashlib.sha256((other + digest if side == "l" else digest + other).encode()).hexdigest()
+    return digest
+
+
+def verdict_columns(nodes: pa.StructArray, found: list[list[str]]) -> list[pa.Array]:
+    """Digest of each leaf's proof, and the root folded from its altered digest, if it has one, or else its own."""
+    given = [b or a for a, b in zip(nodes.field("digest").to_pylist(), nodes.field("altered").to_pylist())]
+    proof = [hashlib.sha256("".join(e[1:] for e in path).encode()).hexdigest() for path in found]
+    return [pa.array(proof, pa.string()), pa.array(map(folded, given, found), pa.string())]
+
+
 def _subtrees(nodes: DataFrame, step: int) -> DataFrame:
     """One row for each aligned subtree of at most ``2 ** step`` stored nodes."""
     node = F.struct("pos", *[c for c in nodes.columns if c not in ("tree", "size", "pos")])
@@ -132,17 +151,20 @@ def grow(leaves: DataFrame, step: int = STEP) -> Forest:
     return Forest(levels, step)
 
 
-def paths(forest: Forest, leaves: DataFrame, above: DataFrame) -> DataFrame:
-    """``leaves`` (the first level, other columns too) with the path and subroot of each, given those of the roots (tree, path, subroot)."""
-    out = above.select("tree", F.lit(0).cast("long").alias("block"), "path", "subroot")
+def paths(forest: Forest, leaves: DataFrame, above: DataFrame, out: Callable = path_column, out_schema: str = "path array<string>") -> DataFrame:
+    """``leaves`` (the first level, other columns too) with their subroot and ``out`` of their paths, given the path and
+    subroot of the trees' roots (tree, path, subroot)."""
+    upper = above.select("tree", F.lit(0).cast("long").alias("block"), "path", "subroot")
     for k in range(max(len(forest.levels) - 2, 0), -1, -1):
         nodes = forest.levels[k] if k else leaves
         names = ["pos", *[c for c in nodes.columns if c not in ("tree", "size", "pos")]]
-        schema = T.StructType([nodes.schema["tree"], *[nodes.schema[c] for c in names]]).add("subroot", "string").add("path", T.ArrayType(T.StringType()))
-        out = _subtrees(nodes, forest.step).join(out, ["tree", "block"]).mapInArrow(path_task(forest.step, names), schema)
+        found, more = (path_column, "path array<string>") if k else (out, out_schema)
+        added = T.StructType.fromDDL(f"subroot string, {more}")
+        schema = T.StructType([nodes.schema["tree"], *[nodes.schema[c] for c in names], *added])
+        upper = _subtrees(nodes, forest.step).join(upper, ["tree", "block"]).mapInArrow(path_task(forest.step, names, found, added.names[1:]), schema)
         if k:
-            out = stored(out.select("tree", F.col("pos").alias("block"), "path", "subroot"), f"merkle-paths{k}")
-    return out
+            upper = stored(upper.select("tree", F.col("pos").alias("block"), "path", "subroot"), f"merkle-paths{k}")
+    return upper
 
 
 @dataclass(frozen=True)
@@ -166,40 +188,34 @@ def manifest(leaves: DataFrame, group_col: str, order: Sequence[str], step: int
     return Manifest(placed, groups, grow(stored(tops, "merkle-tops"), step))
 
 
-def proofs(m: Manifest) -> DataFrame:
-    """The leaves with their ``subroot``, ``root`` and ``path``."""
+def proofs(m: Manifest, out: Callable = path_column, out_schema: str = "path array<string>") -> DataFrame:
+    """The leaves with their ``subroot``, ``root`` and ``path`` (or ``out`` of it)."""
     root = m.top.roots.select("tree", F.lit(None).cast("string").alias("subroot"), F.array().cast("array<string>").alias("path"))
     upper = paths(m.top, m.top.levels[0], root).select(F.col("pos").alias("tree"), "path", F.col("digest").alias("subroot"))
-    found = paths(m.groups, m.leaves, stored(upper, "merkle-upper"))
+    found = paths(m.groups, m.leaves, stored(upper, "merkle-upper"), out, out_schema)
     # One row, the table's root: a proven bound.
     return found.join(F.broadcast(m.top.roots.select(F.col("digest").alias("root"))))
 
 
-def folded(digest: Column, path: Column) -> Column:
-    """The root that a leaf's digest and path give."""
-    def up(node: Column, entry: Column) -> Column:
-        side, other = F.substring(entry, 1, 1), F.substring(entry, 2, 64)
-        return F.sha2(F.when(side == "l", F.concat(other, node)).when(side == "r", F.concat(node, other)).otherwise(node), 256)
-    return F.aggregate(path, digest, up)
+def tree_of(docs: DataFrame, *, id_col: str = "doc_id", group_col: str = "lang", fields: Sequence[str] = FIELDS,
+            count_col: str = "n_chars", step: int = STEP) -> Manifest:
+    """The manifest of a table; ``altered`` is the leaf of a row tampered with: 1 added to ``count_col`` where the
+    CRC-32 of the id divides by ``TAMPERED_IN`` (never where the id is NULL)."""
+    altered = leaf([F.col(c) + F.lit(1) if c == count_col else F.col(c) for c in fields])
+    tampered = F.crc32(F.col(id_col).cast("string").cast("binary")) % TAMPERED_IN == 0
+    leaves = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(group_col).alias("grouped"),
+                         leaf([F.col(c) for c in fields]).alias("digest"), F.when(tampered, altered).alias("altered"))
+    return manifest(stored(leaves, "merkle-digests"), "grouped", ["doc_id"], step)
 
 
-def audit(docs: DataFrame, *, id_col: str = "doc_id", group_col: str = "lang", fields: Sequence[str] = FIELDS,
-          count_col: str = "n_chars", step: int = STEP) -> DataFrame:
+def audit(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
-    The manifest is made of the documents as they are; then the leaf of every document whose id's CRC-32 divides by
-    ``TAMPERED_IN`` is made with 1 added to ``count_col``, and folded with the proof. A NULL id is not tampered with.
+    The manifest is made of the documents as they are; then each leaf, or its altered form, is folded with its proof.
     """
-    digest = leaf([F.col(c) for c in fields])
-    altered = leaf([F.col(c) + F.lit(1) if c == count_col else F.col(c) for c in fields])
-    tampered = F.crc32(F.col(id_col).cast("string").cast("binary")) % TAMPERED_IN == 0
-    leaves = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(group_col).alias("grouped"), digest.alias("digest"),
-                         F.when(tampered, altered).alias("altered"))
-    found = proofs(manifest(stored(leaves, "merkle-digests"), "grouped", ["doc_id"], step))
-    given = F.concat_ws("", F.transform("path", lambda e: F.substring(e, 2, 64)))
-    out = found.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(given, 256).alias("proof_sha256"),
-                       folded(F.coalesce("altered", "digest"), F.col("path")).alias("folded_root"))
-    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+    found = proofs(tree_of(docs, **options), verdict_columns, "proof_sha256 string, folded_root string")
+    return found.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
 def _field(c: str, add: int = 0) -> str:

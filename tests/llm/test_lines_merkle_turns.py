@@ -148,6 +148,11 @@ def test_merkle_tampering_is_found_and_empty(docs, empty):
     assert merkle.audit(empty).count() == 0
 
 
+def test_paths_lead_from_every_leaf_to_the_root(docs):
+    found = merkle.proofs(merkle.tree_of(docs, step=3)).collect()
+    assert len(found) == docs.count() and all(merkle.folded(r["digest"], r["path"]) == r["root"] for r in found)
+
+
 def test_positions_split_repeated_rows(spark):
     rows = spark.createDataFrame([("hot", 1)] * 900 + [("cold", i) for i in range(30)] + [(None, None)] * 3, "g string, x int")
     out = positions(rows, ["g"], ["x"], "test").toPandas()
