@@ -59,6 +59,13 @@ def _threshold_text(fraction: float) -> str:
     return threshold_hex(fraction)
 
 
+def threshold_text(rate: str | Column) -> Column:
+    """``_threshold_text`` of a column of rates; NULL has none."""
+    f = F.col(rate) if isinstance(rate, str) else rate
+    digits = F.lpad(F.lower(F.hex(F.floor(F.least(f, F.lit(1.0)) * F.lit(float(_SPACE))).cast("long"))), HASH_DIGITS, "0")
+    return F.when(f >= 1.0, F.lit("g")).when(f <= 0.0, F.lit("")).when(f.isNotNull() & ~F.isnan(f), digits)
+
+
 def draw_by_stratum(u: Column, stratum: Column, fractions: Mapping[object, float]) -> Column:
     """True when the row is drawn at its stratum's rate; unknown strata -> False.
 

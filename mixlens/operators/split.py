@@ -9,10 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixlens.functions.hashing import draw_by_stratum, draw_below, unit_hex
+from mixlens.functions.hashing import draw_by_stratum, draw_below, key_text, threshold_text, unit_hex
+from mixlens.operators.joins import lookup_join
+from mixlens.sinks import scratch_table
+
+#: What a rate may be: one for all strata, one by stratum in a dict, or a table (stratum, rate).
+Rates = Mapping[object, float] | float | DataFrame
 
 
 def stratified_fractions(df: DataFrame, label_col: str, fraction: float) -> DataFrame:
@@ -20,10 +25,43 @@ def stratified_fractions(df: DataFrame, label_col: str, fraction: float) -> Data
     return df.select(label_col).distinct().withColumn("fraction", F.lit(float(fraction)))
 
 
-def sample_by_hash(df: DataFrame, key_cols: Sequence[str], label_col: str | None,
-                   fractions: Mapping[object, float] | float, salt: str = "") -> DataFrame:
-    """M4, reproducible: keep a row when its key hash falls below its stratum's rate."""
+def _stratum_key(label_col: str) -> Column:
+    """A text for each stratum, NULL's own among them, so that strata join as plain keys."""
+    return F.when(F.col(label_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(label_col).cast("string")))
+
+
+def rate_table(df: DataFrame, label_col: str, rates: Rates) -> DataFrame:
+    """(__stratum, __rate) of each stratum of ``df`` that has a rate."""
+    strata = df.select(_stratum_key(label_col).alias("__stratum")).distinct()
+    if isinstance(rates, DataFrame):
+        label, rate = rates.columns[:2]
+        named = rates.select(_stratum_key(label).alias("__stratum"), F.col(rate).cast("double").alias("__rate")).where("__rate is not null")
+        once = named.groupBy("__stratum").agg(F.min("__rate").alias("__rate"), F.max("__rate").alias("__most"))
+        two = F.raise_error(F.concat(F.lit("two rates for stratum "), F.col("__stratum"))).cast("double")
+        return once.select("__stratum", F.when(F.col("__rate") == F.col("__most"), F.col("__rate")).otherwise(two).alias("__rate"))
+    if isinstance(rates, Mapping):
+        type_ = df.schema[label_col].dataType.simpleString()
+        return rate_table(df, label_col, df.sparkSession.createDataFrame([(k, float(v)) for k, v in rates.items()], f"s {type_}, r double"))
+    return strata.withColumn("__rate", F.lit(float(rates)))
+
+
+def with_rates(df: DataFrame, label_col: str, rates: DataFrame) -> DataFrame:
+    """``df`` with the column ``__rate`` of its row's stratum, NULL where the table (stratum, rate) names none.
+
+    A table of any size: a small one is broadcast after a size check; beyond that the rows of strata that hold
+    many rows meet a broadcast of their rates, and only the others are shuffled.
+    """
+    return lookup_join(df.withColumn("__stratum", _stratum_key(label_col)), rate_table(df, label_col, rates), "__stratum", "left").drop("__stratum")
+
+
+def sample_by_hash(df: DataFrame, key_cols: Sequence[str], label_col: str | None, fractions: Rates, salt: str = "") -> DataFrame:
+    """M4, reproducible: keep a row when its key hash falls below its stratum's rate.
+
+    ``fractions`` is one rate, a dict or a table (stratum, rate); strata without a rate are not drawn.
+    """
     u = unit_hex(key_cols, salt)
+    if isinstance(fractions, DataFrame):
+        return with_rates(df, label_col, fractions).where(F.coalesce(u < threshold_text("__rate"), F.lit(False))).drop("__rate")
     if isinstance(fractions, Mapping):
         cond = draw_by_stratum(u, F.col(label_col), fractions)
     else:
@@ -31,6 +69,69 @@ def sample_by_hash(df: DataFrame, key_cols: Sequence[str], label_col: str | None
     return df.where(cond)
 
 
+#: Hex digits of the key hash that a round of the selection looks at, and digits in all.
+PIECE, DIGITS = 4, 32
+
+
+def exact_cuts(df: DataFrame, key_cols: Sequence[str], label_col: str, fractions: Rates, salt: str = "") -> DataFrame:
+    """Where an exact sample ends in each stratum: (__stratum, __cut, __rest).
+
+    The sample is the ``round(rate * rows)`` rows with the smallest key hashes (md5). They end inside one hash prefix,
+    found by rounds of histograms: each counts, in the prefix found so far, the rows by the next ``PIECE`` digits (partial
+    aggregation, at most 65,536 counts a stratum) and goes into the piece where the wanted number of rows is reached. A
+    round's counts shrink 65,536-fold, so two or three rounds do. Rows with a hash prefix below ``__cut`` are drawn,
+    and ``__rest`` of those whose whole hash equals it (NULL: all rows with that prefix).
+    """
+    keyed = df.select(_stratum_key(label_col).alias("__stratum"), _hash(key_cols, salt).alias("__h"))
+    sizes = keyed.groupBy("__stratum").agg(F.count("*").alias("__n"))
+    wanted = sizes.join(rate_table(df, label_col, fractions), "__stratum").select(
+        "__stratum", "__n", F.least(F.col("__n"), F.round(F.col("__rate") * F.col("__n")).cast("long")).alias("__rest"))
+    wanted = scratch_table(wanted.where("__rest > 0"), "exact-wanted")
+    done = [wanted.where("__rest = __n").select("__stratum", F.lit("g").alias("__cut"), F.lit(None).cast("long").alias("__rest"))]
+    at = scratch_table(wanted.where("__rest < __n").select("__stratum", F.lit("").alias("__cut"), "__rest"), "exact-open")
+    for used in range(0, DIGITS, PIECE):
+        if at.isEmpty():
+            break
+        inside = lookup_join(keyed, at, "__stratum").where(F.substring("__h", 1, used) == F.col("__cut"))
+        counts = inside.groupBy("__stratum", "__cut", "__rest", F.substring("__h", used + 1, PIECE).alias("__piece")).agg(F.count("*").alias("__n"))
+        up_to = F.sum("__n").over(Window.partitionBy("__stratum").orderBy("__piece"))
+        reached = counts.withColumn("__sum", up_to).where((F.col("__sum") >= F.col("__rest")) & (F.col("__sum") - F.col("__n") < F.col("__rest")))
+        found = scratch_table(reached.select("__stratum", F.concat("__cut", "__piece").alias("__cut"), "__n",
+                                             (F.col("__rest") - F.col("__sum") + F.col("__n")).alias("__rest")), "exact-round")
+        whole = F.col("__rest") == F.col("__n")
+        done.append(found.where(whole).select("__stratum", F.concat("__cut", F.lit("g")).alias("__cut"), F.lit(None).cast("long").alias("__rest")))
+        at = found.where(~whole).select("__stratum", "__cut", "__rest")
+    out = at
+    for part in done:
+        out = out.unionByName(part)
+    return out
+
+
+def _hash(key_cols: Sequence[str], salt: str) -> Column:
+    text = key_text(key_cols)
+    return F.md5(F.concat(F.lit(salt + "|"), text) if salt else text)
+
+
+def sample_exact(df: DataFrame, key_cols: Sequence[str], label_col: str, fractions: Rates, salt: str = "") -> DataFrame:
+    """M4 with exact shares: ``round(rate * rows)`` rows of each stratum, those with the smallest key hashes.
+
+    ``fractions`` is one rate, a dict or a table (stratum, rate); strata without a rate are not drawn, a rate of 1 or more
+    takes all. Selecting is a map-only filter by the cuts of ``exact_cuts``; no stratum is sorted or
+    gathered, whatever its size. Only where rows share one key at the cut are those counted by all their
+    columns (which must be groupable), and as many copies kept as are due.
+    """
+    cuts = scratch_table(exact_cuts(df, key_cols, label_col, fractions, salt), "exact-cuts")
+    keyed = df.withColumns({"__stratum": _stratum_key(label_col), "__h": _hash(key_cols, salt)})
+    placed = lookup_join(keyed, cuts, "__stratum")
+    below = placed.where("substring(__h, 1, length(__cut)) < __cut").select(*df.columns)
+    tied = placed.where("__h = __cut").groupBy("__stratum", "__rest", *df.columns).agg(F.count("*").alias("__n"))
+    # Distinct rows of one stratum and key: few, however many copies they have.
+    before = F.sum("__n").over(Window.partitionBy("__stratum").orderBy(F.xxhash64(*df.columns))) - F.col("__n")
+    due = tied.withColumn("__due", F.least(F.col("__n"), F.col("__rest") - before)).where("__due > 0")
+    copies = due.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__due"))))
+    return below.unionByName(copies.select(*df.columns))
+
+
 def sample_by_seeded(df: DataFrame, label_col: str, fractions: Mapping[object, float],
                      seed: int) -> DataFrame:
     """M4 as in the reference: Spark's Bernoulli ``sampleBy`` (depends on partitioning)."""

@@ -210,6 +210,32 @@ def q_sample_by_hash(spark, sf):
         .select("o_orderkey", "stratum")
 
 
+def q_sample_exact(spark, sf):
+    """Exactly the rounded share of each bin's orders."""
+    return split.sample_exact(_orders_binned(spark, sf), ["o_orderkey"], "stratum", FRACTIONS).select("o_orderkey", "stratum")
+
+
+def _customer_orders(spark, sf):
+    """Orders by the customer, as many strata as customers, a sixth of the orders in a stratum without a name."""
+    who = F.when(F.col("o_orderkey") % 6 > 0, F.col("o_custkey").cast("string"))
+    return read_table(spark, sf, "orders").select("o_orderkey", who.alias("stratum"))
+
+
+def _customer_rates(spark, sf):
+    """A rate for each customer that has one (every eleventh has none), and for the orders without a customer."""
+    keys = read_table(spark, sf, "customer").select("c_custkey").where("c_custkey % 11 > 0")
+    rates = keys.select(F.col("c_custkey").cast("string").alias("stratum"), ((F.col("c_custkey") % 8) / F.lit(8.0)).alias("rate"))
+    return rates.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("stratum"), F.lit(0.3125).alias("rate")))
+
+
+def q_sample_by_hash_rates(spark, sf):
+    return split.sample_by_hash(_customer_orders(spark, sf), ["o_orderkey"], "stratum", _customer_rates(spark, sf))
+
+
+def q_sample_exact_rates(spark, sf):
+    return split.sample_exact(_customer_orders(spark, sf), ["o_orderkey"], "stratum", _customer_rates(spark, sf))
+
+
 def q_sample_by_seeded(spark, sf):
     return split.sample_by_seeded(_orders_binned(spark, sf), "stratum", FRACTIONS, SEED) \
         .select("o_orderkey", "stratum")
@@ -496,6 +522,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_strata": q_distinct_strata,
     "stratified_fractions": q_stratified_fractions,
     "sample_by_hash": q_sample_by_hash,
+    "sample_exact": q_sample_exact,
+    "sample_by_hash_rates": q_sample_by_hash_rates,
+    "sample_exact_rates": q_sample_exact_rates,
     "sample_by_seeded": q_sample_by_seeded,
     "except_distinct": q_except_distinct,
     "train_test_split": q_train_test_split,

@@ -220,6 +220,17 @@ def oracle_queries() -> dict[str, str]:
     q["distinct_strata"] = binned + "SELECT DISTINCT stratum FROM binned"
     q["stratified_fractions"] = binned + "SELECT DISTINCT stratum, CAST(0.8 AS DOUBLE) AS fraction FROM binned"
     q["sample_by_hash"] = binned + f"SELECT o_orderkey, stratum FROM binned WHERE {_sample_where()}"
+    ranked = ("row_number() OVER (PARTITION BY stratum ORDER BY md5(CAST(o_orderkey AS VARCHAR))) AS rk, "
+              "count(*) OVER (PARTITION BY stratum) AS n")
+    q["sample_exact"] = (binned + f"SELECT o_orderkey, stratum FROM (SELECT *, {ranked} FROM binned WHERE stratum IS NOT NULL) "
+                         "WHERE rk <= round(CAST(0.8 AS DOUBLE) * n)")
+    rates = ("WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 > 0 THEN CAST(o_custkey AS VARCHAR) END AS stratum FROM orders),\n"
+             "rates AS (SELECT CAST(c_custkey AS VARCHAR) AS s, (c_custkey % 8) / CAST(8 AS DOUBLE) AS rate FROM customer WHERE c_custkey % 11 > 0 "
+             "UNION ALL SELECT NULL, CAST(0.3125 AS DOUBLE)),\n"
+             f"r AS (SELECT t.*, rate, {ranked} FROM t JOIN rates ON s IS NOT DISTINCT FROM stratum)\n")
+    q["sample_by_hash_rates"] = rates + ("SELECT o_orderkey, stratum FROM r WHERE rate > 0 AND substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) "
+                                         "< printf('%08x', CAST(floor(rate * 4294967296) AS BIGINT))")
+    q["sample_exact_rates"] = rates + "SELECT o_orderkey, stratum FROM r WHERE rk <= round(rate * n)"
     q["except_distinct"] = (binned + "SELECT o_orderkey, stratum FROM binned EXCEPT "
                             f"SELECT o_orderkey, stratum FROM binned WHERE {_sample_where()}")
     q["train_test_split"] = (binned + "SELECT o_orderkey, stratum, CASE WHEN "

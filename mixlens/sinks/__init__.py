@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from mixlens.session import scratch_path
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: parallel Parquet write, one file per task."""
@@ -24,6 +26,14 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").parquet(path)
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the session's ``spark.checkpoint.dir`` and read back: later steps read
+    the columns they need, and a lost executor repeats no more than their own tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_text(df: DataFrame, col: str, path: str, mode: str = "overwrite") -> None:
     """One line per value (values may themselves hold newlines)."""
     df.select(col).write.mode(mode).text(path)
