@@ -8,7 +8,8 @@ Long form: rows ``(entity_id, component, weight)``. Duplicates are summed per
 ``(entity_id, component)`` with map-side partial aggregation, so an entity
 holds at most |universe| rows afterwards however hot it is; properties are
 joined by a size-checked broadcast; each entity's (bounded) components are
-then gathered and reduced with array functions.
+then gathered and reduced with array functions. Larger universes go to
+``mixlens.operators.sparse_stats``, which gathers nothing.
 
 Both forms use the same definitions (``mixlens.functions.composition``) and
 give the same numbers; components absent from a long-form entity weigh 0.
@@ -23,10 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.functions import composition as C
-from mixlens.operators.joins import bounded_rows, lookup_join
+from mixlens.operators.joins import bounded_rows, has_at_most, lookup_join
+from mixlens.operators.sparse_stats import composition_stats_sparse
 
-# Largest property table we fold into a plan or broadcast. The element
-# dimension has 118 rows; anything beyond this bound is a modelling error.
+# Largest property table that is folded into a plan: the wide form's (one column per
+# component) and the gathering long form's. The element dimension has 118 rows.
 MAX_COMPONENTS = 4096
 
 
@@ -177,6 +179,17 @@ def property_lookup(mix_long: DataFrame, props: DataFrame, property_cols: Sequen
     return lookup_join(mix_long, side, component_col, "left")
 
 
+def _gathers(mix_long: DataFrame, props: DataFrame, component_col: str, universe: Sequence[int] | None) -> bool:
+    """True if an entity holds at most ``2 * MAX_COMPONENTS`` components, proven by bounded checks."""
+    if universe is not None:
+        return len(universe) <= MAX_COMPONENTS
+    known = props.select(F.col(component_col).cast("int").alias("c"))
+    if not has_at_most(known, MAX_COMPONENTS):
+        return False
+    met = mix_long.select(F.col(component_col).cast("int").alias("c")).distinct()
+    return has_at_most(met.join(F.broadcast(known), "c", "left_anti"), MAX_COMPONENTS)
+
+
 def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols: Sequence[str],
                            *, entity_col: str = "entity_id", component_col: str = "component",
                            weight_col: str = "weight_pct", normalize: bool = False,
@@ -188,6 +201,9 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     summed, hot entities collapsed map-side -- then a broadcast join to the
     size-checked property table, then an aggregate on entity that gathers at
     most |universe| items per entity, then array expressions.
+    That is for universes of at most ``MAX_COMPONENTS``; where more components are possible (a larger
+    property table, or more unknown components in the mix: one bounded check, which a given ``components``
+    saves) ``composition_stats_sparse`` computes the same statistics without gathering.
     ``components`` is the universe, as the weight columns are in the wide form: rows
     of other components are left out (an entity of such rows only keeps its row, all
     absent). By default it is the components of ``props`` and those the entity has. A
@@ -197,10 +213,14 @@ def composition_stats_long(mix_long: DataFrame, props: DataFrame, property_cols:
     """
     names = dict(names or {})
     fields = [f"p{i}" for i in range(len(property_cols))]
+    universe = None if components is None else sorted({int(c) for c in components})
+    if not _gathers(mix_long, props, component_col, universe):
+        return composition_stats_sparse(mix_long, props, property_cols, entity_col=entity_col, component_col=component_col, weight_col=weight_col,
+                                        normalize=normalize, as_float=as_float, names=names, components=components, null_weight=null_weight)
+    if universe is not None:
+        props = props.where(F.col(component_col).cast("int").isin(universe))
     rows = _property_rows(props, property_cols, component_col)
-    universe = sorted({int(c) for c in components}) if components is not None else [r["c"] for r in rows]
-    if len(universe) > MAX_COMPONENTS:
-        raise ValueError(f"more than {MAX_COMPONENTS} components")
+    universe = [r["c"] for r in rows] if universe is None else universe
     values = {p: {r["c"]: r[p] for r in rows} for p in property_cols}
     small = mix_long.sparkSession.createDataFrame(
         [(c, True, *[values[p].get(c) for p in property_cols]) for c in universe],

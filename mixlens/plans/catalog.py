@@ -21,6 +21,7 @@ from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (atomic_property_stats, composition_stats_long, composition_stats_wide, long_to_wide,
                                            pack_components, pack_stats, present_components,
                                            property_lookup, property_values, stat_columns)
+from mixlens.operators.sparse_stats import composition_stats_sparse
 from mixlens.operators.metrics import regression_metrics
 from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
 from mixlens.plans import oracle as O
@@ -64,7 +65,8 @@ def _stats_cols(props, stats=STAT_NAMES) -> list[str]:
 
 def _stats_long(spark, sf, props):
     """Statistics straight from the lines: amounts, divided by each entity's total."""
-    return composition_stats_long(mix_amounts(spark, sf), property_table(spark, sf), props, weight_col="qty", normalize=True)
+    return composition_stats_long(mix_amounts(spark, sf), property_table(spark, sf), props, weight_col="qty", normalize=True,
+                                  components=UNIVERSE)
 
 
 def q_composition_stats_long(spark, sf):
@@ -325,6 +327,17 @@ def q_composition_stats_null_weight(spark, sf):
     return _round_all(composition_stats_long(mix, property_table(spark, sf), STATS_PROPS), ["entity_id"])
 
 
+def q_composition_stats_many_components(spark, sf):
+    """Every part a component of its own, a third of all lines in one entity; one property with gaps."""
+    lines = read_table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 > 0, F.col("l_orderkey")).otherwise(F.lit(0)).alias("entity_id"),
+        F.col("l_partkey").alias("component"), F.col("l_quantity").alias("qty"))
+    props = read_table(spark, sf, "part").select(F.col("p_partkey").alias("component"), F.col("p_retailprice").alias("price"),
+                                                 F.when(F.col("p_partkey") % 97 > 0, F.col("p_size")).alias("size"))
+    out = composition_stats_sparse(lines, props, ["price", "size"], weight_col="qty", normalize=True)
+    return _round_all(out, ["entity_id"])
+
+
 def q_composition_stats_filled(spark, sf):
     """A property with gaps, filled from the component before inside the atomic statistics."""
     price = F.when(F.col("component") % 7 > 0, F.col("min_price"))
@@ -538,6 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composition_stats_subset_wide": q_composition_stats_subset_wide,
     "composition_stats_normalized": q_composition_stats_normalized,
     "composition_stats_null_weight": q_composition_stats_null_weight,
+    "composition_stats_many_components": q_composition_stats_many_components,
     "composition_stats_filled": q_composition_stats_filled,
     "composition_stats_float": q_composition_stats_float,
     "rf_model_check": q_rf_model_check,

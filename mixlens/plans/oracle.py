@@ -250,6 +250,21 @@ def oracle_queries() -> dict[str, str]:
         q[f"composition_stats_{name}"] = q[f"composition_stats_{name}_wide"] = stats_sql(props, **options)
     q["composition_stats_normalized"] = stats_sql(props, mix="mix_raw", normalize=True)
     q["composition_stats_null_weight"] = stats_sql(props, mix="mix_null")
+    many = []
+    for p in ("price", "size"):
+        bad = f"count(*) FILTER (WHERE {p} IS NULL) > 0"
+        many += [f"{rnd(f'max({p})')} AS {p}_max", f"{rnd(f'min({p})')} AS {p}_min",
+                 f"{rnd(f'CASE WHEN {bad} THEN NULL ELSE sum(w / t * abs({p} - mean_{p})) END')} AS {p}_std", f"{rnd(f'any_value(mean_{p})')} AS {p}_mean",
+                 f"{rnd(f'max({p}) FILTER (WHERE rk = 1)')} AS {p}_mode1",
+                 rnd(f"CASE WHEN count(*) = 1 THEN (SELECT arg_min(struct_pack(v := {p}), c).v FROM u WHERE c <> any_value(m.c)) "
+                     f"ELSE max({p}) FILTER (WHERE rk = CASE WHEN w2 = w1 THEN 1 ELSE 2 END) END") + f" AS {p}_mode2"]
+    q["composition_stats_many_components"] = (
+        "WITH q AS (SELECT CASE WHEN l_orderkey % 3 > 0 THEN l_orderkey ELSE 0 END AS e, l_partkey AS c, sum(l_quantity) AS w FROM lineitem GROUP BY 1, 2),\n"
+        "u AS (SELECT p_partkey AS c, p_retailprice AS price, CAST(CASE WHEN p_partkey % 97 > 0 THEN p_size END AS DOUBLE) AS size FROM part),\n"
+        "j AS (SELECT q.*, price, size, sum(w) OVER (PARTITION BY e) AS t, row_number() OVER (PARTITION BY e ORDER BY w DESC, c) AS rk FROM q JOIN u USING (c)),\n"
+        "m AS (SELECT *, max(w) OVER (PARTITION BY e) AS w1, max(CASE WHEN rk = 2 THEN w END) OVER (PARTITION BY e) AS w2, "
+        + ", ".join(f"CASE WHEN bool_or({p} IS NULL) OVER (PARTITION BY e) THEN NULL ELSE sum(w * {p}) OVER (PARTITION BY e) / t END AS mean_{p}" for p in ("price", "size"))
+        + " FROM j)\nSELECT e AS entity_id, " + ", ".join(many) + " FROM m GROUP BY e")
     q["composition_stats_filled"] = stats_sql(["price_filled"])
     picked = [f"{p}_{s}" for p in props for s in ("max", "min", "mode1", "mode2")]
     near = [f"true AS {p}_{s}_near" for p in props for s in ("std", "mean")]
