@@ -12,12 +12,13 @@ import json
 import math
 
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from mixlens.operators.composition import property_values, wide_stats_from_values
+from mixlens.operators.properties import forward_fill
 
 
 class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -35,12 +36,14 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
     normalize = Param(Params._dummy(), "normalize", "divide mean and spread by the weight total",
                       TypeConverters.toBoolean)
     asFloat = Param(Params._dummy(), "asFloat", "cast results to 32-bit float", TypeConverters.toBoolean)
+    nullWeight = Param(Params._dummy(), "nullWeight", "NULL and NaN weights: 'zero' counts them as 0, 'error' stops the job",
+                       TypeConverters.toString)
 
     @keyword_only
     def __init__(self, *, componentCols=None, componentIds=None, propertyCols=None, propertyTable=None,
-                 normalize=False, asFloat=False):
+                 normalize=False, asFloat=False, nullWeight="zero"):
         super().__init__()
-        self._setDefault(normalize=False, asFloat=False)
+        self._setDefault(normalize=False, asFloat=False, nullWeight="zero")
         self._set(**self._input_kwargs)
 
     @classmethod
@@ -74,4 +77,42 @@ class CompositionStats(Transformer, DefaultParamsReadable, DefaultParamsWritable
         return wide_stats_from_values(dataset, cols, values,
                                       self.getOrDefault(self.propertyCols),
                                       normalize=self.getOrDefault(self.normalize),
-                                      as_float=self.getOrDefault(self.asFloat))
+                                      as_float=self.getOrDefault(self.asFloat), null_weight=self.getOrDefault(self.nullWeight))
+
+
+class CompositionStatsModel(CompositionStats, Model):
+    """What ``CompositionStatsFit`` has fitted: the stage with the (filled) property values it read."""
+
+
+class CompositionStatsFit(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """R1 + A9 as an estimator: ``fit`` reads the property table and fills its gaps, the model holds the values.
+
+    The property table is named by its Parquet path, so that the estimator can be saved and loaded in a
+    ``Pipeline`` before it is fitted. With ``fill`` a gap takes the value of the component before it in the whole
+    table, not only among the weight columns.
+    """
+
+    propertyPath = Param(Params._dummy(), "propertyPath", "Parquet path of the property table", TypeConverters.toString)
+    componentKey = Param(Params._dummy(), "componentKey", "its column of component ids", TypeConverters.toString)
+    fill = Param(Params._dummy(), "fill", "fill gaps from the component before", TypeConverters.toBoolean)
+    componentCols, componentIds, propertyCols = (getattr(CompositionStats, p) for p in ("componentCols", "componentIds", "propertyCols"))
+    normalize, asFloat, nullWeight = (getattr(CompositionStats, p) for p in ("normalize", "asFloat", "nullWeight"))
+
+    @keyword_only
+    def __init__(self, *, propertyPath=None, componentKey="component", fill=False, componentCols=None, componentIds=None,
+                 propertyCols=None, normalize=False, asFloat=False, nullWeight="zero"):
+        super().__init__()
+        self._setDefault(componentKey="component", fill=False, normalize=False, asFloat=False, nullWeight="zero")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> CompositionStatsModel:
+        key, names = self.getOrDefault(self.componentKey), self.getOrDefault(self.propertyCols)
+        cols = self.getOrDefault(self.componentCols)
+        table = dataset.sparkSession.read.parquet(self.getOrDefault(self.propertyPath)).select(key, *names)
+        if self.getOrDefault(self.fill):
+            table = forward_fill(table, names, key)
+        ids = self.getOrDefault(self.componentIds) if self.isDefined(self.componentIds) else [int(c) for c in cols]
+        _, values = property_values(table.where(table[key].isin(ids)), names, key)
+        kept = {p: self.getOrDefault(getattr(self, p)) for p in ("normalize", "asFloat", "nullWeight")}
+        model = CompositionStatsModel.from_values(values, names, dict(zip(ids, cols)), **kept)
+        return model.setParent(self) if hasattr(model, "setParent") else model

@@ -1,8 +1,9 @@
 """Target range, equal-width bins and strata.
 
-The range is one aggregate used as a scalar subquery: Spark runs it once and
-feeds the two values into the projection as constants, so there is no driver
-round trip and no join against the data.
+The edges are one aggregate used as a scalar subquery: Spark runs it once and
+feeds the values into the projection as constants, so there is no driver
+round trip and no join against the data. ``mixlens.ml.binning`` holds the same
+bins as a fitted model, for use on other tables.
 """
 
 from __future__ import annotations
@@ -21,11 +22,6 @@ def target_range(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
 
 
-def range_subquery(df: DataFrame, col: str) -> Column:
-    """struct<lo, hi> of ``col`` as a scalar subquery column."""
-    return target_range(df, col).select(F.struct("lo", "hi").alias("r")).scalar()
-
-
 def equal_width_edges(lo: Column, hi: Column, n: int) -> list[Column]:
     """M1: edge_i = lo + (hi - lo) * i / n, i = 0..n (the reference's arithmetic order)."""
     return [lo + (hi - lo) * F.lit(float(i)) / F.lit(float(n)) for i in range(n + 1)]
@@ -45,6 +41,23 @@ def bin_label(x: Column, edges: list[Column]) -> Column:
     return expr
 
 
+def inner_edges_subquery(df: DataFrame, col: str, n: int) -> Column:
+    """The edges between the bins, edge_1 .. edge_(n-1), as one scalar subquery (an array; NULL without a finite value)."""
+    r = target_range(df, col)
+    edges = equal_width_edges(F.col("lo"), F.col("hi"), n)[1:-1]
+    return r.select(F.when(F.col("lo").isNotNull(), F.array(*edges) if edges else F.array().cast("array<double>")).alias("e")).scalar()
+
+
+def count_label(x: Column, inner: Column, n: int) -> Column:
+    """M2 for every value of the range: the number of inner edges at or below it, '0'..'n-1'; NULL for NULL and NaN.
+
+    The same bins as ``bin_label`` gives values in the range; those outside get the label of the end bin on their side.
+    Each edge is named once, so filters that Spark pushes below the label copy little.
+    """
+    below = sum(((x >= inner[k]).cast("int") for k in range(n - 1)), F.lit(0))
+    return F.when(x.isNotNull() & ~F.isnan(x), below.cast("string"))
+
+
 def equal_width_bins(df: DataFrame, col: str, n: int = 5, label_col: str | None = None,
                      null_label: str | None = None) -> DataFrame:
     """Add a string bin label of ``col`` over ``n`` equal-width bins of its range.
@@ -53,11 +66,7 @@ def equal_width_bins(df: DataFrame, col: str, n: int = 5, label_col: str | None
     and NaN get ``null_label``.
     """
     label_col = label_col or f"{col}_stratified_label"
-    r = range_subquery(df, col)
-    edges = [*equal_width_edges(r["lo"], r["hi"], n)[:-1], r["hi"]]
-    x = F.col(col).cast("double")
-    inside = F.when(F.isnan(x), F.lit(None)).otherwise(F.least(F.greatest(x, r["lo"]), r["hi"]))
-    label = bin_label(F.when(x.isNotNull(), inside), edges)
+    label = count_label(F.col(col).cast("double"), inner_edges_subquery(df, col, n), n)
     return df.withColumn(label_col, label if null_label is None else F.coalesce(label, F.lit(null_label)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 _FIXED = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
@@ -23,11 +23,16 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str = "table") -> list[Row]
     return rows
 
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes (bounded check)."""
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row of ``df`` takes."""
     fixed = sum(8 for _, t in df.dtypes if t in _FIXED)
     varying = [F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c, t in df.dtypes if t not in _FIXED]
-    width = sum(varying, F.lit(fixed + 8))
+    return sum(varying, F.lit(fixed + 8))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes (bounded check)."""
+    width = row_bytes(df)
     r = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).collect()[0]
     return r["n"] <= max_rows and r["b"] <= max_bytes
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mixlens.operators.joins import lookup_join, row_bytes
+from mixlens.sinks import scratch_table
+
 # Electron capacity of each subshell letter.
 SUBSHELL_CAPACITY = {"s": 2, "p": 6, "d": 10, "f": 14}
 
@@ -43,13 +46,13 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[st
 
     Leading NULLs stay NULL; NULL keys come first. Rows with equal keys are ordered by a
     hash of the key and the filled columns, so the result is the same in every run. With
-    ``partition_by`` (e.g. a property name in a long property table) each partition fills on its own;
-    a partition is one window, so it should be bounded. Without it the whole table is filled
-    over ``n_ranges`` ranges in parallel, whatever its size.
+    ``partition_by`` (e.g. a property name in a long property table) each partition fills on its own:
+    one window each, so they should be bounded, or give ``n_ranges``. Then, as without ``partition_by``, the whole
+    table is filled over ranges in parallel, whatever its size and that of its partitions.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    if not partition_by:
-        return forward_fill_by_ranges(df, cols, order, n_ranges)
+    if not partition_by or n_ranges:
+        return forward_fill_by_ranges(df, cols, order, n_ranges, partition_by)
     w = Window.partitionBy(*partition_by).orderBy(*order, _tie(order, cols)) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
@@ -59,54 +62,56 @@ def _tie(order: Sequence[str], cols: Sequence[str]) -> Column:
     return F.xxhash64(*order, *cols)
 
 
-def _range_index(key: Column, edges: list[Column]) -> Column:
-    """Number of ``edges`` (sorted, distinct) that are <= ``key``, as a nested
-    CASE binary search: depth log2(len(edges))."""
-    def search(lo: int, hi: int) -> Column:   # answer in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2               # is key >= edges[mid - 1]?
-        return F.when(key >= edges[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
-    return search(0, len(edges))
-
+#: Size of a range, and ranges that one task carries values over.
+RANGE_BYTES = 128 << 20
+FAN = 1000
 
-#: Rows sampled for each range to place its ends.
-SAMPLE_PER_RANGE = 20
-MAX_RANGES = 1024
 
-
-def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[str],
-                           n_ranges: int | None = None) -> DataFrame:
+def forward_fill_by_ranges(df: DataFrame, cols: Sequence[str], order_by: str | Sequence[str], n_ranges: int | None = None,
+                           partition_by: Sequence[str] = (), fan: int = FAN) -> DataFrame:
     """Forward fill over the whole table, in parallel, for orderable keys of any type.
 
-    The key (the order columns, then a hash that orders equal keys and so splits a key that
-    very many rows share) is cut into ranges at quantiles of a bounded sample
-    (``SAMPLE_PER_RANGE`` rows a range, read on the driver). Each range is filled by its own window
-    task. The last non-NULL value of each range (one small aggregate) is carried into the ranges
-    after it by a window over those few rows, and joined back by broadcast.
+    The table is dealt out by ranges of its keys (``n_ranges``; by default one for every ``RANGE_BYTES``, at least as many
+    as the session has shuffle partitions) and stored with the number of each row's range. Each range is filled by its own
+    window task. Its last non-NULL value (one small aggregate) is carried into the ranges after it, level by level: over
+    ``fan`` ranges by a window, over the groups of ``fan`` ranges by the next level, so the number of ranges has no bound.
+    Rows with equal keys and values do not depend on one another's order; they are split like any others.
     """
-    spark = df.sparkSession
-    order = [order_by] if isinstance(order_by, str) else list(order_by)
-    n = min(MAX_RANGES, int(n_ranges or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    keyed = df.withColumn("__tie", _tie(order, cols))
-    names = [*order, "__tie"]
-    sample = keyed.select(*names).orderBy(F.rand(7)).limit(n * SAMPLE_PER_RANGE)
-    ranked = sorted(sample.distinct().collect(), key=lambda r: tuple((v is not None, v) for v in r))
-    ends = ranked[SAMPLE_PER_RANGE // 2::SAMPLE_PER_RANGE] if len(ranked) > n else ranked[1:]
-    types = [keyed.schema[c].dataType for c in names]
-    edges = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, types))]) for r in ends]
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)])
-    b = keyed.withColumn("__r", _range_index(key, edges).cast("int"))
-    inside = Window.partitionBy("__r").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = b.withColumns({c: F.last(F.col(c), ignorenulls=True).over(inside) for c in cols})
+    order, group = [order_by] if isinstance(order_by, str) else list(order_by), list(partition_by)
+    if not n_ranges:
+        size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+        n_ranges = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    keyed = df.withColumns({"__tie": _tie(order, cols), "__row": F.monotonically_increasing_id()})
+    ranged = keyed.repartitionByRange(n_ranges, *group, *order, "__tie", "__row").withColumn("__r", F.spark_partition_id().cast("long"))
+    ranged = scratch_table(ranged.drop("__row"), "ffill-ranges").withColumn("__of", F.struct("__r", *group))
+    inside = Window.partitionBy("__r", *group).orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = ranged.withColumns({c: F.last(F.col(c), ignorenulls=True).over(inside) for c in cols})
     # Last non-NULL value of each range: max over (key, value) structs, NULL values skipped.
-    lasts = b.groupBy("__r").agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(key.alias("k"), F.col(c).alias("v"))))["v"]
-        .alias(f"__last_{c}") for c in cols])
-    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    carries = lasts.select("__r", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}")
-                                    for c in cols])
-    # At most MAX_RANGES rows: a proven bound for the broadcast.
-    out = filled.join(F.broadcast(carries), "__r", "left")
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in cols}) \
-        .drop("__r", "__tie", *[f"__carry_{c}" for c in cols])
+    key = F.struct(*order, "__tie")
+    lasts = ranged.groupBy("__r", *group).agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(key.alias("k"), F.col(c).alias("v"))))["v"].alias(f"__last{i}")
+        for i, c in enumerate(cols)])
+    carried = _carried(scratch_table(lasts, "ffill-lasts"), group, len(cols), n_ranges, fan)
+    carried = carried.select(F.struct("__r", *group).alias("__of"), *[f"__carry{i}" for i in range(len(cols))])
+    out = lookup_join(filled, carried, "__of", "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__carry{i}")) for i, c in enumerate(cols)})
+    return out.select(*df.columns)
+
+
+def _carried(lasts: DataFrame, group: list[str], n_cols: int, n: int, fan: int) -> DataFrame:
+    """(__r, group, __carry0, ...): the last value before each of the ``n`` ranges."""
+    names = [(f"__last{i}", f"__carry{i}") for i in range(n_cols)]
+
+    def before(*keys: str) -> list[Column]:
+        w = Window.partitionBy(*group, *keys).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+        return [F.last(last, ignorenulls=True).over(w).alias(carry) for last, carry in names]
+
+    if n <= fan:
+        return lasts.select("__r", *group, *before())
+    of = lasts.withColumn("__s", F.floor(F.col("__r") / fan).cast("long"))
+    tops = of.groupBy(F.col("__s").alias("__r"), *group).agg(*[
+        F.max(F.when(F.col(last).isNotNull(), F.struct(F.col("__r"), F.col(last).alias("v"))))["v"].alias(last) for last, _ in names])
+    above = _carried(tops, group, n_cols, -(-n // fan), fan)
+    above = above.select(F.struct(F.col("__r"), *group).alias("__up"), *[F.col(c).alias(f"{c}_up") for _, c in names])
+    near = of.select("__r", *group, F.struct(F.col("__s").alias("__r"), *group).alias("__up"), *before("__s"))
+    return near.join(above, "__up", "left").select("__r", *group, *[F.coalesce(c, f"{c}_up").alias(c) for _, c in names])

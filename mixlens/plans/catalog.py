@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from mixlens.functions.composition import STAT_NAMES
 from mixlens.functions.ratios import nbo_t
 from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline, vector_columns
-from mixlens.ml.transformers import CompositionStats
+from mixlens.ml.binning import EqualWidthBinner
+from mixlens.ml.transformers import CompositionStats, CompositionStatsFit
 from mixlens.operators import binning, split, text
 from mixlens.operators.composition import (atomic_property_stats, composition_stats_long, composition_stats_wide, long_to_wide,
                                            pack_components, pack_stats, present_components,
                                            property_lookup, property_values, stat_columns)
 from mixlens.operators.sparse_stats import composition_stats_sparse
 from mixlens.operators.metrics import regression_metrics
-from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill
+from mixlens.operators.properties import ELECTRON_PROPERTIES, electron_shells, forward_fill, forward_fill_by_ranges
 from mixlens.plans import oracle as O
 from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_amounts, mix_long, part_property, property_table
 from mixlens.session import scratch_path
@@ -181,6 +182,13 @@ def q_property_ffill(spark, sf):
     return forward_fill(table, ["price_filled"], "p_partkey")
 
 
+def q_property_ffill_brands(spark, sf):
+    """The same gaps filled within each brand, over more ranges than one task carries."""
+    price = F.when(F.col("p_partkey") % 7 > 3, F.col("p_retailprice"))
+    table = read_table(spark, sf, "part").select("p_brand", "p_partkey", price.alias("price_filled"))
+    return forward_fill_by_ranges(table, ["price_filled"], "p_partkey", n_ranges=60, partition_by=["p_brand"], fan=8)
+
+
 # ------------------------------------------------- binning, sampling and split
 
 def _orders_binned(spark, sf):
@@ -199,6 +207,40 @@ def q_equal_width_bins(spark, sf):
     return _orders_binned(spark, sf)
 
 
+def _signed_orders(spark, sf):
+    """Orders with a signed value, some NULL, on the train or test side."""
+    x = F.when(F.col("o_custkey") % 7 > 0, F.col("o_totalprice") / 3.0 - F.lit(54225.890941973405))
+    orders = read_table(spark, sf, "orders").select("o_orderkey", x.alias("x"))
+    return split.train_test_split(orders, ["o_orderkey"], TEST_SIZE)
+
+
+def q_binner_model(spark, sf):
+    """Bins learned on the train side, saved and loaded in a pipeline, on the test side stretched beyond the range."""
+    from pyspark.ml import Pipeline, PipelineModel
+    rows = _signed_orders(spark, sf)
+    binners = [EqualWidthBinner(inputCol="x", outputCol=how, numBins=N_BINS, outside=how, nullLabel="none") for how in ("end", "null")]
+    untrained, trained = scratch_path(spark, "binner"), scratch_path(spark, "binner_model")
+    Pipeline(stages=binners).write().overwrite().save(untrained)
+    Pipeline.load(untrained).fit(rows.where("split = 'train'")).write().overwrite().save(trained)
+    test = rows.where("split = 'test'").withColumn("x", F.col("x") * F.lit(1.25))
+    return PipelineModel.load(trained).transform(test).select("o_orderkey", "x", F.col("end").alias("at_end"), F.col("null").alias("inside"))
+
+
+def q_fitted_stats(spark, sf):
+    """Estimators that read and fill the property table when fitted, saved and loaded before and after."""
+    from pyspark.ml import Pipeline, PipelineModel
+    path = scratch_path(spark, "properties")
+    price = F.when(F.col("component") % 7 > 0, F.col("min_price"))
+    write_parquet(property_table(spark, sf).withColumn("price_filled", price), path)
+    fits = [CompositionStatsFit(propertyPath=path, propertyCols=[p], componentCols=WEIGHT_COLS, fill=p == "price_filled") for p in ("s_filled", "price_filled")]
+    untrained, trained = scratch_path(spark, "stats_fit"), scratch_path(spark, "stats_fit_model")
+    wide = _wide_mix(spark, sf)
+    Pipeline(stages=fits).write().overwrite().save(untrained)
+    Pipeline.load(untrained).fit(wide).write().overwrite().save(trained)
+    out = PipelineModel.load(trained).transform(wide)
+    return _round_all(out.select("entity_id", *_stats_cols(["s_filled", "price_filled"])), ["entity_id"])
+
+
 def q_distinct_strata(spark, sf):
     return binning.distinct_strata(_orders_binned(spark, sf), "stratum")
 
@@ -530,8 +572,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "property_table": q_property_table,
     "electron_shells": q_electron_shells,
     "property_ffill": q_property_ffill,
+    "property_ffill_brands": q_property_ffill_brands,
     "target_range": q_target_range,
     "equal_width_bins": q_equal_width_bins,
+    "binner_model": q_binner_model,
+    "fitted_stats": q_fitted_stats,
     "distinct_strata": q_distinct_strata,
     "stratified_fractions": q_stratified_fractions,
     "sample_by_hash": q_sample_by_hash,

@@ -213,6 +213,9 @@ def oracle_queries() -> dict[str, str]:
         "SELECT p_partkey, price_raw, last_value(price_raw IGNORE NULLS) OVER "
         "(ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_filled FROM t")
 
+    q["property_ffill_brands"] = (
+        "SELECT p_brand, p_partkey, last_value(CASE WHEN p_partkey % 7 > 3 THEN p_retailprice END IGNORE NULLS) OVER "
+        "(PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_filled FROM part")
     q["target_range"] = ("SELECT min(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS lo, "
                          "max(o_totalprice) FILTER (WHERE NOT isnan(o_totalprice)) AS hi FROM orders")
     binned = "WITH " + _binned_cte() + "\n"
@@ -246,6 +249,14 @@ def oracle_queries() -> dict[str, str]:
     q["sample_by_seeded_share"] = binned + "SELECT stratum, count(*) AS n, true AS share_ok FROM binned GROUP BY stratum"
     q["equal_width_bins_signed"] = _bins(
         "CASE WHEN o_custkey % 7 > 0 THEN o_totalprice / CAST(3 AS DOUBLE) - CAST('54225.890941973405' AS DOUBLE) END", "'none'")
+    below = " + ".join(f"CAST({{v}} >= lo + (hi - lo) * CAST({k} AS DOUBLE) / CAST(5 AS DOUBLE) AS INTEGER)" for k in range(1, 5))
+    q["binner_model"] = (
+        "WITH t AS (SELECT o_orderkey, CASE WHEN o_custkey % 7 > 0 THEN o_totalprice / CAST(3 AS DOUBLE) - CAST('54225.890941973405' AS DOUBLE) END AS x, "
+        + HASH_TRAIN.format(key="o_orderkey") + " AS train FROM orders),\n"
+        "r AS (SELECT min(x) AS lo, max(x) AS hi FROM t WHERE train),\ny AS (SELECT o_orderkey, x * CAST(1.25 AS DOUBLE) AS x FROM t WHERE NOT train)\n"
+        f"SELECT o_orderkey, x, CASE WHEN x IS NULL THEN 'none' ELSE CAST({below.format(v='x')} AS VARCHAR) END AS at_end, "
+        f"CASE WHEN x IS NULL OR x < lo OR x > hi THEN 'none' ELSE CAST({below.format(v='x')} AS VARCHAR) END AS inside FROM y, r")
+    q["fitted_stats"] = stats_sql(["s_filled", "price_filled"])
     for name, options in (("unknown", {"known": "{c} % 7 > 0"}), ("subset", {"universe": SUBSET})):
         q[f"composition_stats_{name}"] = q[f"composition_stats_{name}_wide"] = stats_sql(props, **options)
     q["composition_stats_normalized"] = stats_sql(props, mix="mix_raw", normalize=True)

@@ -58,3 +58,49 @@ def test_composition_stage_with_named_columns(spark):
     Pipeline(stages=[stage]).fit(wide).write().overwrite().save(path)
     row = PipelineModel.load(path).transform(wide).collect()[0]
     assert row["s_mean"] == pytest.approx(0.6 * 2 + 0.3 * 2 + 0.1 * 1) and row["s_min"] == 1.0
+
+
+def test_binner_outside_labels_and_round_trip(spark, tmp_path):
+    from mixlens.ml.binning import EqualWidthBinner, EqualWidthBinnerModel
+    inf, nan = float("inf"), float("nan")
+    train = spark.createDataFrame([(0.0,), (10.0,), (None,), (nan,), (inf,)], "x double")
+    test = spark.createDataFrame([(-1.0,), (0.0,), (2.0,), (9.99,), (10.0,), (11.0,), (inf,), (-inf,), (nan,), (None,)], "x double")
+    model = EqualWidthBinner(inputCol="x", outputCol="b", nullLabel="?").fit(train)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    loaded = EqualWidthBinnerModel.load(str(tmp_path / "m"))
+    assert loaded.getOrDefault(loaded.edges) == [0.0, 2.0, 4.0, 6.0, 8.0, 10.0]
+    assert [r["b"] for r in loaded.transform(test).collect()] == ["0", "0", "1", "4", "4", "4", "4", "0", "?", "?"]
+    inner = EqualWidthBinner(inputCol="x", outputCol="b", outside="null").fit(train)
+    assert [r["b"] for r in inner.transform(test).collect()] == [None, "0", "1", "4", "4", None, None, None, None, None]
+    assert [tuple(r) for r in inner.edge_table(spark).limit(1).collect()] == [("0", 0.0, 2.0)]
+    with pytest.raises(Exception, match="outside the fitted range"):
+        EqualWidthBinner(inputCol="x", outputCol="b", outside="error").fit(train).transform(test).collect()
+    with pytest.raises(ValueError, match="outside must be"):
+        EqualWidthBinner(inputCol="x", outputCol="b", outside="drop").fit(train)
+
+
+def test_binner_without_finite_values_and_equal_to_the_plan(spark):
+    from mixlens.ml.binning import EqualWidthBinner
+    from mixlens.operators.binning import equal_width_bins
+    none = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert {r["b"] for r in EqualWidthBinner(inputCol="x", outputCol="b").fit(none).transform(none).collect()} == {None}
+    df = spark.range(4000).selectExpr("(id * 7919 % 1009) / 3.0D - 77.1D as x")
+    for n in (1, 2, 5, 13):
+        both = equal_width_bins(EqualWidthBinner(inputCol="x", outputCol="a", numBins=n).fit(df).transform(df), "x", n, "b")
+        assert both.where("a <> b or a is null or b is null").count() == 0
+
+
+def test_stats_estimator_fills_from_the_whole_table(spark, tmp_path):
+    from mixlens.ml.transformers import CompositionStatsFit, CompositionStatsModel
+    path = str(tmp_path / "props")
+    spark.createDataFrame([(1, 10.0), (2, 20.0), (3, None), (4, 40.0)], "z int, p double").write.parquet(path)
+    df = spark.createDataFrame([(50.0, 50.0), (None, 100.0)], "a double, b double")
+    fit = CompositionStatsFit(propertyPath=path, componentKey="z", propertyCols=["p"], componentCols=["a", "b"], componentIds=[1, 3], fill=True)
+    model = fit.fit(df)  # component 3 takes the value of 2, which has no weight column
+    model.write().overwrite().save(str(tmp_path / "m"))
+    rows = CompositionStatsModel.load(str(tmp_path / "m")).transform(df).collect()
+    assert [(r["p_mean"], r["p_min"], r["p_max"]) for r in rows] == [(15.0, 10.0, 20.0), (20.0, 20.0, 20.0)]
+    with pytest.raises(Exception, match="NULL or NaN"):
+        fit.copy({fit.nullWeight: "error"}).fit(df).transform(df).collect()
+    gaps = fit.copy({fit.fill: False}).fit(df).transform(df).collect()
+    assert [r["p_mean"] for r in gaps] == [None, None]

@@ -117,9 +117,28 @@ def test_forward_fill_by_ranges_carries_over_empty_ranges(spark):
         assert got[0] is None and got[1] == 5.0 and got[50] == 5.0 and got[94] == 5.0 and got[99] == 9.0
 
 
-def test_range_index_binary_search(spark):
-    from mixlens.operators.properties import _range_index
-    edges = [2.0, 5.0, 9.0]
-    df = spark.createDataFrame([(x,) for x in (0.0, 2.0, 3.0, 5.0, 8.9, 9.0, 100.0)], "k double")
-    got = [r[0] for r in df.select(_range_index(F.col("k"), [F.lit(e) for e in edges])).collect()]
-    assert got == [0, 1, 1, 2, 2, 3, 3]
+def test_forward_fill_over_ranges_of_ranges(spark):
+    from mixlens.operators.properties import forward_fill_by_ranges
+    rows = [(k, f"{k}" if k % 1900 == 7 else None, 1.0 if k == 3 else None) for k in range(12_000)]
+    df = spark.createDataFrame(rows, "k long, v string, x double")
+
+    def filled(n, fan):
+        return sorted(map(tuple, forward_fill_by_ranges(df, ["v", "x"], "k", n_ranges=n, fan=fan).collect()))
+
+    want, v, x = [], None, None
+    for k, new_v, new_x in rows:
+        v, x = new_v or v, new_x or x
+        want.append((k, v, x))
+    assert filled(8, 1000) == want
+    assert filled(300, 5) == want  # four levels
+    assert filled(5000, 64) == want
+
+
+def test_forward_fill_of_large_partitions_and_equal_rows(spark):
+    rows = [("hot", 5, 1.5)] * 700 + [("hot", k, 0.5 if k == 2 else None) for k in range(300)] + [(None, 1, None), (None, 2, 7.0), (None, 3, None)] \
+        + [(f"p{k % 9}", k, float(k) if k % 4 == 0 else None) for k in range(90)]
+    df = spark.createDataFrame(rows, "p string, k int, v double")
+    want = sorted(map(tuple, forward_fill(df, ["v"], "k", ["p"]).collect()), key=repr)
+    for n in (6, 50):
+        assert sorted(map(tuple, forward_fill(df, ["v"], "k", ["p"], n_ranges=n).collect()), key=repr) == want
+    assert forward_fill(df.limit(0), ["v"], "k").count() == 0
