@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mixlens.functions.composition import STAT_NAMES
 from mixlens.functions.ratios import nbo_t
-from mixlens.ml.regression import assemble, fit_save_load, regression_pipeline, vector_columns
+from mixlens.ml.regression import assemble, evaluate_rmse, fit_save_load, regression_pipeline, vector_columns
 from mixlens.ml.binning import EqualWidthBinner
 from mixlens.ml.transformers import CompositionStats, CompositionStatsFit
 from mixlens.operators import binning, split, text
@@ -29,9 +29,10 @@ from mixlens.plans import oracle as O
 from mixlens.plans.inputs import UNIVERSE, WEIGHT_COLS, mix_amounts, mix_long, part_property, property_table
 from mixlens.session import scratch_path
 from mixlens.operators.joins import lookup_join
-from mixlens.sinks import append_metrics, write_parquet, write_split, write_text
+from mixlens.sinks import append_metrics, scratch_table, write_parquet, write_split, write_text
 from mixlens.sources.elements import element_table
-from mixlens.sources.files import read_lines, read_table, read_typed_csv, schema_from_json
+from mixlens.sources.element_source import register
+from mixlens.sources.files import read_csv_checked, read_lines, read_table, read_typed_csv, schema_from_json
 from mixlens.streaming.composition import run_stats_stream
 
 # Fixed parameters of the registered queries.
@@ -291,6 +292,16 @@ def q_except_distinct(spark, sf):
     return split.except_distinct(rows, sample)
 
 
+def q_except_distinct_wide(spark, sf):
+    """120 columns: orders with 114 derived ones, some NULL, each third order twice, less those of the sample."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    wide = orders.select("*", *[F.when(F.col("o_custkey") % (k + 2) > 0, F.col("o_orderkey") % F.lit(k + 3)).alias(f"x{k}") for k in range(115)])
+    rows = scratch_table(wide.unionByName(wide.where("o_orderkey % 3 = 0")), "wide-orders")
+    left = split.except_distinct_wide(rows, split.sample_by_hash(rows, ["o_orderkey"], None, 1.0 - TEST_SIZE), verify=True)
+    digits = F.concat_ws(",", *[F.coalesce(F.col(f"x{k}").cast("string"), F.lit("-")) for k in range(115)])
+    return left.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", F.md5(digits).alias("derived"))
+
+
 def q_train_test_split(spark, sf):
     return split.train_test_split(_orders_binned(spark, sf), ["o_orderkey"], TEST_SIZE) \
         .select("o_orderkey", "stratum", "split")
@@ -424,6 +435,56 @@ def q_csv_scan_typed(spark, sf):
     return read_typed_csv(spark, path, schema_from_json(ORDERS_SCHEMA_JSON))
 
 
+#: The raw orders file of the checked scan, with a timestamp.
+RAW_ORDERS_JSON = {"type": "struct", "fields": [
+    {"name": n, "type": t, "nullable": True, "metadata": {}}
+    for n, t in (("o_orderkey", "long"), ("o_custkey", "integer"), ("note", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp"))]}
+
+
+def _checked_orders(spark, sf):
+    """Orders as CSV lines with quotes and commas, empty fields, texts for numbers, a month 13 and lines cut short."""
+    key, text = F.col("o_orderkey"), lambda c: F.col(c).cast("string")
+    quoted = F.concat(F.lit('"say ""'), F.col("o_orderstatus"), F.lit('"", ok"'))
+    note = F.when(key % 4 == 0, quoted).when(key % 4 == 3, F.lit("")).otherwise(F.col("o_orderstatus"))
+    price = F.when(key % 50 == 7, F.lit("n/a")).when(key % 11 == 0, F.lit("")).otherwise(text("o_totalprice"))
+    when = F.when(key % 70 == 3, F.lit("2024-13-45 00:00:00")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    start = F.concat_ws(",", text("o_orderkey"), text("o_custkey"), note, price)
+    line = F.when(key % 90 == 5, start).otherwise(F.concat_ws(",", start, when))
+    path = scratch_path(spark, "raw_orders")
+    write_text(read_table(spark, sf, "orders").select(line.alias("line")), "line", path)
+    return read_csv_checked(spark, path, schema_from_json(RAW_ORDERS_JSON), header=False, options={"timestampFormat": "yyyy-MM-dd HH:mm:ss"})
+
+
+def q_csv_rows(spark, sf):
+    rows = _checked_orders(spark, sf).rows
+    return rows.select("o_orderkey", "o_custkey", "note", "o_totalprice", F.unix_timestamp("o_orderdate").alias("ordered_at"))
+
+
+def q_csv_rejects(spark, sf):
+    rejects = _checked_orders(spark, sf).rejects
+    return rejects.select("line", "wrong_fields", F.array_join("bad_columns", ";").alias("bad_columns"))
+
+
+def q_metrics_rerun(spark, sf):
+    """Two runs' metrics, one of the runs done twice, another with no rows the second time."""
+    lines = _lines(spark, sf)
+    path = scratch_path(spark, "metrics_runs")
+    for run, limit in (("first", 1e9), ("second", 30_000.0), ("gone", 1e9), ("first", 1e9), ("gone", None)):
+        kept = lines.where(F.col(RF_LABEL) < F.lit(limit))
+        means = kept.groupBy("l_returnflag").agg(F.avg(RF_LABEL).alias("prediction"))
+        m = regression_metrics(lookup_join(kept, means, "l_returnflag"), RF_LABEL).where("n > 0")
+        append_metrics(m.select("n", rnd4("rmse").alias("rmse"), rnd4("mae").alias("mae")), path, run_id=run)
+    return spark.read.parquet(path)
+
+
+def q_element_source(spark, sf):
+    """The property table from the data source by its name, in four tasks."""
+    register(spark)
+    elements = spark.read.format("mixlens_elements").option("partitions", 4).load()
+    shells = electron_shells(elements).join(part_property(spark, sf), "component", "left")
+    return shells.select("component", "electronic_configuration", *ELECTRON_PROPERTIES, "min_price")
+
+
 def q_word_count(spark, sf):
     docs = read_table(spark, sf, "documents").select("text")
     return text.word_count(docs, "text", multiline=True)
@@ -486,6 +547,27 @@ def q_rf_model_check(spark, sf):
                        F.col("prediction").between(r["lo"], r["hi"]).alias("within"))
 
 
+#: The forest's error on held-out rows is at most this share of that of the training mean.
+RF_SHARE = 0.25
+#: A label that depends on its features (the line's price alone does not depend on quantity, discount and tax).
+CHARGE_FEATURES = ["l_extendedprice", "l_discount", "l_tax"]
+
+
+def q_rf_quality(spark, sf):
+    """The forest against the constant mean on held-out rows, and Spark's evaluator against the SQL figure."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    lines = split.train_test_split(_lines(spark, sf).withColumn("charge", charge), ["l_orderkey"], TEST_SIZE)
+    train, test = lines.where("split = 'train'"), lines.where("split = 'test'")
+    model = fit_save_load(regression_pipeline(CHARGE_FEATURES, "charge", seed=SEED), train, scratch_path(spark, "rf_quality"))
+    pred = scratch_table(model.transform(test).select("charge", "prediction"), "rf_predictions")
+    mean = train.agg(F.avg("charge")).first()[0]
+    rmse = evaluate_rmse(pred, "charge")
+    both = pred.agg(F.count("*").alias("n"), F.sqrt(F.avg((F.col("prediction") - F.col("charge")) ** 2)).alias("sql"),
+                    F.sqrt(F.avg((F.lit(mean) - F.col("charge")) ** 2)).alias("constant"))
+    return both.select("n", (F.abs(F.col("sql") - F.lit(rmse)) <= F.lit(1e-9) * F.col("sql")).alias("evaluator_same"),
+                       (F.col("sql") <= F.lit(RF_SHARE) * F.col("constant")).alias("beats_mean"))
+
+
 # --------------------------------------------- end-to-end jobs (ETL, training)
 
 def _mix_schema_json() -> dict:
@@ -585,6 +667,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_exact_rates": q_sample_exact_rates,
     "sample_by_seeded": q_sample_by_seeded,
     "except_distinct": q_except_distinct,
+    "except_distinct_wide": q_except_distinct_wide,
     "train_test_split": q_train_test_split,
     "split_roundtrip": q_split_roundtrip,
     "train_test_split_null_keys": q_train_test_split_null_keys,
@@ -600,7 +683,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composition_stats_filled": q_composition_stats_filled,
     "composition_stats_float": q_composition_stats_float,
     "rf_model_check": q_rf_model_check,
+    "rf_quality": q_rf_quality,
     "csv_scan_typed": q_csv_scan_typed,
+    "csv_rows": q_csv_rows,
+    "csv_rejects": q_csv_rejects,
+    "metrics_rerun": q_metrics_rerun,
+    "element_source": q_element_source,
     "word_count": q_word_count,
     "text_scan_word_count": q_text_scan_word_count,
     "vector_assemble": q_vector_assemble,

@@ -236,6 +236,10 @@ def oracle_queries() -> dict[str, str]:
     q["sample_exact_rates"] = rates + "SELECT o_orderkey, stratum FROM r WHERE rk <= round(rate * n)"
     q["except_distinct"] = (binned + "SELECT o_orderkey, stratum FROM binned EXCEPT "
                             f"SELECT o_orderkey, stratum FROM binned WHERE {_sample_where()}")
+    derived = " || ',' || ".join(f"coalesce(CAST(CASE WHEN o_custkey % {k + 2} > 0 THEN o_orderkey % {k + 3} END AS VARCHAR), '-')" for k in range(115))
+    q["except_distinct_wide"] = (
+        f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, md5({derived}) AS derived FROM orders WHERE NOT ("
+        + HASH_TRAIN.format(key="o_orderkey") + ")")
     q["train_test_split"] = (binned + "SELECT o_orderkey, stratum, CASE WHEN "
                              + HASH_TRAIN.format(key="o_orderkey")
                              + " THEN 'train' ELSE 'test' END AS split FROM binned")
@@ -287,7 +291,23 @@ def oracle_queries() -> dict[str, str]:
                              + HASH_TRAIN.format(key="o_orderkey") + ")")
     q["rf_model_check"] = ("SELECT l_orderkey, l_linenumber, l_extendedprice, true AS same, true AS within FROM lineitem WHERE NOT ("
                            + HASH_TRAIN.format(key="l_orderkey") + ")")
+    q["rf_quality"] = ("SELECT count(*) AS n, true AS evaluator_same, true AS beats_mean FROM lineitem WHERE NOT ("
+                       + HASH_TRAIN.format(key="l_orderkey") + ")")
     q["csv_scan_typed"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
+    raw = ("WITH t AS (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN 'say \"' || o_orderstatus || '\", ok' WHEN 3 THEN NULL ELSE o_orderstatus END AS note, "
+           "o_orderkey % 50 = 7 AS bad_price, o_orderkey % 70 = 3 AS bad_date, o_orderkey % 90 = 5 AS short FROM orders)\n")
+    q["csv_rows"] = (raw + "SELECT o_orderkey, o_custkey, note, CASE WHEN o_orderkey % 11 > 0 THEN o_totalprice END AS o_totalprice, "
+                     "CAST(epoch(o_orderdate) AS BIGINT) AS ordered_at FROM t WHERE NOT (bad_price OR bad_date OR short)")
+    q["csv_rejects"] = (
+        raw + "SELECT o_orderkey || ',' || o_custkey || ',' || CASE o_orderkey % 4 WHEN 0 THEN '\"say \"\"' || o_orderstatus || '\"\", ok\"' "
+        "WHEN 3 THEN '' ELSE o_orderstatus END || ',' || CASE WHEN bad_price THEN 'n/a' WHEN o_orderkey % 11 = 0 THEN '' ELSE CAST(o_totalprice AS VARCHAR) END "
+        "|| CASE WHEN short THEN '' WHEN bad_date THEN ',2024-13-45 00:00:00' ELSE ',' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS line, "
+        "short AS wrong_fields, concat_ws(';', CASE WHEN bad_price THEN 'o_totalprice' END, CASE WHEN bad_date AND NOT short THEN 'o_orderdate' END) "
+        "AS bad_columns FROM t WHERE bad_price OR bad_date OR short")
+    run = ("SELECT '{name}' AS run_id, count(*) AS n, " + rnd4("sqrt(avg((p - y) * (p - y)))") + " AS rmse, " + rnd4("avg(abs(p - y))")
+           + " AS mae FROM (SELECT l_extendedprice AS y, avg(l_extendedprice) OVER (PARTITION BY l_returnflag) AS p FROM lineitem WHERE l_extendedprice < {limit})")
+    q["metrics_rerun"] = run.format(name="first", limit="1e9") + " UNION ALL " + run.format(name="second", limit="30000")
+    q["element_source"] = q["property_table"]
     q["word_count"] = _word_count("documents")
     q["text_scan_word_count"] = _word_count("(SELECT text FROM documents WHERE text IS NOT NULL)")
     q["vector_assemble"] = ("SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS f_l_quantity, "

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from mixlens.session import scratch_path
 
@@ -21,9 +24,33 @@ def write_split(df: DataFrame, path: str, split_col: str = "split", mode: str =
     df.drop(*drop).write.mode(mode).partitionBy(split_col).parquet(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """K4: append a metrics row set to a Parquet table."""
-    metrics.write.mode("append").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
+    """K4: append a metrics row set to a Parquet table; with ``run_id`` a job run again replaces its own rows."""
+    if run_id is None:
+        metrics.write.mode("append").parquet(path)
+    else:
+        write_run(metrics, path, run_id)
+
+
+_RUN_ID = re.compile(r"[A-Za-z][A-Za-z0-9_.-]*")
+
+
+def write_run(df: DataFrame, path: str, run_id: str, run_col: str = "run_id") -> None:
+    """K1/K4, safe to repeat: the rows of ``run_id`` in the table at ``path`` become those of ``df``.
+
+    The table is partitioned by the run. Spark writes aside and swaps in the run's partition when all tasks are done
+    (dynamic partition overwrite): a job that fails leaves what was there, one that is run again leaves its rows
+    once, and other runs are never touched. A run that gives no rows any more empties its partition.
+    """
+    if not _RUN_ID.fullmatch(run_id):
+        raise ValueError(f"not a run id: {run_id!r} (a letter, then letters, digits, '_', '.', '-')")
+    if run_col in df.columns:
+        raise ValueError(f"the table has a column {run_col!r} already")
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(run_col, F.lit(run_id))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path)
+    if not seen.get["rows"]:
+        df.limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{run_col}={run_id}")
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

@@ -96,8 +96,3 @@ def element_rows(max_z: int = MAX_Z) -> list[tuple[int, str]]:
 def element_table(spark: SparkSession, max_z: int = MAX_Z) -> DataFrame:
     """The element dimension as a DataFrame(component, electronic_configuration)."""
     return spark.createDataFrame(element_rows(max_z), ELEMENT_SCHEMA)
-
-
-def element_values_sql(max_z: int = MAX_Z) -> str:
-    """The same rows as a SQL VALUES list, for oracle queries."""
-    return ", ".join(f"({z}, '{c}')" for z, c in element_rows(max_z))

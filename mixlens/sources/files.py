@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,9 +29,47 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str |
             .option("mode", mode).schema(schema).load(path))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S3: Parquet scan (filters and column selections reach the reader)."""
-    return spark.read.parquet(path)
+class CheckedCsv(NamedTuple):
+    """``rows`` that parsed whole, and ``rejects``: file, line, wrong_fields (their number), bad_columns (that did not parse)."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+RAW = "__raw_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str | Mapping, *, header: bool = True,
+                     sep: str = ",", null_value: str = "", options: Mapping[str, str] | None = None) -> CheckedCsv:
+    """S1 without silent loss: no row with a bad field passes as one with a NULL.
+
+    A row that has too few or too many fields, or a field that is not of its column's type, goes to the rejects
+    as it stands in the file, with the columns at fault. Empty fields are NULL in good rows. Quotes are doubled inside quoted
+    fields. Header names are checked against the schema (a wrong one stops the job). Nothing is gathered: both tables are
+    filters over the same scan, which reads every field of a line, whatever columns are asked for later.
+    """
+    if not isinstance(schema, T.StructType):
+        schema = schema_from_json(schema)
+    how = {"sep": sep, "quote": '"', "escape": '"', "nullValue": null_value, "mode": "PERMISSIVE", **(options or {})}
+    scan = (spark.read.format("csv").options(**how).option("header", str(header).lower()).option("enforceSchema", str(not header).lower())
+            .option("columnNameOfCorruptRecord", RAW)
+            .schema(T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])).load(path))
+    names = schema.fieldNames()
+    # Only fields that a query names are parsed, and so found bad: this condition, which always holds, names all.
+    read = F.xxhash64(*names) >= F.lit(-(1 << 63))
+    rows = scan.where(F.col(RAW).isNull() & read).select(*names)
+
+    texts = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(RAW, T.StringType())])
+    parsed = F.from_csv(F.col(RAW), _ddl(texts), {**how, "columnNameOfCorruptRecord": RAW})
+    bad = scan.where(F.col(RAW).isNotNull() & read).withColumns({"__texts": parsed, "__file": F.col("_metadata.file_path")})
+    lost = [F.when(F.col("__texts")[n].isNotNull() & F.col(n).isNull(), F.lit(n)) for n in names]
+    rejects = bad.select(F.col("__file").alias("file"), F.col(RAW).alias("line"), F.col("__texts")[RAW].isNotNull().alias("wrong_fields"),
+                         F.array_compact(F.array(*lost)).alias("bad_columns"))
+    return CheckedCsv(rows, rejects)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
