@@ -434,27 +434,70 @@ def test_substring_dedup_finds_shared_passages_and_spares_others(spark):
     assert np.mean([len(out[i]) < len(by_id[i]) - 200 for i in range(40, 120)]) > 0.9
 
 
-@pytest.mark.parametrize("length", [24, 51])
-def test_substring_dedup_finds_every_short_passage_to_its_ends(spark, length):
+def brute_spans(rows, at_least):
+    """Per document the runs of words covered by windows of ``at_least`` words that a document of smaller id holds too."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        words = text.split()
+        windows = [tuple(words[j:j + at_least]) for j in range(len(words) - at_least + 1)]
+        inside = sorted({k for j, w in enumerate(windows) if w in seen for k in range(j, j + at_least)})
+        seen |= set(windows)
+        runs = [list(g) for _, g in itertools.groupby(inside, key=lambda k, c=itertools.count(): k - next(c))]
+        out[i] = [[words[k] for k in r] for r in runs]
+    return out
+
+
+@pytest.mark.parametrize("length", [51, 60, 90])
+def test_substring_dedup_finds_passages_to_their_ends(spark, length):
     rng = np.random.default_rng(length)
 
     def prose(n):
         return ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(1, 10))) for _ in range(n)]
 
     rows = []
-    for i in range(300):
-        passage = prose(length)
-        rows += [(i + k, " ".join(prose(int(rng.integers(5, 60))) + passage + prose(int(rng.integers(5, 60))))) for k in (0, 1000)]
+    for i in range(400):
+        passage, short = prose(length), prose(45)  # 45 words are a stock phrase, which stays
+        rows += [(i + k, " ".join(prose(int(rng.integers(5, 60))) + passage + prose(int(rng.integers(5, 60))) + short + prose(3))) for k in (0, 1000)]
+    rows = [(i, t if i % 3 else t.replace(" ", "\n ", 40)) for i, t in rows]  # white space does not matter
     got = {r["doc_id"]: r["spans"] for r in substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    seen = set()
-    for i, text in sorted(rows):
-        words = text.split()
-        windows = [tuple(words[j:j + 24]) for j in range(len(words) - 23)]
-        inside = {k for j, w in enumerate(windows) if w in seen for k in range(j, j + 24)}
-        seen |= set(windows)
-        spans = got[i]
-        assert [text.encode()[s["start"]:s["end"]].decode().split() for s in spans] == ([[words[k] for k in sorted(inside)]] if inside else [])
-        assert len(inside) == sum(s["words"] for s in spans) and (i < 1000 or len(inside) >= length)
+    want, by_id = brute_spans(rows, 51), dict(rows)
+    found = 0
+    for i, spans in got.items():
+        cut = [by_id[i].encode()[s["start"]:s["end"]].decode().split() for s in spans]
+        assert cut in ([], want[i]) and [len(c) for c in cut] == [s["words"] for s in spans]
+        found += len(cut)
+    assert sum(map(len, want.values())) == 400 and found >= 0.99 * 400
+
+
+def test_substring_dedup_of_repeated_rows_many_followers_and_several_sources(spark):
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+
+    a, b, c = prose(80), prose(70), prose(60)
+    rows = [(0, f"{prose(9)} {a} {prose(9)}"), (1, f"{b} {prose(5)}"), (2, c)]
+    rows += [(10 + i, f"{prose(4)} {a} {prose(3)} {b}") for i in range(30)]  # two sources, more followers than a block
+    rows += [(100, f"{prose(7)} {c} {prose(7)}")] * 50 + [(100, f"{c} {prose(9)}")]  # repeated rows, and two texts of one id
+    rows += [(200, f"{a} {b} {c}"), (None, a), (None, a)]
+    for block in (256, 4):
+        got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+        assert len(got) == len(rows)
+        words = defaultdict(set)
+        for r in got:
+            words[r["doc_id"]].add(tuple(s["words"] for s in r["spans"]))
+        assert all(words[i] == {()} for i in (0, 1, 2, None)) and all(words[10 + i] == {(80, 70)} for i in range(30))
+        assert words[100] == {(60,)} and words[200] == {(210,)}
+
+
+def test_chunks_that_cannot_lie_in_a_long_repeat_are_left_out():
+    starts, words = np.arange(0, 400, 40), np.arange(0, 60, 6)
+    none = np.zeros(10, bool)
+    assert not substring_dedup.possible(starts, words, 60, none, 51).any()
+    assert substring_dedup.possible(starts, words, 60, ~none, 51).all() and not substring_dedup.possible(starts, words, 60, ~none, 62).any()
+    held = none.copy()
+    held[4] = True  # between two bars: 6 words, those of the bars, and 16 for the window before
+    assert substring_dedup.possible(starts, words, 60, held, 35).tolist() == held.tolist() and not substring_dedup.possible(starts, words, 60, held, 36).any()
 
 
 def test_substring_edge_cases(edge, empty):
@@ -469,8 +512,11 @@ def test_substring_edge_cases(edge, empty):
 def test_chunks_resist_insertions():
     rng = np.random.default_rng(11)
     text = " ".join(f"w{i}" for i in rng.integers(0, 10_000, 2000))
-    a, b = substring_dedup.chunks([text, "inserted " + text[:3000] + " more " + text[3000:]])
-    assert len(set(a[3]) & set(b[3])) > 0.97 * len(a[3]) and b"".join(a[0][s:e] for s, e in zip([0, *a[1]], a[1])) == a[0]
+    parts = []
+    for raw, ends in substring_dedup.chunks([text, "inserted " + text[:3000] + " more " + text[3000:], "x" * 3000, None]):
+        parts.append([raw[s:e] for s, e in zip(ends[:-1], ends[1:])])
+        assert b"".join(parts[-1]) == raw and all(0 < len(p) <= substring_dedup.MAX_BYTES for p in parts[-1])
+    assert len(set(parts[0]) & set(parts[1])) > 0.97 * len(set(parts[0]))
 
 
 # ---------------------------------------------------------------- quality
