@@ -22,8 +22,9 @@ one pass, and only between documents not yet connected. The links found span the
 components: a linked pair meets, passes the sketch bound, and so is compared or connected.
 
 Equal sets share one identity (a 64-bit digest of the set), so copies are one node. Meetings
-and families above ``block`` members are dealt out as pairs of blocks; so no task
-holds an unbounded group. Wide steps carry chunk keys, not texts.
+and families above ``block`` members, and families above ``BLOCK_SHINGLES`` shingles, are dealt out as pairs of blocks;
+so no task holds an unbounded group. Wide steps carry chunk keys, not texts. Sets are sets of 64-bit shingle hashes:
+``n_shingles`` and the links are exact up to collisions of those.
 
 Cases: NULL, empty or white-space-only texts have an empty set and link with nothing; fewer
 words than a shingle make one shingle of the whole. Repeated rows are copies. A row is told by its id and the
@@ -49,6 +50,8 @@ from mixlens.llm.components import components
 by_value(__name__)
 
 BLOCK = 1024
+#: Shingles of a block of a family: two blocks of sets meet in one task.
+BLOCK_SHINGLES = 1 << 22
 #: Distinct words whose hashes a task keeps; beyond it the table starts anew.
 WORDS_KEPT = 1_000_000
 SIDE = "doc_id long, tid long, n long, sid long, sketch binary, keys array<long>"
@@ -347,10 +350,10 @@ def first_row() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid")
 
 
-def in_blocks(rows: DataFrame, counts: DataFrame, key: str, block: int) -> DataFrame:
-    """Add i, j: groups of up to ``block`` rows stay whole (0, 0); larger ones are cut into
-    blocks, and each row goes to every pair of blocks that holds its own."""
-    b = rows.join(counts.select(key, F.ceil(F.col("members") / block).cast("int").alias("__blocks")), key)
+def in_blocks(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """Add i, j: groups of one block stay whole (0, 0); in others each row goes to every pair of
+    blocks that holds its own. ``counts`` has a group's number of ``blocks``."""
+    b = rows.join(counts.select(key, F.col("blocks").alias("__blocks")), key)
     b = b.withColumn("__own", F.pmod(F.xxhash64("sid"), F.col("__blocks")).cast("int"))
     b = b.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     return b.withColumns({"i": F.least("__own", "__other"), "j": F.greatest("__own", "__other")}) \
@@ -372,28 +375,29 @@ def _rows(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str,
     side = stored(pairs.mapInArrow(signatures(words, percent), SIDE), "ngram-side")
 
     chunks = side.where("n > 0").select("sid", F.explode("keys").alias("key"))
-    # Partial aggregation folds a hot key to one row a task; a key of one set is no meeting.
-    shared = (chunks.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("members"))
-              .where("lo <> hi").select("key", "members"))
-    shared = stored(shared, "ngram-shared")
-    met = stored(chunks.join(shared.select("key"), "key").distinct(), "ngram-met")
-    members = met.groupBy("key").agg(F.count("*").alias("members"))
+    # Partial aggregation folds a hot key to one row a task, of key and count only. A key of copies of one
+    # set counts here too; it is no meeting, which shows once the copies are one.
+    shared = stored(chunks.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "ngram-shared")
+    met = stored(chunks.join(shared, "key").distinct(), "ngram-met")
+    members = met.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("members"))
+    members = members.where("members > 1").drop("members")
     sketches = side.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sketches = sketches.join(met.select("sid").distinct(), "sid")
-    rows = in_blocks(met, members, "key", block).join(sketches, "sid")
+    rows = in_blocks(met, members, "key").join(sketches, "sid")
     maybe = (rows.select("key", "i", "j", "sid", "n", "sketch").repartition(tasks, "key", "i", "j")
              .sortWithinPartitions("key", "i", "j").mapInArrow(meetings(percent), LINKS).distinct())
     families = components(maybe).select(F.col("node").alias("sid"), F.col("component").alias("family"))
     families = stored(families, "ngram-families")
 
     # Whole sets are needed for the families only: one text of each set is read again.
-    one = side.where("n > 0").groupBy("sid").agg(F.min(first_row()).alias("r")).join(families, "sid")
+    one = side.where("n > 0").groupBy("sid").agg(F.min(first_row()).alias("r"), F.first("n").alias("n")).join(families, "sid")
+    size = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = one.groupBy("family").agg(size.alias("blocks"))
     one = one.select(F.col("r.doc_id").alias("__id"), F.col("r.tid").alias("__tid"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid"))
     texts = pairs.join(one, same, "left_semi").select("text")
     sets = texts.mapInArrow(shingle_rows(words), "sid long, shingles binary").join(families, "sid")
-    sizes = families.groupBy("family").agg(F.count("*").alias("members"))
-    dealt = in_blocks(sets, sizes, "family", block).select("family", "i", "j", "sid", "shingles")
+    dealt = in_blocks(sets, sizes, "family").select("family", "i", "j", "sid", "shingles")
     links = (dealt.repartition(tasks, "family", "i", "j").sortWithinPartitions("family", "i", "j")
              .mapInArrow(verify(percent), LINKS))
     linked = components(links).select(F.col("node").alias("sid"), "component")

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mixlens.llm import conversations, line_dedup, merkle
+from mixlens.llm import conversations, line_dedup, merkle, ngram_join
+from mixlens.llm.components import components
 from mixlens.llm.ordering import positions
 from tests.llm.test_operators import DOC, duck, rows_of, same
 
@@ -250,3 +251,31 @@ def test_repaired_turns_are_well_formed_and_have_the_reported_digest(turns, bloc
         rest = initials.removeprefix("s")
         assert rest == "ua" * (len(rest) // 2) and (rest or not initials)
         assert hashlib.sha256("\n".join(f"{role}:{text}" for role, text in said).encode()).hexdigest() == digest
+
+
+# ------------------------------------------------------------------ components, large families
+
+def test_components_of_a_path_in_order_and_of_a_star(spark):
+    path = [(i, i + 1) for i in range(1000)]
+    star = [(5000, 5000 + i) for i in range(1, 300)] + [(7000 - i, 7000) for i in range(1, 300)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(path + star + [(9000, 9000)], "a long, b long")).collect()}
+    assert {v for k, v in got.items() if k <= 1000} == {0} and len([k for k in got if k <= 1000]) == 1001
+    assert {v for k, v in got.items() if 5000 <= k < 6000} == {5000} and {v for k, v in got.items() if 6000 <= k <= 7000} == {6701}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_families_are_cut_by_shingles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 5000, 600)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for k in rng.integers(0, 600, 6):
+            words[k] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join(f"y{v}" for v in rng.integers(0, 5000, 600))) for i in range(5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, ngram_join.ngram_components(d).collect()))
+    assert sum(r[2] == 0 for r in want) >= 35
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 3000)  # about five sets
+    assert sorted(map(tuple, ngram_join.ngram_components(d).collect())) == want
