@@ -48,7 +48,7 @@ def test_each_stage_does_its_part(spark):
 
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         same(entry.queries()[name](spark, SF).toPandas(), con.execute(sql).df())
