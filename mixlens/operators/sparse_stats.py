@@ -48,7 +48,7 @@ def _first_absent(rows: DataFrame, few: DataFrame, universe: DataFrame, fields:
     An entity that holds ``m`` components with a weight lacks at least two of the first ``m + 2``, so only that many are
     looked at, for the largest ``m`` (1, unless weights are negative).
     """
-    held = rows.where("k and w <> 0").join(few, "e", "left_semi")
+    held = lookup_join(rows.where("k and w <> 0"), few, "e")
     most = held.groupBy("e").count().agg(F.max("count")).first()[0] or 0
     first = universe.orderBy("c").limit(most + 2)
     first = scratch_table(first.withColumn("r", F.row_number().over(Window.orderBy("c")) - 1), "sparse-first")
