@@ -1,19 +1,22 @@
 """Approximate nearest neighbours: low-dimensional stable projections in kd-trees.
 
 Method. Largest inner product becomes smallest Euclidean distance by one more coordinate
-(``sqrt(M - |x|^2)``, 0 for queries, M the largest squared norm). Gaussian (2-stable) projections
-to ``dims`` numbers keep distances in law: a point at distance d has a projected squared
+(``sqrt(M - |x|^2)``, 0 for queries, M the largest squared norm; queries are brought to length
+``sqrt(M)``, which leaves their order of points alone and makes distances differ most). Gaussian (2-stable)
+projections to ``dims`` numbers keep distances in law: a point at distance d has a projected squared
 distance of d^2 times a chi-square variable with ``dims`` degrees of freedom. Points are
-visited by growing projected distance, kd-tree leaf by leaf, and verified on the
-original vectors; the search stops where the next leaf's projected distance squared exceeds
-the chi-square quantile ``confidence`` times the squared distance of the k-th best so far:
-an unseen better point would then have shown up earlier with at least that probability.
+verified on the original vectors one after another by growing projected distance, which the kd-tree gives leaf by
+leaf; the search stops where the next projected distance squared exceeds the chi-square quantile
+``confidence`` times the squared distance of the k-th best so far: an unseen better point would then
+have shown up earlier with at least that probability.
 
 On Spark: equal vectors become one point with its ``k + 1`` smallest ids, all that any answer can
 need. Points are dealt to cells of a top kd-tree (fitted on a bounded sample of projected
-points) and large cells to salted blocks of about ``block`` points, each with a kd-tree of
-its own in one task. Queries search their own cell first; the bound found there decides by
-the same test which other blocks they visit, in chunks of ``block`` queries.
+points, so the driver holds at most ``sample / 8`` cells) and large cells to salted blocks of about ``block``
+points, each with a kd-tree of its own in one task. Queries visit cells in rounds by growing projected distance:
+the nearest, the next 2, the next 4 and so on. Between rounds the stopping test, with the k-th best of all rounds so
+far, rules out whole cells, and the search ends when no query has a cell left. A block is copied once for every
+``chunk_rows`` queries that visit it, never more than one point row for each query row.
 
 Cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part. A
 shorter vector counts as filled up with zeros. Ties go to the smaller id; NULL ids are
@@ -31,16 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import by_value, seeded_order, stored, tasks_for
+from mixlens.llm.common import by_value, seeded_order, stored
 
 by_value(__name__)
 
-DIMS = 12
-CONFIDENCE = 0.99
+DIMS = 32
+CONFIDENCE = 0.94
 BLOCK = 8192
-LEAF = 256
+LEAF = 32
 SAMPLE = 20_000
 SEED = 41
+#: Queries of one block go to tasks in chunks of about so many bytes, of ``BLOCK`` rows at least.
+CHUNK_BYTES = 32_000_000
 HITS = "qid long, ids array<long>, score double"
 
 
@@ -63,10 +68,23 @@ def as_matrix(column, width: int) -> np.ndarray:
     return out
 
 
-def project(x: np.ndarray, most: float | None, matrix: np.ndarray) -> np.ndarray:
-    """Projections of points (``most``: largest squared norm) or of queries (None)."""
-    last = np.zeros(len(x)) if most is None else np.sqrt(np.maximum(0, most - (x * x).sum(1)))
-    return x @ matrix[:-1] + last[:, None] * matrix[-1]
+def project(x: np.ndarray, most: float, matrix: np.ndarray) -> np.ndarray:
+    """Projections of points (``most``: largest squared norm)."""
+    return x @ matrix[:-1] + np.sqrt(np.maximum(0, most - (x * x).sum(1)))[:, None] * matrix[-1]
+
+
+def of_length(q: np.ndarray, most: float) -> np.ndarray:
+    """Queries brought to the length of the longest point: the order of points by inner product stays."""
+    return q * np.sqrt(most / (q * q).sum(1))[:, None]
+
+
+def gaps(z: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each row of ``z`` to each box."""
+    out = np.zeros((len(z), len(low)))
+    for j in range(z.shape[1]):
+        side = np.maximum(0, np.maximum(low[:, j] - z[:, j, None], z[:, j, None] - high[:, j]))
+        out += side * side
+    return out
 
 
 def split_tree(points: np.ndarray, leaves: int) -> list:
@@ -104,109 +122,138 @@ def cells(points: np.ndarray, tree) -> np.ndarray:
 
 
 class Block:
-    """A kd-tree over the projections of one block's points, searched for many queries at once."""
+    """A kd-tree over the projections of one block's points."""
 
     def __init__(self, ids: list[list[int]], x: np.ndarray, y: np.ndarray, leaf: int) -> None:
         tree = split_tree(y, max(1, 1 << max(0, (len(y) - 1) // leaf).bit_length()))
         at = cells(y, tree)
         order = np.argsort(at, kind="stable")
-        self.x, self.ids = x[order], [ids[i] for i in order]
+        self.x, self.y, self.ids = x[order], y[order], [ids[i] for i in order]
         self.first = np.array([i[0] for i in self.ids])
-        y, at = y[order], at[order]
-        self.starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        self.stops = np.append(self.starts[1:], len(at))
-        self.low, self.high = np.minimum.reduceat(y, self.starts, axis=0), np.maximum.reduceat(y, self.starts, axis=0)
-
-    def search(self, q: np.ndarray, z: np.ndarray, bound: np.ndarray, base: np.ndarray, k: int, quantile: float):
-        """Best k points of each query: (scores, point numbers). ``bound``: squared distance of
-        the k-th best known; ``base``: |q|^2 + M, so that distance^2 = base - 2 score."""
-        gap = np.zeros((len(q), len(self.starts)))
-        for j in range(z.shape[1]):
-            out = np.maximum(0, np.maximum(self.low[:, j] - z[:, j, None], z[:, j, None] - self.high[:, j]))
-            gap += out * out
-        order = np.argsort(gap, axis=1, kind="stable")
-        best, who = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
-        alive = np.arange(len(q))
-        for turn in range(len(self.starts)):
-            leaf = order[alive, turn]
-            alive_gap = gap[alive, leaf]
-            alive = alive[alive_gap <= quantile * bound[alive]]  # the stopping test
-            if not len(alive):
-                break
-            leaf = order[alive, turn]
-            for number in np.unique(leaf):
-                some = alive[leaf == number]
-                a, b = self.starts[number], self.stops[number]
-                scores = np.concatenate([best[some], q[some] @ self.x[a:b].T], axis=1)
-                names = np.concatenate([who[some], np.broadcast_to(np.arange(a, b), (len(some), b - a))], axis=1)
-                if scores.shape[1] > k:
-                    keep = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-                    scores, names = np.take_along_axis(scores, keep, 1), np.take_along_axis(names, keep, 1)
-                best[some], who[some] = scores, names
-                bound[some] = np.minimum(bound[some], np.maximum(0, base[some] - 2 * scores.min(1)))
-        return best, who
-
-
-def search_blocks(width: int, most: float, k: int, confidence: float, seed: int, dims: int, leaf: int, bounds_only: bool):
-    """Grouped task code: (key, queries, points) -> hits, or the bound of each query."""
+        self.length = (self.y * self.y).sum(1)
+        starts = np.flatnonzero(np.concatenate(([True], at[order][1:] != at[order][:-1])))
+        self.leaf = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(y))))
+        self.low, self.high = np.minimum.reduceat(self.y, starts, axis=0), np.maximum.reduceat(self.y, starts, axis=0)
+        self.verified = 0
+
+    def search(self, q: np.ndarray, z: np.ndarray, gap: np.ndarray, bound: float, most: float, k: int, quantile: float) -> np.ndarray:
+        """Points that may be among the k best of one query (length ``sqrt(most)``, projection ``z``).
+
+        ``gap``: distance of each leaf; ``bound``: squared distance of the k-th best known. Leaves are
+        opened in order; an opened point is verified when no closed leaf can be nearer.
+        """
+        leaves = np.argsort(gap, kind="stable")
+        opened, step, batch = 0, 1 + 4 * k * len(gap) // len(self.x), max(16, 2 * k)
+        waiting = np.zeros(0, np.int64)
+        best = np.full(k, -np.inf)
+        seen, scores = [], []
+        away = self.length - 2 * (self.y @ z) + z @ z
+        while opened < len(leaves) and gap[leaves[opened]] <= quantile * bound:
+            chosen = np.zeros(len(leaves), bool)
+            chosen[leaves[opened: opened + step]] = True
+            opened, step = opened + step, 4 * step
+            # Points beyond the bound can never pass the test, so they need no order.
+            points = np.flatnonzero(chosen[self.leaf] & (away <= quantile * bound))
+            waiting = np.concatenate([waiting, points])
+            far = away[waiting]
+            order = np.argsort(far)
+            waiting, far = waiting[order], far[order]
+            nearest_closed = gap[leaves[opened]] if opened < len(leaves) else np.inf
+            # The first k are verified at once, so that there is a bound.
+            ready, i = max(int(np.searchsorted(far, nearest_closed, "right")), k if bound == np.inf else 0), 0
+            while i < ready:
+                stop = min(ready, i + batch, int(np.searchsorted(far, quantile * bound, "right")))  # the stopping test
+                if stop <= i:
+                    break
+                s = self.x.take(waiting[i:stop], axis=0) @ q
+                seen.append(waiting[i:stop])
+                scores.append(s)
+                best = np.partition(np.concatenate([best, s]), -k)[-k:]
+                bound = min(bound, max(0.0, 2 * most - 2 * float(best.min())))
+                i, batch = stop, 2 * batch
+            waiting = waiting[i:]
+        if not seen:
+            return np.zeros(0, np.int64)
+        seen, scores = np.concatenate(seen), np.concatenate(scores)
+        self.verified += len(seen)
+        return seen[2 * most - 2 * scores <= bound * (1 + 1e-9) + 1e-12 * most]
+
+
+def search_blocks(width: int, most: float, k: int, confidence: float, seed: int, dims: int, leaf: int):
+    """Grouped task code: (key, queries, points) -> hits."""
     def run(key, queries: pa.Table, points: pa.Table) -> pa.Table:
-        empty = {"qid": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())}
-        if bounds_only:
-            empty = {"qid": pa.array([], pa.int64()), "bound": pa.array([], pa.float64())}
-        if not queries.num_rows or not points.num_rows:
-            return pa.table(empty)
-        matrix = projection(width, dims, seed)
-        x, q = as_matrix(points.column("v"), width), as_matrix(queries.column("v"), width)
-        block = Block(points.column("ids").to_pylist(), x, project(x, most, matrix), leaf)
-        base = (q * q).sum(1) + most
-        bound = np.full(len(q), np.inf) if bounds_only else np.array(queries.column("bound").to_pylist(), float)
-        qid = queries.column("qid").to_pylist()
-        scores, who = block.search(q, project(q, None, matrix), bound.copy(), base, k, chi_square(confidence, dims))
-        if bounds_only:
-            return pa.table({"qid": pa.array(qid, pa.int64()), "bound": pa.array(np.maximum(0, base - 2 * scores.min(1)))})
-        rows = [(qid[i], block.ids[w], float((q[i] * block.x[w]).sum()))
-                for i in range(len(q)) for s, w in zip(scores[i], who[i]) if w >= 0 and base[i] - 2 * s <= bound[i] * (1 + 1e-9) + 1e-12]
-        if not rows:
-            return pa.table(empty)
-        a, b, c = zip(*rows)
+        rows = []
+        if queries.num_rows and points.num_rows:
+            matrix, quantile = projection(width, dims, seed), chi_square(confidence, dims)
+            x = as_matrix(points.column("v"), width)
+            block = Block(points.column("ids").to_pylist(), x, project(x, most, matrix), leaf)
+            for i in range(0, queries.num_rows, 500):
+                some = queries.slice(i, 500)
+                q, bound = as_matrix(some.column("v"), width), some.column("bound").to_pylist()
+                scaled = of_length(q, most)
+                z = scaled @ matrix[:-1]
+                gap = gaps(z, block.low, block.high)
+                for j, qid in enumerate(some.column("qid").to_pylist()):
+                    near = block.search(scaled[j], z[j], gap[j], np.inf if bound[j] is None else bound[j], most, k, quantile)
+                    score = (q[j] * block.x[near]).sum(1)
+                    order = np.lexsort((block.first[near], -score))[:k]
+                    rows += [(qid, block.ids[near[o]], float(score[o])) for o in order]
+        a, b, c = zip(*rows) if rows else ((), (), ())
         return pa.table({"qid": pa.array(a, pa.int64()), "ids": pa.array(b, pa.list_(pa.int64())), "score": pa.array(c, pa.float64())})
     return run
 
 
-def place(width: int, most: float, seed: int, dims: int, tree, as_query: bool):
-    """Task code: add the home cell of each vector."""
+def place(width: int, most: float, seed: int, dims: int, tree):
+    """Task code: add the cell of each point."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = projection(width, dims, seed)
         for batch in batches:
-            y = project(as_matrix(batch.column("v"), width), None if as_query else most, matrix)
+            y = project(as_matrix(batch.column("v"), width), most, matrix)
             yield batch.append_column("cell", pa.array(cells(y, tree), pa.int64()))
     return run
 
 
-def route(width: int, seed: int, dims: int, boxes: list[tuple], confidence: float):
-    """Task code: queries with a bound -> a row for each block that the test does not rule out."""
+def cell_boxes(width: int, most: float, seed: int, dims: int):
+    """Task code: each batch's boxes of cells in projected space, a row a cell and dimension."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = projection(width, dims, seed)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y, cell = project(as_matrix(batch.column("v"), width), most, matrix), batch.column("cell").to_numpy()
+            order = np.argsort(cell, kind="stable")
+            starts = np.flatnonzero(np.concatenate(([True], cell[order][1:] != cell[order][:-1])))
+            low, high = np.minimum.reduceat(y[order], starts, axis=0), np.maximum.reduceat(y[order], starts, axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(cell[order][starts], dims)), pa.array(np.tile(np.arange(dims), len(starts)).astype(np.int32)),
+                 pa.array(low.ravel()), pa.array(high.ravel())], ["cell", "axis", "low", "high"])
+    return run
+
+
+def route(width: int, most: float, seed: int, dims: int, boxes: dict, confidence: float, first: int, count: int):
+    """Task code: queries -> a row for each block of the cells in places ``first`` to ``first + count`` of the
+    query's order of cells that the test does not rule out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, quantile = projection(width, dims, seed), chi_square(confidence, dims)
-        numbers = np.array([b[0] for b in boxes])
-        low, high = np.array([b[1] for b in boxes]), np.array([b[2] for b in boxes])
+        names = ["qid", "v", "bound", "block"]
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
                 batch = whole.slice(i, 500)
-                z, bound = project(as_matrix(batch.column("v"), width), None, matrix), np.array(batch.column("bound").to_pylist(), float)
-                gap = np.zeros((len(z), len(low)))
-                for j in range(dims):
-                    out = np.maximum(0, np.maximum(low[:, j] - z[:, j, None], z[:, j, None] - high[:, j]))
-                    gap += out * out
-                row, box = np.nonzero(gap <= quantile * bound[:, None])
-                yield batch.take(pa.array(row)).append_column("block", pa.array(numbers[box], pa.int64()))
-    return run
-
-
-def block_boxes(width: int, most: float, seed: int, dims: int):
-    """Grouped task code: a block's box in projected space."""
-    def run(points: pa.Table) -> pa.Table:
-        y = project(as_matrix(points.column("v"), width), most, projection(width, dims, seed))
-        return pa.table({"block": points.column("block")[:1].combine_chunks(), "low": pa.array([y.min(0).tolist()]), "high": pa.array([y.max(0).tolist()])})
+                q = of_length(as_matrix(batch.column("v"), width), most)
+                kth = np.array([-np.inf if s is None else s for s in batch.column("kth").to_pylist()])
+                # The k-th best's inner product belongs to the query's own length.
+                bound = np.maximum(0, 2 * most - 2 * kth * np.sqrt(most) / batch.column("length").to_numpy())
+                gap = gaps(q @ matrix[:-1], boxes["low"], boxes["high"])
+                cell = np.argsort(gap, axis=1, kind="stable")[:, first: first + count]
+                row, at = np.nonzero(np.take_along_axis(gap, cell, 1) <= quantile * bound[:, None])
+                cell = cell[row, at]
+                parts = boxes["parts"][cell]
+                row = np.repeat(row, parts)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                block = np.repeat(boxes["cell"][cell], parts) * (1 << 32) + part
+                known = pa.array([None if np.isinf(b) else b for b in bound[row]], pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column("qid").take(pa.array(row)), batch.column("v").take(pa.array(row)), known,
+                                                  pa.array(block, pa.int64())], names)
     return run
 
 
@@ -239,39 +286,53 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "
     tree = split_tree(project(x, most, projection(width, dims, seed)), leaves) if leaves > 1 else 0
 
     schema = "v array<double>, ids array<long>, qid long, cell long"
-    placed = stored(points.select("v", "ids", "qid").mapInArrow(place(width, most, seed, dims, tree, False), schema), "nearest-placed")
+    placed = stored(points.select("v", "ids", "qid").mapInArrow(place(width, most, seed, dims, tree), schema), "nearest-placed")
     per_cell = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
     salted = placed.join(F.broadcast(per_cell), "cell").withColumn(
-        "block", F.col("cell") * F.lit(1 << 32) + F.pmod(F.xxhash64("qid"), "parts")).drop("parts")
+        "block", F.col("cell") * F.lit(1 << 32) + F.pmod(F.xxhash64("qid"), "parts")).drop("parts", "cell")
     salted = stored(salted, "nearest-blocks")
-    boxes = salted.groupBy("block").applyInArrow(block_boxes(width, most, seed, dims), "block long, low array<double>, high array<double>")
-    boxes = sorted(map(tuple, boxes.collect()))
+    # Boxes of at most ``sample / 8`` cells, ``dims`` rows each.
+    box = placed.select("v", "cell").mapInArrow(cell_boxes(width, most, seed, dims), "cell long, axis int, low double, high double")
+    box = box.groupBy("cell", "axis").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    box = box.join(F.broadcast(per_cell), "cell").orderBy("cell", "axis").collect()
+    boxes = {"cell": np.array([r["cell"] for r in box[::dims]], np.int64), "parts": np.array([r["parts"] for r in box[::dims]], np.int64),
+             "low": np.array([r["low"] for r in box]).reshape(-1, dims), "high": np.array([r["high"] for r in box]).reshape(-1, dims)}
 
     asked = valid.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
     asked = asked.join(points.select("v", "qid"), "v")  # queries of one vector are answered once
     asked = stored(asked.select(F.col("id").alias("query_id"), "qid", "v"), "nearest-asked")
-    queries = asked.groupBy("qid").agg(F.first("v").alias("v"))
-    queries = stored(queries.mapInArrow(place(width, most, seed, dims, tree, True), "qid long, v array<double>, cell long"), "nearest-queries")
-
-    def chunked(q: DataFrame) -> DataFrame:
-        per = q.groupBy("block").agg(F.ceil(F.count("*") / block).cast("long").alias("chunks"))
-        return q.join(per, "block").withColumn("chunk", F.pmod(F.xxhash64("qid"), "chunks")).drop("chunks")
-
-    def searched(q: DataFrame, schema: str, bounds_only: bool) -> DataFrame:
-        q = stored(chunked(q), "nearest-routed")
-        wanted = q.select(F.col("block").alias("b"), F.col("chunk").alias("c")).distinct()
-        p = salted.select("block", "v", "ids").join(wanted, F.col("block") == F.col("b")).select("b", "c", "v", "ids")
-        task = search_blocks(width, most, k + 1, confidence, seed, dims, leaf, bounds_only)
-        return (q.groupBy("block", "chunk").cogroup(p.groupBy("b", "c")).applyInArrow(task, schema))
-
-    # First the home cell's first block bounds the k-th distance, then all blocks the test leaves.
-    home = queries.withColumn("block", F.col("cell") * F.lit(1 << 32)).drop("cell")
-    bounds = searched(home, "qid long, bound double", True).groupBy("qid").agg(F.min("bound").alias("bound"))
-    bounded = queries.drop("cell").join(bounds, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    routed = bounded.mapInArrow(route(width, seed, dims, boxes, confidence), "qid long, v array<double>, bound double, block long")
-    hits = searched(routed, HITS, False)
-
-    flat = hits.select("qid", F.explode("ids").alias("vec_id"), "score")
+    queries = stored(asked.groupBy("qid").agg(F.first("v").alias("v")).withColumn("length", F.sqrt(norm)), "nearest-queries")
+    chunk_rows = max(block, CHUNK_BYTES // (8 * width))
+
+    def searched(q: DataFrame) -> DataFrame:
+        per = q.groupBy("block").agg(F.ceil(F.count("*") / chunk_rows).cast("long").alias("chunks"))
+        q = q.join(per, "block").withColumn("chunk", F.pmod(F.xxhash64("qid"), "chunks")).drop("chunks")
+        wanted = per.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("c"))
+        p = salted.join(wanted, "block").select(F.col("block").alias("b"), "c", "v", "ids")
+        return (q.groupBy("block", "chunk").cogroup(p.groupBy("b", "c"))
+                .applyInArrow(search_blocks(width, most, k + 1, confidence, seed, dims, leaf), HITS))
+
+    # Rounds of 1, 2, 4 ... cells a query; the k-th best of all rounds bounds the next one.
+    best = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("ids")[0])
+    found, first, count = None, 0, 1
+    while first < len(boxes["cell"]):
+        if found is None:
+            known = queries.withColumn("kth", F.lit(None).cast("double"))
+        else:
+            known = queries.join(found.where(F.col("n") == k + 1).select("qid", F.col("score").alias("kth")), "qid", "left")
+        routed = known.select("qid", "v", "length", "kth").mapInArrow(
+            route(width, most, seed, dims, boxes, confidence, first, count), "qid long, v array<double>, bound double, block long")
+        routed = stored(routed, "nearest-routed")
+        if routed.isEmpty():
+            break
+        hits = searched(routed)
+        hits = hits if found is None else hits.unionByName(found.drop("n"))
+        found = stored(hits.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1), "nearest-found")
+        first, count = first + count, 2 * count
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+    flat = found.select("qid", F.explode("ids").alias("vec_id"), "score")
     best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id")
     top = stored(flat.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
                  .groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("top")), "nearest-top")

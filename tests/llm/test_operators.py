@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -240,6 +241,39 @@ def test_neighbours_recall_and_scores(spark):
     assert hits >= 0.9 * len(out)
 
 
+def test_neighbours_verify_a_part_of_the_points_and_keep_recall():
+    """The registered settings on one block: projected order rules out more than two fifths."""
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids, x = table.column("vec_id").to_numpy(), neighbours.as_matrix(table.column("embedding"), 64)
+    matrix, most = neighbours.projection(64, neighbours.DIMS, neighbours.SEED), (x * x).sum(1).max()
+    block = neighbours.Block([[i] for i in ids], x, neighbours.project(x, most, matrix), neighbours.LEAF)
+    asked = x[ids % 20 == 0]
+    q = neighbours.of_length(asked, most)
+    gap, quantile = neighbours.gaps(q @ matrix[:-1], block.low, block.high), neighbours.chi_square(neighbours.CONFIDENCE, neighbours.DIMS)
+    hits = 0
+    for i in range(len(q)):
+        near = block.search(q[i], q[i] @ matrix[:-1], gap[i], np.inf, most, 21, quantile)
+        hits += len(set(block.first[near]) & set(ids[np.argsort(-(x @ asked[i]))[:21]]))
+    assert hits >= 0.93 * 21 * len(q)
+    assert block.verified <= 0.6 * len(q) * len(x)
+
+
+def test_neighbours_of_a_vector_that_most_rows_share_and_lengths_that_differ(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 6)) * rng.uniform(0.1, 9, size=(600, 1))
+    x[::2] = x[0]
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest(d, k=5, every=10, block=40, leaf=8, sample=200).toPandas()
+    hits = 0
+    for i in range(0, 600, 10):
+        s = x @ x[i]
+        best = [j for j in np.lexsort((np.arange(600), -s.round(9))) if j != i][:5]
+        got = out[out.query_id == i].sort_values("rank")
+        assert np.allclose(got.score, s[got.vec_id]) and len(got) == 5
+        hits += len(set(best) & set(got.vec_id))
+    assert hits >= 0.9 * len(out) and len(out) == 300
+
+
 def test_neighbours_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (None, [1.0, 0.0]),
