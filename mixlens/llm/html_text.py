@@ -5,13 +5,13 @@ Method. A tree builder turns a page's tags into elements, with the end tags that
 ``hidden``, ``display:none``, ``visibility:hidden``, closed dialogs). All other text is rendered:
 white space collapses except in preformatted text; blocks begin on new lines, paragraphs and
 headings after an empty line; list items have a mark and an indent; the cells of a table
-row stand in columns of equal width. No text is dropped for its length or place (no boilerplate rules).
+row stand in columns of equal width, preformatted lines of a cell below each other. No text is dropped for its length or place (no boilerplate rules).
 
 Both steps are loops over explicit stacks, so deep nesting is no problem. A page is one row; pages
 are independent, so this is one pass without a shuffle.
 
 Cases: NULL html gives NULL text, empty html empty text. Malformed markup is read to the end of
-the page; unclosed elements end with it. Repeated rows give equal texts; an empty table gives
+the page; unclosed elements end with it, and so do, as in HTML, a comment or an end tag that never ends. Repeated rows give equal texts; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -47,7 +48,12 @@ HEAD = frozenset("base basefont bgsound head link meta noframes noscript script
 #: Elements of other languages, in which a slash ends an element, and those in them that hold HTML again.
 FOREIGN = frozenset(["svg", "math"])
 HTML_AGAIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: Elements whose content is text up to their end tag; in the first two, character references count.
+TEXT_ONLY = {"textarea": True, "title": True, "xmp": False, "iframe": False, "noembed": False, "noframes": False}
 PAD = 40
+COMMENT_END = re.compile(r"--!?>")
+#: The end of a tag, or a quoted value, in which ``>`` ends nothing.
+TAG_END = re.compile(r""">|=[ \t\n\r\f]*(?:"[^"]*"|'[^']*')""")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
@@ -115,6 +121,41 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
         self.open[-1].children.append(data)
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """``<!-->`` and ``<!--->`` are empty comments, ``--!>`` ends one too, and an open one holds the rest."""
+        for empty in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(empty, i):
+                return i + len(empty)
+        end = COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_bogus_comment(self, i: int, report: bool = True) -> int:
+        end = self.rawdata.find(">", i + 2)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+    def parse_pi(self, i: int) -> int:
+        return self.parse_bogus_comment(i)
+
+    def parse_endtag(self, i: int) -> int:
+        """End tags may hold attributes with ``>`` in quotes; one that never ends holds the rest."""
+        if self.cdata_elem is not None or not self.rawdata[i + 2: i + 3].isascii() or not self.rawdata[i + 2: i + 3].isalpha():
+            return super().parse_endtag(i)
+        for part in TAG_END.finditer(self.rawdata, i):
+            if part.group() == ">":
+                self.handle_endtag(re.match(r"[^ \t\n\r\f/>]+", self.rawdata[i + 2: part.start()]).group().lower())
+                return part.end()
+        return len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        end = super().parse_starttag(i)
+        if end < 0 or self.lasttag not in TEXT_ONLY or self.open[-1].tag != self.lasttag or self.open[-1].foreign:
+            return end
+        close = re.compile(f"</{self.lasttag}(?=[ \\t\\n\\r\\f/>])", re.I).search(self.rawdata, end)
+        stop = close.start() if close else len(self.rawdata)
+        text = self.rawdata[end:stop]
+        self.handle_data(unescape(text) if TEXT_ONLY[self.lasttag] else text)
+        return stop
+
     def parse_html_declaration(self, i: int) -> int:
         """``<![`` begins a comment up to the next ``>``, and a CDATA section in other languages only."""
         if not self.rawdata.startswith("<![", i):
@@ -160,19 +201,46 @@ class Page:
             self.blank = True
 
 
-def cell_text(cell: Element) -> str:
-    """A table cell as one line."""
-    out, stack = [], [cell]
+def cell_lines(cell: Element) -> list[str]:
+    """A table cell: one line, and one more for each line of preformatted text in it."""
+    lines, out, stack = [], [], [cell]
+
+    def end_line() -> None:
+        text = " ".join("".join(out).split())
+        out.clear()
+        if text:
+            lines.append(text)
+
     while stack:
         node = stack.pop()
         if isinstance(node, str):
             out.append(node)
         elif not node.hidden():
+            if node.tag == "pre":
+                end_line()
+                kept = [line.rstrip() for line in re.split(r"\r\n?|\n", plain_text(node))]
+                lines.extend(line for line in kept if line)
+                continue
             out.append(" " if node.tag in BLOCKS or node.tag in ("br", "td", "th") else "")
             if node.tag in BLOCKS or node.tag in ("td", "th"):
                 stack.append(" ")
             stack.extend(reversed(node.children))
-    return " ".join("".join(out).split())
+    end_line()
+    return lines
+
+
+def plain_text(element: Element) -> str:
+    """The visible text in an element as it stands."""
+    out, stack = [], list(reversed(element.children))
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out.append(node)
+        elif node.tag == "br":
+            out.append("\n")
+        elif not node.hidden():
+            stack.extend(reversed(node.children))
+    return "".join(out)
 
 
 def table_lines(table: Element) -> tuple[list[str], list]:
@@ -191,18 +259,19 @@ def table_lines(table: Element) -> tuple[list[str], list]:
             cells = []
             for c in node.children:
                 if isinstance(c, str):
-                    cells += [c.strip()] if c.strip() else []
+                    cells += [[c.strip()]] if c.strip() else []
                 elif not c.hidden():
                     span = c.attrs.get("colspan") or "1"
-                    cells += [cell_text(c)] + [""] * (min(100, int(span)) - 1 if span.isdecimal() else 0)
+                    cells += [cell_lines(c)] + [[]] * (min(100, int(span)) - 1 if span.isdecimal() else 0)
             rows.append(cells)
         else:
             rest.append(node)
     width: dict[int, int] = {}
     for cells in rows:
         for i, c in enumerate(cells):
-            width[i] = max(width.get(i, 0), min(PAD, len(c)))
-    return ["  ".join(c.ljust(width[i]) for i, c in enumerate(cells)).rstrip() for cells in rows], rest
+            width[i] = max([width.get(i, 0)] + [min(PAD, len(line)) for line in c])
+    return ["  ".join((c[n] if n < len(c) else "").ljust(width[i]) for i, c in enumerate(cells)).rstrip()
+            for cells in rows for n in range(max([1] + [len(c) for c in cells]))], rest
 
 
 def render(root: Element) -> str:
@@ -238,8 +307,9 @@ def render(root: Element) -> str:
             page.block(True)
             lines, rest = table_lines(node)
             for child in rest:
-                page.inline.append(child if isinstance(child, str) else cell_text(child))
-                page.flush()
+                for line in [child] if isinstance(child, str) else cell_lines(child):
+                    page.inline.append(line)
+                    page.flush()
             for line in lines:
                 page.put(line)
             page.block(True)

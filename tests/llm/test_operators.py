@@ -339,7 +339,15 @@ def test_html_rendering():
     ("<head><template><body>no</template><title>T</title></head>yes", "yes"),
     ("<div>a<svg width=1 />b</div>c", "ab\nc"),
     ("a<svg><path/><g/><circle r=1></circle></svg>b<math><mi/><![CDATA[x>]]></math>c", "abx>c"),
-    ("<div/>a<p/>b", "a\n\nb")])
+    ("<div/>a<p/>b", "a\n\nb"),
+    ("<p>a</p><!-->visible<p>more</p><!-- x --><p>end", "a\n\nvisible\n\nmore\n\nend"),
+    ("<p>a</p><!--->b<!-- x --!>c", "a\n\nbc"),
+    ("a<!-- open comment <b>secret</b> rest", "a"),
+    ('a</foo bar="x>y">z</b c=\'>\' d>e', "aze"),
+    ("a</p", "a"),
+    ("<textarea>a <b>c</b> &amp; d</TEXTAREA >e", "a <b>c</b> & de"),
+    ("<title>a <!-- </title>b<svg><title>n</title></svg><xmp><i>&lt;</xmp>c", "b<i>&lt;c"),
+    ("<table><tr><td>k<td><pre>x\n  y\nz</pre><td>q<tr><td>1<td>2<td>3</table>end", "k  x    q\n     y\n   z\n1  2    3\n\nend")])
 def test_html_malformed_parts_hide_no_text_after_them(page, text):
     assert html_text.html_to_text(page) == text
 
@@ -361,6 +369,7 @@ def test_html_edge_cases(spark):
     d = spark.createDataFrame([(i, h, "t") for i, h in enumerate([*odd, odd[3]])], "page_id long, html string, text string")
     out = {r["page_id"]: r["text"] for r in html_text.page_texts(d).collect()}
     assert out[0] is None and out[1] == "" and out[3] == "x" == out[11] and out[5] == "deep" and "a" in out[4] and out[10] == "lone"
+    assert out[8] == out[9] == ""
     assert html_text.page_texts(d.limit(0)).count() == 0
 
 
