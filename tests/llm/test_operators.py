@@ -75,6 +75,29 @@ def test_mixing_equals_sql(spark, docs, edge):
         same(mixing.mix(d).toPandas(), duck(mixing.oracle_sql(), documents=d.select("doc_id", "text", "source").toArrow()))
 
 
+def test_mixing_by_groups_of_shards_equals_sql(spark, docs):
+    small = {"docs_per_shard": 8, "shards_per_group": 5}
+    got = mixing.mix(docs, **small).toPandas()
+    same(got, duck(mixing.oracle_sql(**small), documents=docs.select("doc_id", "text", "source").toArrow()))
+    per = got.groupby("source", dropna=False).agg(target=("target", "first"), taken=("taken", "sum"))
+    # A shard's words are a whole number of blocks but for half a block, which counts in each of at most three passes.
+    shards = got.groupby("source", dropna=False).size() / 8 + 1
+    assert (abs(per.taken - per.target) <= mixing.BLOCK_WORDS * (1 + 1.5 * shards)).all()
+
+
+def test_mixing_of_a_repeated_id_and_of_a_source_of_few_words(spark, monkeypatch):
+    rows = [(None if i % 2 else 7, "a b c d", "s0") for i in range(400)] + [(1000 + i, "x y z " * (i % 9), "s1") for i in range(200)]
+    d = spark.createDataFrame([*rows, (1, "one two three four five", "tiny")], "doc_id long, text string, source string")
+    want = duck(mixing.oracle_sql(), documents=d.toArrow())
+    for chunk in (100_000, 7):
+        monkeypatch.setattr(mixing, "CHUNK_ROWS", chunk)
+        same(mixing.mix(d).toPandas(), want)
+    tiny = want[want.source == "tiny"].iloc[0]
+    assert tiny.target == 15 and tiny.taken == 15
+    out = mixing.mixed_documents(d).groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("w")).toPandas()
+    assert dict(zip(out.source, out.w)) == want.groupby("source").taken.sum().to_dict()
+
+
 def test_mixing_reaches_targets_and_mixed_rows_hold_the_taken_words(docs, edge, empty):
     for d in (docs, edge):
         m = mixing.mix(d).toPandas()
