@@ -15,8 +15,8 @@ need. Points are dealt to cells of a top kd-tree (fitted on a bounded sample of
 points, so the driver holds at most ``sample / 8`` cells) and large cells to salted blocks of about ``block``
 points, each with a kd-tree of its own in one task. Queries visit cells in rounds by growing projected distance:
 the nearest, the next 2, the next 4 and so on. Between rounds the stopping test, with the k-th best of all rounds so
-far, rules out whole cells, and the search ends when no query has a cell left. A block is copied once for every
-``chunk_rows`` queries that visit it, never more than one point row for each query row.
+far, rules out whole cells, and the search ends when no query has a cell left. In a round a
+block is read by one task for every ``chunk_rows`` (``block`` or more) queries that visit it, and by none if no query does.
 
 Cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part. A
 shorter vector counts as filled up with zeros. Ties go to the smaller id; NULL ids are
