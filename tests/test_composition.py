@@ -204,3 +204,19 @@ def test_percent_pivot_counts_other_components(spark):
     rows = {r["entity_id"]: (r["1"], r["2"], r["other"]) for r in out.collect()}
     assert rows == {1: (75.0, 0.0, 25.0), 2: (0.0, 0.0, 0.0), 3: (0.0, 0.0, 100.0)}
     assert long_to_wide(mix, [1, 2], weight_col="qty", percent=True).columns == ["entity_id", "1", "2"]
+
+
+def test_pivot_keeps_no_wide_row_per_component(spark):
+    """One row per entity in the pivot's shuffles, not a row of all columns for each (entity, component)."""
+    from mixlens.operators.composition import long_to_wide
+    rows = [(1, 1, 3.0), (1, 1, 2.0), (1, 9, 5.0), (1, None, 10.0), (2, 3, float("nan")), (2, 3, 1.0), (3, 9, None), (None, 2, 4.0)]
+    mix = spark.createDataFrame(rows, "entity_id long, component int, qty double")
+    shares = long_to_wide(mix, [3, 1, 2], weight_col="qty", percent=True)
+    assert shares.columns == ["entity_id", "3", "1", "2"]
+    assert {r[0]: tuple(r)[1:] for r in shares.collect()} == {1: (0.0, 25.0, 0.0), 2: (0.0, 0.0, 0.0), 3: (0.0, 0.0, 0.0), None: (0.0, 0.0, 100.0)}
+    other = long_to_wide(mix, [3, 1, 2], weight_col="qty", other_col="rest")
+    assert {r[0]: tuple(r)[1:] for r in other.collect()}[1] == (0.0, 5.0, 0.0, 15.0)
+    plain = long_to_wide(mix.withColumn("qty", F.col("component").cast("long")), [3, 1, 2], weight_col="qty")
+    assert dict(plain.dtypes)["1"] == "bigint" and {r[0]: tuple(r)[1:] for r in plain.collect()}[2] == (6, 0, 0)
+    for out in (shares, other, plain):
+        assert "pivotfirst" not in out._jdf.queryExecution().executedPlan().toString()
