@@ -150,3 +150,18 @@ def test_one_narrow_exchange_settles_the_difference(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     # The rows left are the only wide ones that are shuffled (made distinct), and no join is on 120 keys.
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_verified_except_moves_each_row_once(spark):
+    """With ``verify`` the rows of both sides cross one exchange, their whole numbers as one text, and come back as they were."""
+    cols = [F.col("id"), *[F.when(F.col("id") % (k + 2) > 0, F.col("id") % (k + 3) - 2).alias(f"c{k}") for k in range(30)],
+            (F.col("id") / 3).alias("v"), F.concat(F.lit("a,"), F.col("id")).alias("s")]
+    left = spark.range(300).union(spark.range(50)).select(*cols)
+    right = spark.range(40, 300).select(*cols).toDF(*[f"r{i}" for i in range(33)])
+    out = split.except_distinct_wide(left, right, verify=True)
+    assert out.schema.simpleString() == left.schema.simpleString()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, left.where("id < 40").distinct().collect()))
+    wide = spark.createDataFrame([(None, None), (0, -1), (None, 5)], "a long, b int")
+    assert sorted(map(repr, split.except_distinct_wide(wide, wide.where("b = -1"), verify=True).collect())) == ["Row(a=None, b=5)", "Row(a=None, b=None)"]
