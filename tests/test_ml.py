@@ -104,3 +104,17 @@ def test_stats_estimator_fills_from_the_whole_table(spark, tmp_path):
         fit.copy({fit.nullWeight: "error"}).fit(df).transform(df).collect()
     gaps = fit.copy({fit.fill: False}).fit(df).transform(df).collect()
     assert [r["p_mean"] for r in gaps] == [None, None]
+
+
+def test_forest_trains_on_bounded_blocks(spark):
+    from mixlens.ml.regression import in_blocks
+    train = spark.range(0, 6000, 1, 2).select("id", (F.col("id") % 7).alias("x"), (F.col("id") * 2.0).alias("y"))
+    pipe = regression_pipeline(["x"], "y", num_trees=3, max_depth=2)
+    row = 4 * (1 + 2 * 3) + 160
+    dealt = in_blocks(train, pipe, block_bytes=500 * row)
+    sizes = dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) == 12 and max(r["count"] for r in sizes) <= 600
+    assert dealt.columns == train.columns and dealt.exceptAll(train).isEmpty() and dealt.count() == 6000
+    again = in_blocks(train, pipe, block_bytes=500 * row)
+    assert dealt.collect() == again.collect()  # the same rows in the same order, so the same bootstrap
+    assert in_blocks(train, pipe) is train and in_blocks(train.limit(0), pipe, 1).count() == 0
