@@ -56,3 +56,12 @@ def test_scan_prunes_columns(spark):
     plan = _final_plan(entry.queries()["composition_stats_long"](spark, SF_SMALL))
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "lineitem" in l]
     assert scans and all("l_extendedprice" not in l for l in scans)
+
+
+@pytest.mark.parametrize("name", ["composition_stats_normalized", "composition_stats_wide", "fitted_stats", "composition_stats_unknown_wide",
+                                  "feature_pipeline", "composition_stats_float", "feature_select", "present_components",
+                                  "composition_stats_subset_wide"])
+def test_wide_queries_aggregate_narrow_pairs(spark, name):
+    """No aggregate of the wide queries holds a row of all columns for each (entity, component)."""
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "pivotfirst" not in plan and "collect_list" in plan
