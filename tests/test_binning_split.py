@@ -99,3 +99,19 @@ def test_null_keys_are_drawn_like_any_key(spark):
     assert split.sample_by_hash(df, ["k"], None, 1.0).count() == 200
     sides = split.train_test_split(df, ["k", "i"], 0.5).groupBy("split").count().collect()
     assert all(60 < r["count"] < 140 for r in sides) and len(sides) == 2
+
+
+def test_exact_split_takes_each_stratums_share_and_whole_keys(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 100 == 7, "rare").when(F.col("id") % 100 != 8, "often").alias("s"))
+    got = split.train_test_split_exact(df, ["k"], "s", {"rare": 0.8, "often": 0.8})
+    assert got.columns == ["k", "s", "split"]
+    n = {(r["s"], r["split"]): r["count"] for r in got.groupBy("s", "split").count().collect()}
+    assert n == {("rare", "train"): 8, ("rare", "test"): 2, ("often", "train"): 784, ("often", "test"): 196, (None, "test"): 10}
+    train = {r["k"] for r in got.where("split = 'train' and s = 'rare'").collect()}
+    assert train == {r["k"] for r in split.sample_exact(df, ["k"], "s", {"rare": 0.8}).collect()}
+    # Three rows a key: a share that ends among a key's rows takes the key whole.
+    thrice = df.where("s = 'rare'").crossJoin(spark.range(3).select(F.col("id").alias("copy")))
+    sides = split.train_test_split_exact(thrice, ["k"], "s", {"rare": 0.5}).groupBy("k").agg(F.collect_set("split").alias("on")).collect()
+    assert sorted(r["on"][0] for r in sides if len(r["on"]) == 1) == ["test"] * 5 + ["train"] * 5
+    assert split.train_test_split_exact(df, ["k"], "s", {}).where("split = 'train'").isEmpty()
+    assert split.train_test_split_exact(df, ["k"], "s", {"rare": 1.0}).where("split = 'train'").count() == 10

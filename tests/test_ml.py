@@ -118,3 +118,17 @@ def test_forest_trains_on_bounded_blocks(spark):
     again = in_blocks(train, pipe, block_bytes=500 * row)
     assert dealt.collect() == again.collect()  # the same rows in the same order, so the same bootstrap
     assert in_blocks(train, pipe) is train and in_blocks(train.limit(0), pipe, 1).count() == 0
+
+
+def test_training_job_splits_each_label_bin(spark, tmp_path):
+    from mixlens.plans import catalog
+    d = str(tmp_path)
+    # 60 orders; the bins of their prices hold 40, 0, 10, 0 and 5 orders, 5 orders have no price.
+    price = F.when(F.col("id") < 40, F.col("id") / 10.0).when(F.col("id") < 50, F.col("id") + 0.0).when(F.col("id") < 55, F.lit(100.0))
+    spark.range(60).select(F.col("id").alias("o_orderkey"), price.alias("o_totalprice")).write.parquet(f"{d}/orders.parquet")
+    spark.range(180).selectExpr("id % 60 as l_orderkey", "id % 20 as l_partkey", "double(1 + id % 7) as l_quantity").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(20).selectExpr("id as p_partkey", "int(1 + id % 50) as p_size", "double(900 + id) as p_retailprice").write.parquet(f"{d}/part.parquet")
+    pred, path = catalog._ml(spark, d)
+    where = F.when(F.col("label") < 20, "low").when(F.col("label") < 60, "mid").when(F.col("label") >= 60, "high")
+    assert {r["bin"]: r["count"] for r in pred.groupBy(where.alias("bin")).count().collect()} == {"low": 8, "mid": 2, "high": 1, None: 5}
+    assert [(r["n"], r["n_skipped"]) for r in spark.read.parquet(path).collect()] == [(11, 5)]
