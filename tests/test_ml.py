@@ -132,3 +132,38 @@ def test_training_job_splits_each_label_bin(spark, tmp_path):
     where = F.when(F.col("label") < 20, "low").when(F.col("label") < 60, "mid").when(F.col("label") >= 60, "high")
     assert {r["bin"]: r["count"] for r in pred.groupBy(where.alias("bin")).count().collect()} == {"low": 8, "mid": 2, "high": 1, None: 5}
     assert [(r["n"], r["n_skipped"]) for r in spark.read.parquet(path).collect()] == [(11, 5)]
+
+
+def _forest(pipe):
+    from pyspark.ml.regression import RandomForestRegressor
+    return [s for s in pipe.getStages() if isinstance(s, RandomForestRegressor)]
+
+
+def test_forest_fitted_in_stages_caches_few_trees_at_a_time(spark):
+    stages = _forest(regression_pipeline(["x"], "y"))
+    assert [s.getNumTrees() for s in stages] == [10] * 5 and {s.getMaxDepth() for s in stages} == {10}
+    assert not any(s.getCacheNodeIds() for s in stages) and len({s.getSeed() for s in stages}) == 5
+    assert [s.getNumTrees() for s in _forest(regression_pipeline(["x"], "y", num_trees=11))] == [6, 5]
+    assert [(s.getNumTrees(), s.getPredictionCol()) for s in _forest(regression_pipeline(["x"], "y", num_trees=10))] == [(10, "prediction")]
+
+
+def test_forest_in_stages_predicts_the_mean_of_all_trees(spark, tmp_path):
+    df = spark.range(0, 800, 1, 3).selectExpr("id", "double(id % 23) as x", "double(id % 7) as z", "(id % 23) * (id % 7) + id % 3 as y")
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    pipe = regression_pipeline(["x", "z"], "y", num_trees=23, max_depth=4)
+    model = fit_save_load(pipe, df.select("x", "z", "y"), str(tmp_path / "m"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    out = model.transform(df.limit(20))
+    assert out.columns == [*df.columns, "features", "prediction"]
+    trees = [t for s in model.stages if hasattr(s, "trees") for t in s.trees]
+    assert len(trees) == 23 and len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 23
+    for r in out.collect():
+        assert r["prediction"] == pytest.approx(sum(t.predict(r["features"]) for t in trees) / 23)
+
+
+def test_forest_is_the_same_for_rows_in_another_order(spark):
+    from mixlens.ml.regression import fit_stages
+    df = spark.range(500).selectExpr("double(id % 23) as x", "double(id % 7) as z", "double(id * 7919 % 101) as y")
+    pipe = regression_pipeline(["x", "z"], "y", num_trees=12, max_depth=4)
+    up, down = (fit_stages(pipe, df.coalesce(1).sortWithinPartitions(F.col("y") * k)).transform(df).orderBy("x", "z", "y") for k in (1, -1))
+    assert [r["prediction"] for r in up.collect()] == [r["prediction"] for r in down.collect()]
