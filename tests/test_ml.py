@@ -145,6 +145,8 @@ def test_forest_fitted_in_stages_caches_few_trees_at_a_time(spark):
     assert not any(s.getCacheNodeIds() for s in stages) and len({s.getSeed() for s in stages}) == 5
     assert [s.getNumTrees() for s in _forest(regression_pipeline(["x"], "y", num_trees=11))] == [6, 5]
     assert [(s.getNumTrees(), s.getPredictionCol()) for s in _forest(regression_pipeline(["x"], "y", num_trees=10))] == [(10, "prediction")]
+    # Beside the bins of many features a few more counts weigh little.
+    assert [s.getNumTrees() for s in _forest(regression_pipeline([f"x{i}" for i in range(62)], "y"))] == [50]
 
 
 def test_forest_in_stages_predicts_the_mean_of_all_trees(spark, tmp_path):
